@@ -78,66 +78,87 @@ def _minutes(timeframe: Column | str) -> Column:
     return tf_minutes(timeframe)
 
 
+def step_ms(timeframe: Column | str) -> Column:
+    """Bar length for the arithmetic below; null where the text gives no positive length.
+
+    For a time-frame column, put this into a column of its own and pass it as
+    ``step``: the text is then read once per row, not once per use.
+    """
+    if isinstance(timeframe, str):
+        return F.lit(milliseconds_of(timeframe)).cast("bigint")
+    ms = tf_ms(timeframe)
+    return F.when(ms > 0, ms)
+
+
+def _given(timeframe: Column | str, step: Column | None) -> Column:
+    return step_ms(timeframe) if step is None else step
+
+
 def _floor(ms: Column, step: Column, origin: int = 0) -> Column:
     """Largest multiple of ``step`` (counted from ``origin``) not above ``ms``."""
-    usable = F.when(step > 0, step)
-    return ms - F.pmod(ms - F.lit(origin), usable)
+    return ms - F.pmod(ms - F.lit(origin) if origin else ms, step)
 
 
-def round_down(ms: Column, timeframe: Column | str) -> Column:
+def round_down(ms: Column, timeframe: Column | str, step: Column | None = None) -> Column:
     """Start of the epoch-aligned time frame holding ``ms``."""
-    return _floor(ms, tf_ms(timeframe))
+    return _floor(ms, _given(timeframe, step))
 
 
-def round_up(ms: Column, timeframe: Column | str) -> Column:
+def round_up(ms: Column, timeframe: Column | str, step: Column | None = None) -> Column:
     """The next epoch-aligned boundary, strictly after ``ms``."""
-    return round_down(ms, timeframe) + tf_ms(timeframe)
+    step = _given(timeframe, step)
+    return _floor(ms, step) + step
 
 
 def _monday(ms: Column) -> Column:
     return _floor(ms, F.lit(WEEK_MS).cast("bigint"), -_MONDAY_SHIFT_MS)
 
 
-def bucket_start(ms: Column, timeframe: Column | str) -> Column:
+def bucket_start(ms: Column, timeframe: Column | str, step: Column | None = None) -> Column:
     """Start of the bar holding ``ms``; ``1w`` bars start on Monday 00:00."""
     if isinstance(timeframe, str):
         return _monday(ms) if timeframe == "1w" else round_down(ms, timeframe)
-    return F.when(timeframe == "1w", _monday(ms)).otherwise(round_down(ms, timeframe))
+    return F.when(timeframe == "1w", _monday(ms)).otherwise(round_down(ms, timeframe, step))
 
 
-def bucket_end(ms: Column, timeframe: Column | str) -> Column:
+def bucket_end(ms: Column, timeframe: Column | str, step: Column | None = None) -> Column:
     """Start of the bar after the one holding ``ms``."""
-    return bucket_start(ms, timeframe) + tf_ms(timeframe)
+    step = _given(timeframe, step)
+    return bucket_start(ms, timeframe, step) + step
 
 
-def align(ms: Column, timeframe: Column | str, side: str) -> Column:
+def align(
+    ms: Column, timeframe: Column | str, side: str, step: Column | None = None
+) -> Column:
     """Boundary before (strictly) or at/after ``ms``; ``ms`` itself if the frame is unreadable."""
     if side not in ("prev", "next"):
         raise ValueError("side must be 'prev' or 'next'")
     if isinstance(timeframe, str):
         try:
-            step = F.lit(milliseconds_of(timeframe)).cast("bigint")
+            step = step_ms(timeframe)
         except ValueError:
             return ms
-    else:
-        step = tf_ms(timeframe)
-    floor = _floor(ms, step)
-    on_boundary = ms == floor
+    step = _given(timeframe, step)
+    # One millisecond back, or one short of a step ahead, lands on the wanted boundary.
     if side == "prev":
-        aligned = F.when(on_boundary & (ms >= step), ms - step).otherwise(floor)
+        aligned = F.when(ms == 0, ms).otherwise(_floor(ms - 1, step))
     else:
-        aligned = F.when(on_boundary, ms).otherwise(floor + step)
+        aligned = _floor(ms + step - 1, step)
     return F.coalesce(aligned, ms)
 
 
-def near_end(ms: Column, timeframe: Column | str, interval_seconds: int) -> Column:
+def near_end(
+    ms: Column, timeframe: Column | str, interval_seconds: int, step: Column | None = None
+) -> Column:
     """True when the bar ends within the next ``interval_seconds``."""
-    return ms + interval_seconds * 1000 >= bucket_end(ms, timeframe)
+    return ms + interval_seconds * 1000 >= bucket_end(ms, timeframe, step)
 
 
-def near_start(ms: Column, timeframe: Column | str, interval_seconds: int) -> Column:
+def near_start(
+    ms: Column, timeframe: Column | str, interval_seconds: int, step: Column | None = None
+) -> Column:
     """True when the bar started within the last ``interval_seconds``."""
-    return ms - interval_seconds * 1000 <= bucket_start(ms, timeframe)
+    return ms - interval_seconds * 1000 <= bucket_start(ms, timeframe, step)
 
 
 def to_time(ms: Column) -> Column:

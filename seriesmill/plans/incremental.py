@@ -11,7 +11,7 @@ from seriesmill.fixed_values import (
     SPOT_PAGE_BARS,
     SPOT_PAGE_BARS_BY_VENUE,
 )
-from seriesmill.functions.timeframe import tf_ms
+from seriesmill.functions.timeframe import step_ms
 from seriesmill.functions.timerange import clean_range
 
 # Pages of one series are numbered in runs of this length, one array per run.
@@ -34,18 +34,19 @@ def incremental_plan(
     after the last stored one (``extend``).  Any other is left alone
     (``none``).  ``requests`` has start_ms and end_ms, null end means now.
     """
-    step = tf_ms(F.col("timeframe"))
-    stored = F.col("max_ms").isNotNull()
-    following = F.col("max_ms") + step
-    end = F.coalesce(F.nullif(F.col("end_ms"), F.lit(0)), F.lit(now_ms))
-    action = (
-        F.when(~stored, "initial").when(following < end - step, "extend").otherwise("none")
-    )
-    cleaned = clean_range(following, end, now_ms)
+    step, following, end = F.col("_step"), F.col("_following"), F.col("_end")
     planned = (
         requests.join(marks.select(*series, "max_ms"), series, "left")
-        .withColumn("action", action)
-        .withColumn("_range", cleaned)
+        .withColumn("_step", step_ms(F.col("timeframe")))
+        .withColumn("_following", F.col("max_ms") + step)
+        .withColumn("_end", F.coalesce(F.nullif(F.col("end_ms"), F.lit(0)), F.lit(now_ms)))
+        .withColumn(
+            "action",
+            F.when(F.col("max_ms").isNull(), "initial")
+            .when(following < end - step, "extend")
+            .otherwise("none"),
+        )
+        .withColumn("_range", clean_range(following, end, now_ms))
     )
     extend = F.col("action") == "extend"
     initial = F.col("action") == "initial"
@@ -62,17 +63,20 @@ def incremental_plan(
 
 
 def _numbered(df: DataFrame, pages: Column) -> DataFrame:
-    """One row per page number 0 .. pages-1, without one array per series."""
+    """One row per page number 0 .. pages-1, without one array per series.
+
+    The outer form of explode, with the nulls dropped afterwards, keeps Spark
+    from copying the whole arithmetic behind ``pages`` into an earlier filter.
+    """
+    runs = F.expr(
+        f"CASE WHEN _pages > 0 THEN sequence(0L, (_pages - 1) div {_RUN} * {_RUN}, {_RUN}L) END"
+    )
+    numbers = F.expr(f"sequence(_from, least(_from + {_RUN - 1}, _pages - 1), 1L)")
     return (
         df.withColumn("_pages", pages)
-        .filter("_pages > 0")
-        .withColumn(
-            "_from", F.explode(F.expr(f"sequence(0L, (_pages - 1) div {_RUN} * {_RUN}, {_RUN}L)"))
-        )
-        .withColumn(
-            "page_no",
-            F.explode(F.expr(f"sequence(_from, least(_from + {_RUN - 1}, _pages - 1), 1L)")),
-        )
+        .withColumn("_from", F.explode_outer(runs))
+        .withColumn("page_no", F.explode_outer(numbers))
+        .filter("page_no IS NOT NULL")
         .drop("_from", "_pages")
     )
 
@@ -93,7 +97,7 @@ def bar_pages(plan: DataFrame, series: list[str], bars_per_page: Column | int) -
     """
     cap = F.lit(bars_per_page) if isinstance(bars_per_page, int) else bars_per_page
     sized = (
-        plan.withColumn("_step", tf_ms(F.col("timeframe")))
+        plan.withColumn("_step", step_ms(F.col("timeframe")))
         .withColumn("_cap", cap.cast("bigint"))
         .withColumn("_span", F.col("fetch_end_ms") - F.col("fetch_start_ms"))
         .withColumn("_bars", F.expr("_span div _step"))
@@ -125,7 +129,7 @@ def window_pages(
     plan: DataFrame, series: list[str], bars_per_page: int = FUTURES_PAGE_BARS
 ) -> DataFrame:
     """Fixed windows of ``bars_per_page`` time frames, each padded at its end."""
-    sized = plan.withColumn("_step", tf_ms(F.col("timeframe"))).withColumn(
+    sized = plan.withColumn("_step", step_ms(F.col("timeframe"))).withColumn(
         "_width", F.col("_step") * bars_per_page
     )
     pages = F.expr(
@@ -142,6 +146,6 @@ def window_pages(
             "page_limit",
             F.expr(f"least((page_end_ms - page_start_ms) div _step, {bars_per_page}L)"),
         )
-        .filter("page_limit > 0")
         .select(*series, "page_no", "page_start_ms", "page_end_ms", "page_limit")
+        .filter("page_limit > 0")
     )

@@ -306,7 +306,7 @@ def incremental_plan(spark, sf_dir):
     return _plan(spark, sf_dir)
 
 
-_FRAMES = "(VALUES ('1w', 604800000), ('1d', 86400000), ('4h', 14400000), ('1h', 3600000)) \
+_FRAMES = "(VALUES ('1w', 604800000::BIGINT), ('1d', 86400000), ('4h', 14400000), ('1h', 3600000)) \
 AS f(timeframe, tf)"
 _PLAN_SQL = f"""
 WITH {EV_SQL}, marks AS (SELECT symbol, max(ms) AS max_ms FROM ev GROUP BY symbol),

@@ -30,7 +30,7 @@ def _framed(spark, sf_dir):
         F.col("seq").alias("event_id"),
         F.unix_millis("time").alias("ms"),
         F.explode(F.array(*[F.lit(x) for x in FRAMES])).alias("timeframe"),
-    )
+    ).withColumn("step", tf.step_ms(F.col("timeframe")))
 
 
 def tf_minutes(spark, sf_dir):
@@ -76,13 +76,13 @@ SELECT event_id, text, minutes::BIGINT AS minutes, (minutes * 60)::BIGINT AS sec
 
 
 def tf_round(spark, sf_dir):
-    ms, frame = F.col("ms"), F.col("timeframe")
-    down = tf.round_down(ms, frame)
+    ms, frame, step = F.col("ms"), F.col("timeframe"), F.col("step")
+    down = tf.round_down(ms, frame, step)
     return _framed(spark, sf_dir).select(
         "event_id",
         "timeframe",
         down.alias("down_ms"),
-        tf.round_up(ms, frame).alias("up_ms"),
+        tf.round_up(ms, frame, step).alias("up_ms"),
         naive(tf.to_time(down)).alias("down_time"),
     )
 
@@ -98,7 +98,7 @@ def tf_prev(spark, sf_dir):
     return _framed(spark, sf_dir).select(
         "event_id",
         "timeframe",
-        tf.bucket_start(F.col("ms"), F.col("timeframe")).alias("prev_ms"),
+        tf.bucket_start(F.col("ms"), F.col("timeframe"), F.col("step")).alias("prev_ms"),
     )
 
 
@@ -113,7 +113,7 @@ def tf_next(spark, sf_dir):
     return _framed(spark, sf_dir).select(
         "event_id",
         "timeframe",
-        tf.bucket_end(F.col("ms"), F.col("timeframe")).alias("next_ms"),
+        tf.bucket_end(F.col("ms"), F.col("timeframe"), F.col("step")).alias("next_ms"),
     )
 
 
@@ -126,15 +126,15 @@ FROM ({_EV})
 
 def tf_align(spark, sf_dir):
     """Both sides, for the event time and for the start of its bar (a boundary)."""
-    ms, frame = F.col("ms"), F.col("timeframe")
-    edge = tf.round_down(ms, frame)
+    ms, frame, step = F.col("ms"), F.col("timeframe"), F.col("step")
+    edge = tf.round_down(ms, frame, step)
     return _framed(spark, sf_dir).select(
         "event_id",
         "timeframe",
-        tf.align(ms, frame, "prev").alias("prev_ms"),
-        tf.align(ms, frame, "next").alias("next_ms"),
-        tf.align(edge, frame, "prev").alias("edge_prev_ms"),
-        tf.align(edge, frame, "next").alias("edge_next_ms"),
+        tf.align(ms, frame, "prev", step).alias("prev_ms"),
+        tf.align(ms, frame, "next", step).alias("next_ms"),
+        tf.align(edge, frame, "prev", step).alias("edge_prev_ms"),
+        tf.align(edge, frame, "next", step).alias("edge_next_ms"),
         tf.align(ms, F.concat(F.lit("x"), frame), "prev").alias("unreadable_ms"),
     )
 
@@ -151,12 +151,12 @@ FROM e
 
 
 def tf_near_boundary(spark, sf_dir):
-    ms, frame = F.col("ms"), F.col("timeframe")
+    ms, frame, step = F.col("ms"), F.col("timeframe"), F.col("step")
     return _framed(spark, sf_dir).select(
         "event_id",
         "timeframe",
-        tf.near_start(ms, frame, 300).alias("at_start"),
-        tf.near_end(ms, frame, 300).alias("at_end"),
+        tf.near_start(ms, frame, 300, step).alias("at_start"),
+        tf.near_end(ms, frame, 300, step).alias("at_end"),
     )
 
 
