@@ -25,6 +25,46 @@ _ROWS_PER_BATCH = 64 * 1024
 _BYTES_PER_TASK = 128 << 20
 
 
+def _arrow_types() -> dict:
+    """Spark type name -> Arrow type; series files are flat, so this list is all of it."""
+    import pyarrow as pa
+
+    return {
+        "string": pa.string(),
+        "bigint": pa.int64(),
+        "int": pa.int32(),
+        "smallint": pa.int16(),
+        "tinyint": pa.int8(),
+        "double": pa.float64(),
+        "float": pa.float32(),
+        "boolean": pa.bool_(),
+        "date": pa.date32(),
+        "timestamp": pa.timestamp("us", tz="UTC"),
+        "timestamp_ntz": pa.timestamp("us"),
+        "binary": pa.binary(),
+    }
+
+
+def _spark_type(arrow_type) -> str:
+    import pyarrow as pa
+
+    if pa.types.is_timestamp(arrow_type):
+        return "timestamp" if arrow_type.tz else "timestamp_ntz"
+    if pa.types.is_large_string(arrow_type) or pa.types.is_dictionary(arrow_type):
+        return "string"
+    for name, known in _arrow_types().items():
+        if known == arrow_type:
+            return name
+    raise ValueError(f"no column type for Arrow {arrow_type}")
+
+
+def _arrow_schema(schema: StructType):
+    import pyarrow as pa
+
+    types = _arrow_types()
+    return pa.schema([(f.name, types[f.dataType.simpleString()]) for f in schema.fields])
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
@@ -64,9 +104,8 @@ class FeatherSource(DataSource):
     def name(cls) -> str:
         return "feather"
 
-    def schema(self) -> StructType:
+    def schema(self) -> str:
         import pyarrow as pa
-        from pyspark.sql.pandas.types import from_arrow_schema
 
         files = _files(self.options["path"])
         if not files:
@@ -75,7 +114,8 @@ class FeatherSource(DataSource):
             )
         system, _ = _filesystem(self.options["path"])
         with system.open_input_file(files[0][0]) as handle:
-            return from_arrow_schema(pa.ipc.open_file(handle).schema)
+            found = pa.ipc.open_file(handle).schema
+        return ", ".join(f"`{f.name}` {_spark_type(f.type)}" for f in found)
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(self.options["path"], schema)
@@ -107,11 +147,10 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Batches):
         import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
 
         if not partition.file:
             return
-        wanted = to_arrow_schema(self.spark_schema, timezone="UTC")
+        wanted = _arrow_schema(self.spark_schema)
         system, _ = _filesystem(self.path)
         with system.open_input_file(partition.file) as handle:
             names = pa.ipc.open_file(handle).schema.names
