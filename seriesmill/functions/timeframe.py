@@ -51,16 +51,25 @@ def _lookup(key: Column, table: dict[str, int]) -> Column:
 
 
 def tf_minutes(timeframe: Column) -> Column:
-    """Minutes of a time-frame column; null where it cannot be read."""
+    """Minutes of a time-frame column; null where it cannot be read.
+
+    The forms are tried in turn, the cheap ones first; the pattern is only
+    matched for texts that are neither a standard name nor amount and unit.
+    """
     lowered = F.lower(timeframe)
-    amount = F.regexp_extract(lowered, _FREE_FORM, 1).try_cast("bigint")
-    unit = _lookup(F.regexp_extract(lowered, _FREE_FORM, 2), TIMEFRAME_UNITS)
+    unit = F.ltrim(lowered, F.lit("0123456789"))
+    digits = F.left(lowered, F.length(lowered) - F.length(unit))
+    # A failed cast is slow, so texts without an amount are not cast at all.
+    amount = F.nullif(digits, F.lit("")).try_cast("bigint")
+    plurals = {f"{name}s": minutes for name, minutes in TIMEFRAME_UNITS.items()}
     plain = F.when(
         timeframe.rlike(_INTEGER),
         F.regexp_replace(F.trim(timeframe), "[_+]", "").try_cast("bigint"),
     )
     return F.coalesce(
-        _lookup(timeframe, STANDARD_TIMEFRAMES).cast("bigint"), amount * unit, plain
+        _lookup(timeframe, STANDARD_TIMEFRAMES).cast("bigint"),
+        amount * _lookup(unit, TIMEFRAME_UNITS | plurals),
+        plain,
     )
 
 

@@ -6,7 +6,7 @@ null for "open".  "Now" is always an argument, so results can be repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.fixed_values import (
@@ -37,27 +37,46 @@ def _with_clock(day: Column, clock: str) -> Column:
     return F.when(F.contains(day, F.lit("_")), day).otherwise(F.concat(day, F.lit(clock)))
 
 
-def parse_range(text: Column, now_ms: Column | int | None = None) -> Column:
-    """``A-B`` as ``struct(start_ms, end_ms)``; null where the text is not a range.
+def read_ranges(
+    df: DataFrame, text: str = "timerange", now_ms: Column | int | None = None
+) -> DataFrame:
+    """Add ``start_ms``, ``end_ms`` and ``valid`` for a column of ``A-B`` texts.
 
     A missing start means the default start, a missing end stays open.  A day
     without a clock starts at 00:00:00 as start and ends at 23:59:59 as end.
-    With ``now_ms`` the range is also cleaned, see :func:`clean_range`.
+    Texts that are no range give nulls and ``valid`` False.  With ``now_ms``
+    the ranges are also cleaned, see :func:`clean_range`.
+
+    Works in steps, one projection each, so that each text is read once.
     """
-    has_dash = F.contains(text, F.lit("-"))
-    start_text = F.substring_index(text, "-", 1)
-    end_text = F.substr(text, F.length(start_text) + 2)
-    start_text = F.when(start_text == "", F.lit(DEFAULT_RANGE_START)).otherwise(
-        _with_clock(start_text, RANGE_DAY_START)
+    start, end = F.col("_start"), F.col("_end")
+    split = df.withColumn("_start", F.substring_index(text, "-", 1)).withColumn(
+        "_end", F.substr(F.col(text), F.length("_start") + 2)
+    )
+    stamped = split.withColumns(
+        {
+            "_open": end == "",
+            "_start": _stamp_ms(
+                F.when(start == "", F.lit(DEFAULT_RANGE_START)).otherwise(
+                    _with_clock(start, RANGE_DAY_START)
+                )
+            ),
+            "_end": _stamp_ms(_with_clock(end, RANGE_DAY_END)),
+        }
+    )
+    valid = F.coalesce(
+        F.contains(F.col(text), F.lit("-")) & start.isNotNull() & (F.col("_open") | end.isNotNull()),
+        F.lit(False),
+    )
+    judged = stamped.withColumns(
+        {"valid": valid, "_start": F.when(valid, start), "_end": F.when(valid, end)}
     )
-    open_end = end_text == ""
-    start = _stamp_ms(start_text)
-    end = _stamp_ms(_with_clock(end_text, RANGE_DAY_END))
-    valid = has_dash & start.isNotNull() & (open_end | end.isNotNull())
-    end = F.when(~open_end, end)
-    if now_ms is None:
-        return F.when(valid, F.struct(start.alias("start_ms"), end.alias("end_ms")))
-    return F.when(valid, clean_range(start, end, now_ms))
+    if now_ms is not None:
+        cleaned = clean_range(start, end, now_ms)
+        judged = judged.withColumns(
+            {"_start": cleaned.getField("start_ms"), "_end": cleaned.getField("end_ms")}
+        )
+    return judged.withColumns({"start_ms": start, "end_ms": end}).drop("_start", "_end", "_open")
 
 
 def clean_range(start_ms: Column, end_ms: Column, now_ms: Column | int) -> Column:
@@ -116,7 +135,8 @@ def parse_time(text: Column, now_ms: Column | int) -> Column:
     unit_ms = F.element_at(
         F.create_map(*[F.lit(x) for item in RELATIVE_UNITS_MS.items() for x in item]), unit
     )
-    distance = F.regexp_extract(lowered, _RELATIVE, 2).try_cast("bigint") * unit_ms
+    amount = F.nullif(F.regexp_extract(lowered, _RELATIVE, 2), F.lit(""))
+    distance = amount.try_cast("bigint") * unit_ms
     sign = F.when(F.regexp_extract(lowered, _RELATIVE, 1) == "-", -1).otherwise(1)
     return F.coalesce(iso, now + sign * distance)
 

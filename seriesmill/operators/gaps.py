@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.functions.timeframe import milliseconds_of
+from seriesmill.functions.timeframe import DAY_MS, milliseconds_of
 from seriesmill.operators.ordered import previous
 from seriesmill.plans.skew import ROWS_PER_TASK
 
 # Bars of a hole are listed in runs of this length, one array per run.
 _RUN = 10_000
+# Bars are unique on their grid, so this many years bound the rows of a series.
+_YEARS_MS = 150 * 366 * DAY_MS
+
+
+def _limit(step: int, rows_per_task: int | None) -> int | None:
+    """No search for long series where the grid leaves no room for one."""
+    if rows_per_task is None or _YEARS_MS // step <= rows_per_task:
+        return None
+    return rows_per_task
 
 
 def gap_ranges(
@@ -28,7 +37,9 @@ def gap_ranges(
     """
     step = milliseconds_of(timeframe)
     keyed = bars.select(*series, F.unix_millis(time).alias("_ms"))
-    looked = previous(keyed, series, ["_ms"], {"_prev": "_ms"}, rows_per_task=rows_per_task)
+    looked = previous(
+        keyed, series, ["_ms"], {"_prev": "_ms"}, rows_per_task=_limit(step, rows_per_task)
+    )
     return looked.filter(F.col("_ms") - F.col("_prev") > step).select(
         *series,
         (F.col("_prev") + step).alias("gap_start_ms"),

@@ -44,12 +44,15 @@ def split_series(
     """
     if rows_per_task is None:
         return SplitSeries(df, None)
-    shared_folder(df.sparkSession)
     counts = df.groupBy(*series).agg(F.count("*").alias("_rows"))
-    long_keys = counts.filter(F.col("_rows") > rows_per_task).checkpoint()
-    n_keys, n_rows = long_keys.agg(F.count("*"), F.sum("_rows")).first()
+    is_long = F.col("_rows") > rows_per_task
+    n_keys, n_rows = counts.agg(
+        F.count_if(is_long), F.sum(F.when(is_long, F.col("_rows")))
+    ).first()
     if not n_keys:
         return SplitSeries(df, None)
+    shared_folder(df.sparkSession)
+    long_keys = counts.filter(is_long).checkpoint()
     keys = long_keys.select(*[F.col(k).alias(f"_k_{k}") for k in series])
     if n_keys <= BROADCAST_KEYS:
         keys = F.broadcast(keys)

@@ -210,14 +210,8 @@ WITH t AS (
 
 
 def timerange_parse(spark, sf_dir):
-    rows = _range_texts(spark, sf_dir).withColumn("r", tr.parse_range(F.col("text")))
-    return rows.select(
-        "o_orderkey",
-        "text",
-        F.col("r").isNotNull().alias("valid"),
-        F.col("r.start_ms").alias("start_ms"),
-        F.col("r.end_ms").alias("end_ms"),
-    )
+    rows = tr.read_ranges(_range_texts(spark, sf_dir), "text")
+    return rows.select("o_orderkey", "text", "valid", "start_ms", "end_ms")
 
 
 TIMERANGE_PARSE_SQL = _RANGE_SQL + """
@@ -226,10 +220,8 @@ SELECT o_orderkey, text, start_ms IS NOT NULL AS valid, start_ms, end_ms FROM x
 
 
 def timerange_sanitize(spark, sf_dir):
-    rows = _range_texts(spark, sf_dir).withColumn("r", tr.parse_range(F.col("text"), NOW_MS))
-    return rows.select(
-        "o_orderkey", F.col("r.start_ms").alias("start_ms"), F.col("r.end_ms").alias("end_ms")
-    )
+    rows = tr.read_ranges(_range_texts(spark, sf_dir), "text", NOW_MS)
+    return rows.select("o_orderkey", "start_ms", "end_ms")
 
 
 TIMERANGE_SANITIZE_SQL = _RANGE_SQL + f"""

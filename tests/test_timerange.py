@@ -15,8 +15,9 @@ def ms(*parts):
 
 def parsed(spark, texts, now=None):
     df = spark.createDataFrame([(t,) for t in texts], "t STRING")
-    rows = df.select(tr.parse_range(F.col("t"), now).alias("r")).collect()
-    return [None if r.r is None else (r.r.start_ms, r.r.end_ms) for r in rows]
+    rows = tr.read_ranges(df, "t", now).collect()
+    assert all(r.valid or r.start_ms is None and r.end_ms is None for r in rows)
+    return [(r.start_ms, r.end_ms) if r.valid else None for r in rows]
 
 
 def test_ranges(spark):
