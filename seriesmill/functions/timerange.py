@@ -150,3 +150,9 @@ def epoch_to_time(value: Column) -> Column:
     """A number that is milliseconds when large and seconds when small, as TIMESTAMP."""
     ms = F.when(value > EPOCH_MS_THRESHOLD, value).otherwise(value * 1000)
     return F.timestamp_millis(ms.cast("bigint"))
+
+
+def whole_days(start_ms: Column, now_ms: Column | int) -> Column:
+    """Calendar days (UTC) from a start to now; how many daily records to ask for."""
+    now = F.lit(now_ms) if isinstance(now_ms, int) else now_ms
+    return F.datediff(F.timestamp_millis(now), F.timestamp_millis(start_ms))

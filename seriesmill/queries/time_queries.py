@@ -365,6 +365,35 @@ SELECT symbol, event_id,
 FROM t
 """
 
+
+def tf_rising_edge(spark, sf_dir):
+    """Events that are the first of their series near the end of a four-hour bar."""
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "seq")
+    near = tf.near_end(F.unix_millis("time"), "4h", 3600)
+    edges = rising_edge(rows, ["symbol"], ["time", "seq"], near)
+    return edges.select("symbol", F.col("seq").alias("event_id"), "fires")
+
+
+TF_EDGE_SQL = """
+WITH t AS (SELECT 'u' || user_id AS symbol, event_id, ts, epoch_us(ts) // 1000 AS ms FROM events),
+c AS (SELECT *, ms + 3600000 >= ms // 14400000 * 14400000 + 14400000 AS near FROM t)
+SELECT symbol, event_id, near AND NOT coalesce(
+  lag(near) OVER (PARTITION BY symbol ORDER BY ts, event_id), FALSE) AS fires FROM c
+"""
+
+
+def sentiment_days(spark, sf_dir):
+    """Daily records needed from the time of every event to now."""
+    return event_rows(spark, sf_dir).select(
+        F.col("seq").alias("event_id"),
+        tr.whole_days(F.unix_millis("time"), NOW_MS).cast("bigint").alias("days"),
+    )
+
+
+SENTIMENT_DAYS_SQL = """
+SELECT event_id, date_diff('day', ts::DATE, DATE '2024-01-31') AS days FROM events
+"""
+
 QUERIES = {
     "tf_minutes": (tf_minutes, TF_MINUTES_SQL),
     "tf_round": (tf_round, TF_ROUND_SQL),
@@ -379,4 +408,6 @@ QUERIES = {
     "fmt_size": (fmt_size, FMT_SIZE_SQL),
     "slot_filter": (slot_filter, SLOT_FILTER_SQL),
     "slot_rising_edge": (slot_rising_edge, SLOT_EDGE_SQL),
+    "tf_rising_edge": (tf_rising_edge, TF_EDGE_SQL),
+    "sentiment_days": (sentiment_days, SENTIMENT_DAYS_SQL),
 }

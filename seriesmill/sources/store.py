@@ -24,6 +24,8 @@ from seriesmill.session import shared_folder, work_path
 MONTH = "month"
 PARTITIONS = ["source", "timeframe", MONTH]
 ROW_KEYS = [*SERIES_KEYS, "time"]
+# Up to this many partitions are named in a filter; more are matched by a join.
+_LISTED = 1000
 
 
 def month_of(time: Column) -> Column:
@@ -91,7 +93,8 @@ class SeriesTable:
         """Add the rows whose (series, time) is not stored; returns the rows added.
 
         Stored rows win, so nothing stored is rewritten, and running the same
-        batch again adds nothing.  Only partitions the batch touches are read.
+        batch again adds nothing.  Of the table only the key columns are read,
+        and only in partitions the batch touches.  ``new`` is evaluated twice.
         """
         shared_folder(self.spark)
         order = arrival or ["time"]
@@ -99,9 +102,7 @@ class SeriesTable:
         incoming = new.select(*self.schema.fieldNames(), *extra).withColumn(
             MONTH, month_of(F.col("time"))
         )
-        # One row per table partition: a number of months, not of rows.
-        touched = incoming.select(*PARTITIONS).distinct()
-        stored = self._scan().join(F.broadcast(touched), PARTITIONS, "left_semi")
+        stored = self._within(incoming, PARTITIONS)
         added = rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra).checkpoint()
         self._write(added.select(*self._stored.fieldNames()), "append")
         return added.drop(MONTH)
@@ -135,34 +136,51 @@ class SeriesTable:
         )
         self._overwrite(keep_first(part, ROW_KEYS, ["time"]))
 
+    def _within(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """Stored rows of the partitions that ``rows`` lie in.
+
+        The partition values become literals, so all other folders are
+        skipped while the scan is planned.
+        """
+        wanted = rows.select(*columns).distinct()
+        listed = wanted.limit(_LISTED + 1).collect()
+        if len(listed) > _LISTED:
+            return self._scan().join(wanted, columns, "left_semi")
+        folders: dict[tuple, list] = {}
+        for *folder, last in listed:
+            folders.setdefault(tuple(folder), []).append(last)
+        test = F.lit(False)
+        for folder, lasts in folders.items():
+            one = F.col(columns[-1]).isin(lasts)
+            for name, value in zip(columns, folder, strict=False):
+                one = one & (F.col(name) == value)
+            test = test | one
+        return self._scan().filter(test)
+
     def _rewrite(self, keys: DataFrame, extra: DataFrame | None) -> None:
         """Rewrite the partitions that hold ``keys`` without them, with ``extra`` added."""
-        scan = self._scan()
-        # Bounded by the number of table partitions.
-        affected = scan.join(keys, SERIES_KEYS, "left_semi").select(*PARTITIONS).distinct()
-        affected_rows = affected.collect()
-        if not affected_rows:
+        shared_folder(self.spark)
+        holding = self._within(keys, PARTITIONS[:2]).join(keys, SERIES_KEYS, "left_semi")
+        # One row per table partition.
+        affected = holding.select(*PARTITIONS).distinct().checkpoint()
+        if affected.isEmpty():
             if extra is not None:
                 self._write(extra, "append")
             return
-        parts = self.spark.createDataFrame(affected_rows, affected.schema)
-        kept = scan.join(F.broadcast(parts), PARTITIONS, "left_semi").join(
-            keys, SERIES_KEYS, "left_anti"
+        touched = affected
+        if extra is not None:
+            touched = affected.unionByName(extra.select(*PARTITIONS).distinct())
+        # A partition is replaced as a whole: what other series hold in it comes along.
+        wanted = (
+            self._within(touched, PARTITIONS)
+            .join(keys, SERIES_KEYS, "left_anti")
+            .select(*self._stored.fieldNames())
         )
-        wanted = kept.select(*self._stored.fieldNames())
         if extra is not None:
-            # Partitions the new rows touch are replaced as a whole, so what
-            # other series hold there comes along.
-            touched = extra.select(*PARTITIONS).distinct().join(
-                F.broadcast(parts), PARTITIONS, "left_anti"
-            )
-            others = scan.join(F.broadcast(touched), PARTITIONS, "left_semi")
-            wanted = wanted.unionByName(others.select(*self._stored.fieldNames())).unionByName(
-                extra.select(*self._stored.fieldNames())
-            )
+            wanted = wanted.unionByName(extra.select(*self._stored.fieldNames()))
         staged = self._overwrite(wanted)
-        emptied = parts.join(staged.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
-        for row in emptied.collect():
+        emptied = affected.join(staged.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
+        for row in emptied.toLocalIterator():
             self._empty_partition(row)
 
     def _overwrite(self, df: DataFrame) -> DataFrame:

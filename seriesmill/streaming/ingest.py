@@ -77,11 +77,16 @@ def ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        added = table.upsert(batch, arrival)
-        if audit_path is not None:
-            audit_rows(batch, added, batch_id).drop("batch_id").write.mode(
-                "overwrite"
-            ).parquet(f"{audit_path}/batch_id={batch_id}")
+        # Used several times; a lost part is read again from the landed files.
+        batch = batch.persist()
+        try:
+            added = table.upsert(batch, arrival)
+            if audit_path is not None:
+                audit_rows(batch, added, batch_id).drop("batch_id").write.mode(
+                    "overwrite"
+                ).parquet(f"{audit_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return _start(rows, checkpoint, trigger, store)
 

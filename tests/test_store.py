@@ -316,3 +316,15 @@ def test_registering_stores(spark, tmp_path, bars):
     path = str(tmp_path / "orc")
     registry.get_store("orc").write(bars, path)
     assert registry.get_store("orc").read(spark, path, bars.schema).count() == 3
+
+
+def test_many_partitions_are_matched_by_a_join(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "_LISTED", 1)
+    new = series(
+        spark,
+        [("spot", "ETH", "1d", f"2024-{m:02d}-01", float(m)) for m in range(1, 7)]
+        + [("a/b:c", "BTC", "1h", "2024-01-01", 9.0)],
+    )
+    assert table.upsert(new).count() == 5
+    table.delete(keys(spark, ("spot", "ETH", "1d"), ("a/b:c", "BTC", "1h")))
+    assert {r.symbol for r in table.read().collect()} == {"binance:BTC/USDT"}

@@ -128,3 +128,22 @@ def test_run_log_reports(spark):
     assert sorted((r.seq, r.old_status, r.new_status) for r in changed) == [
         (2, "created", "running"), (3, "running", "failed")
     ]
+
+
+def test_rows_behind_the_watermark_are_dropped(spark, tmp_path, landing):
+    """A row for a bar that has been emitted does not change it, nor emit it again."""
+    schema = rows(spark, []).schema
+    path, checkpoint = str(tmp_path / "late"), str(tmp_path / "late-checkpoint")
+
+    def go():
+        stream = ingest.landing_stream(spark, landing, schema)
+        bars = ingest.closed_bars(stream, ["symbol"], "1d", "1 day")
+        ingest.to_parquet(bars, path, checkpoint).awaitTermination()
+        return spark.read.schema(bars.schema).parquet(path)
+
+    assert go().count() == 8
+    land(spark, landing, [("s", "a", "1d", "2024-01-02", 500.0, 60),
+                          ("s", "a", "1d", "2024-01-12", 12.0, 61)])
+    got = go()
+    assert got.count() == 10
+    assert got.filter("time = '2024-01-02'").first().high == 2.0

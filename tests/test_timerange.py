@@ -132,3 +132,11 @@ def test_hourly_slot(spark):
 def test_bad_slots(ends):
     with pytest.raises(ValueError):
         in_slot(F.col("t"), *ends)
+
+
+def test_whole_days(spark):
+    df = spark.createDataFrame(
+        [(NOW,), (NOW - 1,), (NOW - 86_400_000,), (NOW - 86_400_001,)], "ms BIGINT"
+    )
+    got = [r[0] for r in df.select(tr.whole_days(F.col("ms"), NOW)).collect()]
+    assert got == [0, 1, 1, 2]
