@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.session import shared_folder
+from seriesmill.session import shared_folder, written
 
 PIECE = "_piece"
 ROWS_PER_TASK = 5_000_000
@@ -75,8 +75,5 @@ def cut_pieces(
     task is run again.
     """
     pieces = max(2, -(-2 * rows // rows_per_task))
-    return (
-        df.repartitionByRange(pieces, *[F.col(c) for c in [*series, *order]])
-        .withColumn(PIECE, F.spark_partition_id())
-        .checkpoint()
-    )
+    ranged = df.repartitionByRange(pieces, *[F.col(c) for c in [*series, *order]])
+    return written(ranged.withColumn(PIECE, F.spark_partition_id()), "pieces")

@@ -19,7 +19,7 @@ from seriesmill.operators.dedupe import keep_first
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
-from seriesmill.session import shared_folder, work_path
+from seriesmill.session import shared_folder, written
 
 MONTH = "month"
 PARTITIONS = ["source", "timeframe", MONTH]
@@ -103,7 +103,8 @@ class SeriesTable:
             MONTH, month_of(F.col("time"))
         )
         stored = self._within(incoming, PARTITIONS)
-        added = rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra).checkpoint()
+        added = rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra)
+        added = written(added, "added")
         self._write(added.select(*self._stored.fieldNames()), "append")
         return added.drop(MONTH)
 
@@ -185,9 +186,7 @@ class SeriesTable:
 
     def _overwrite(self, df: DataFrame) -> DataFrame:
         """Replace the partitions of ``df``, which may be read from this table: stage first."""
-        staging = work_path(self.spark, "staged")
-        df.write.parquet(staging)
-        staged = self.spark.read.schema(df.schema).parquet(staging)
+        staged = written(df, "staged")
         self._write(staged, "overwrite")
         return staged
 
