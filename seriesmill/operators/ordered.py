@@ -7,12 +7,11 @@ Both give the same rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.operators.matching import null_safe_join
 from seriesmill.plans.skew import PIECE, ROWS_PER_TASK, cut_pieces, split_series
 
 
@@ -23,18 +22,6 @@ def _no_nan(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _carry_join(local: DataFrame, carried: DataFrame, series: list[str]) -> DataFrame:
-    """Attach the carried row of each piece; a piece without one keeps nulls."""
-    renamed = carried
-    for k in [*series, PIECE]:
-        renamed = renamed.withColumnRenamed(k, f"_c_{k}")
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in [*series, PIECE]],
-    )
-    return local.join(renamed, same, "left").drop(*[f"_c_{k}" for k in [*series, PIECE]])
-
-
 def fill(
     df: DataFrame,
     series: list[str],
@@ -105,7 +92,7 @@ def fill_pieces(
         return value.alias(f"_carry_{name}")
 
     carried = local.filter("_piece_end").select(*series, PIECE, *[carry(c) for c in columns])
-    return _carry_join(local, carried, series).select(
+    return null_safe_join(local, carried, [*series, PIECE], "left").select(
         *[
             F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) if c in columns else F.col(c)
             for c in out_columns
@@ -150,7 +137,7 @@ def previous_pieces(
         PIECE,
         *[F.lag(old).over(between).alias(f"_carry_{new}") for new, old in columns.items()],
     )
-    return _carry_join(local, carried, series).select(
+    return null_safe_join(local, carried, [*series, PIECE], "left").select(
         *[c for c in pieces.columns if c != PIECE],
         *[
             F.when(F.col("_piece_start"), F.col(f"_carry_{new}"))

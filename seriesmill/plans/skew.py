@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.operators.matching import null_safe_join
 from seriesmill.session import shared_folder, written
 
 PIECE = "_piece"
@@ -53,14 +54,13 @@ def split_series(
         return SplitSeries(df, None)
     shared_folder(df.sparkSession)
     long_keys = counts.filter(is_long).checkpoint()
-    keys = long_keys.select(*[F.col(k).alias(f"_k_{k}") for k in series])
+    keys = long_keys.select(*series)
     if n_keys <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    same = F.lit(True)
-    for k in series:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return SplitSeries(
-        df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi"), int(n_rows)
+        null_safe_join(df, keys, series, "left_anti"),
+        null_safe_join(df, keys, series, "left_semi"),
+        int(n_rows),
     )
 
 

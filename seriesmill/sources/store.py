@@ -16,6 +16,7 @@ from seriesmill.fixed_values import NO_DATASET_TEXT, NO_END_TEXT, NO_START_TEXT
 from seriesmill.functions.names import dataset_id, format_size, table_name
 from seriesmill.functions.timerange import between
 from seriesmill.operators.dedupe import keep_first
+from seriesmill.operators.matching import null_safe_join
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
@@ -146,22 +147,25 @@ class SeriesTable:
         wanted = rows.select(*columns).distinct()
         listed = wanted.limit(_LISTED + 1).collect()
         if len(listed) > _LISTED:
-            return self._scan().join(wanted, columns, "left_semi")
+            return null_safe_join(self._scan(), wanted, columns, "left_semi")
         folders: dict[tuple, list] = {}
         for *folder, last in listed:
             folders.setdefault(tuple(folder), []).append(last)
         test = F.lit(False)
         for folder, lasts in folders.items():
-            one = F.col(columns[-1]).isin(lasts)
+            one = F.col(columns[-1]).isin([v for v in lasts if v is not None])
+            if None in lasts:
+                one = one | F.col(columns[-1]).isNull()
             for name, value in zip(columns, folder, strict=False):
-                one = one & (F.col(name) == value)
+                one = one & (F.col(name).isNull() if value is None else F.col(name) == value)
             test = test | one
         return self._scan().filter(test)
 
     def _rewrite(self, keys: DataFrame, extra: DataFrame | None) -> None:
         """Rewrite the partitions that hold ``keys`` without them, with ``extra`` added."""
         shared_folder(self.spark)
-        holding = self._within(keys, PARTITIONS[:2]).join(keys, SERIES_KEYS, "left_semi")
+        stored = self._within(keys, PARTITIONS[:2])
+        holding = null_safe_join(stored, keys, SERIES_KEYS, "left_semi")
         # One row per table partition.
         affected = holding.select(*PARTITIONS).distinct().checkpoint()
         if affected.isEmpty():
@@ -174,13 +178,14 @@ class SeriesTable:
         # A partition is replaced as a whole: what other series hold in it comes along.
         wanted = (
             self._within(touched, PARTITIONS)
-            .join(keys, SERIES_KEYS, "left_anti")
+            .transform(null_safe_join, keys, SERIES_KEYS, "left_anti")
             .select(*self._stored.fieldNames())
         )
         if extra is not None:
             wanted = wanted.unionByName(extra.select(*self._stored.fieldNames()))
         staged = self._overwrite(wanted)
-        emptied = affected.join(staged.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
+        filled = staged.select(*PARTITIONS).distinct()
+        emptied = null_safe_join(affected, filled, PARTITIONS, "left_anti")
         for row in emptied.toLocalIterator():
             self._empty_partition(row)
 
@@ -213,7 +218,9 @@ class SeriesTable:
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
 
 
-def _escaped(value: str) -> str:
+def _escaped(value: str | None) -> str:
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 

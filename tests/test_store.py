@@ -328,3 +328,39 @@ def test_many_partitions_are_matched_by_a_join(spark, table, monkeypatch):
     assert table.upsert(new).count() == 5
     table.delete(keys(spark, ("spot", "ETH", "1d"), ("a/b:c", "BTC", "1h")))
     assert {r.symbol for r in table.read().collect()} == {"binance:BTC/USDT"}
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_rows_without_a_time_are_kept_once(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(store, "_LISTED", listed)
+    made = store.SeriesTable(spark, str(tmp_path / "series"), PAYLOAD)
+    new = series(
+        spark,
+        [("s", "x", "1d", None, 1.0), ("s", "x", "1d", None, 2.0),
+         ("s", "x", "1d", "2024-01-01", 3.0), ("s", "y", "1d", None, 4.0)],
+    ).withColumn("seq", F.col("value"))
+    assert made.upsert(new, ["seq"]).count() == 3
+    assert made.upsert(new, ["seq"]).count() == 0
+    assert sorted(r.value for r in made.read().collect()) == [1.0, 3.0, 4.0]
+    made.delete(keys(spark, ("s", "x", "1d")))
+    assert [r.value for r in made.read().collect()] == [4.0]
+    made.delete(keys(spark, ("s", "y", "1d")))
+    assert made.read().isEmpty()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from seriesmill.session import shared_folder
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: default),
+            sparkContext=SimpleNamespace(
+                master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None
+            ),
+        )
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+    assert shared_folder(session("local[2]"))
