@@ -15,6 +15,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     joined = left.join(right.withColumnsRenamed(names), same, how)
     return joined.drop(*names.values()) if how == "left" else joined
 
-
-def any_null(keys: list[str]) -> Column:
-    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.operators.dedupe import keep_first
-from seriesmill.operators.matching import any_null, null_safe_join
 
 
 def union_pages(pages: list[DataFrame]) -> DataFrame:
@@ -27,16 +26,13 @@ def rows_to_add(
     """First new row of every key that is not stored.
 
     The join runs on the whole key, time included, so a series that makes up
-    much of the table is still spread over all tasks.  Keys with a null are
-    compared apart, so that all others can use the partitioning they have.
+    much of the table is still spread over all tasks.  The key is one struct:
+    structs with a null at the same place are equal, and one shuffle by it
+    serves both steps.
     """
-    first = keep_first(new, keys, arrival)
-    held = stored.select(*keys)
-    partial = any_null(keys)
-    complete = first.filter(~partial).join(held, keys, "left_anti")
-    return complete.unionByName(
-        null_safe_join(first.filter(partial), held.filter(partial), keys, "left_anti")
-    )
+    key = F.struct(*keys)
+    first = keep_first(new.withColumn("_key", key), ["_key"], arrival)
+    return first.join(stored.select(key.alias("_key")), "_key", "left_anti").drop("_key")
 
 
 def merge_upsert(
