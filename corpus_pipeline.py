@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm import packing
-from seriesmill.llm.queries import WORD_JSON
+from seriesmill.llm.queries import WORD_JSON, table
 from seriesmill.session import work_path
 
 
@@ -23,7 +23,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, f"stage-{name}")
         stage(spark, rows, sf_dir).write.parquet(path)

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm import packing, token_files
+from seriesmill.session import ship_package
 
 # The tokenizer files, by what they are used for.
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,6 +14,7 @@ WORD_JSON = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
