@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -14,6 +16,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run on rows are found there by module name; an installed
+    package or ``--py-files`` does the same.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        name = os.path.join(tempfile.mkdtemp(prefix="package-"), "seriesmill")
+        sc.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(here), os.path.basename(here)))
+        _shipped.add(sc.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
