@@ -1,23 +1,59 @@
-"""From documents to training sequences: the stages of the corpus pipeline."""
+"""From documents to training sequences: the stages of the corpus pipeline.
+
+Each stage works on every document that the one before it kept, and returns the
+documents' own columns; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesmill.llm import packing
+from seriesmill.llm import line_dedup, near_dups, packing, quality, suffixes
 from seriesmill.llm.queries import WORD_JSON, table
-from seriesmill.session import work_path
+from seriesmill.session import ship_package, work_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie in the perplexity band of their language."""
+    ship_package(spark)
+    return quality.kept_documents(docs)
+
+
+def deduped_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier line matches."""
+    ship_package(spark)
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select(*(kept[c] if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the least ``doc_id``."""
+    ship_package(spark)
+    return near_dups.one_of_each(docs)
+
+
+def passages_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without bytes that a repeated 400-byte string covers."""
+    ship_package(spark)
+    return suffixes.dedup_passages(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 tokens."""
+    ship_package(spark)
     return packing.pack_documents(docs, WORD_JSON)
 
 
 STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", deduped_lines),
+    ("near dedup", near_deduped),
+    ("suffix-array dedup", passages_removed),
     ("packing", packed),
 ]
 
+#: No stage but the line cut can be said in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
@@ -25,7 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
     rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = work_path(spark, f"stage-{name}")
+        path = work_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, rows, sf_dir).write.parquet(path)
         rows = spark.read.parquet(path)
     return rows

@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesmill.llm import packing, token_files
+from seriesmill.llm import (
+    bpe,
+    licenses,
+    line_dedup,
+    near_dups,
+    packing,
+    quality,
+    suffixes,
+    token_files,
+    warc,
+    winnowing,
+)
 from seriesmill.session import ship_package
 
 # The tokenizer files, by what they are used for.
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_JSON = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -18,6 +33,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _token_digests(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
+    spelled = " ".join(map(str, ids)).encode()
+    return len(ids), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return bpe.with_decoded(
+        ids,
+        BYTE_RANKS,
+        _token_digests,
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "row.doc_id",
+        F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("licenses", " ").alias("licenses"),
+        "unmatched",
+    )
+
+
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents")).drop("tkey")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_JSON)
 
@@ -26,9 +70,60 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), BYTE_JSON)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def _cut(own: bytes, covered) -> tuple[int, int, int, str]:
+    kept = suffixes.kept_bytes(own, covered)
+    spans = int(covered[:1].sum()) + int((covered[1:] & ~covered[:-1]).sum())
+    return len(own), len(own) - len(kept), spans, hashlib.sha256(kept).hexdigest()
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    cut = suffixes.without_repeats(table(spark, sf_dir, "documents"), _cut, schema, ["doc_id"])
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("row.doc_id", *quality.COUNTS, "base_failed", "kept", "log_perplexity")
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        winnowing.spelled(F.col("chosen")).alias("fingerprint"),
+        winnowing.spelled(F.col("edited_chosen")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
-    "op4_packing": op4_packing,
-    "op5_token_files": op5_token_files,
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_license_scan,
+        op3_minhash_dedup,
+        op4_packing,
+        op5_token_files,
+        op6_warc,
+        op7_suffix_dedup,
+        op8_quality,
+        op9_winnowing,
+        op10_line_dedup,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
