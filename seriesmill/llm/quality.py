@@ -5,9 +5,9 @@ normalised texts (small ASCII letters, single spaces), smoothed by interpolated
 modified Kneser-Ney, and kept as sorted arrays of n-gram keys.  A key is the
 n-gram itself, its bytes packed into one number, so no two n-grams share a key.
 A document is rejected where its base counts fail, or where its perplexity
-lies outside the band of its language: more than ``width`` quartile distances
-below the first or above the third quartile of the log perplexities of the
-documents of that language that passed the base rules.
+lies outside the band of its language: more than ``lower`` quartile distances
+below the first or ``upper`` above the third quartile of the log perplexities of
+the documents of that language that passed the base rules.
 
 Defined results: a null text is empty and fails the base rules; a null language
 is a language of its own; repeated rows count each time; in an empty table there
@@ -40,7 +40,8 @@ ORDER = 4
 EDGE = 10  # stands before and after a text; white space inside is always a space
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
-BAND_WIDTH = 4.0
+LOWER_WIDTH = 3.0
+UPPER_WIDTH = 4.0
 #: Rows of the models that one scoring pass sends to the tasks, 12 bytes each.
 MODEL_ROWS = 4_000_000
 #: Distinct n-grams a task gathers before it hands them on.
@@ -66,10 +67,8 @@ def symbols(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarr
     for i in range(order):
         keys <<= np.uint64(8)
         keys |= padded[i : len(padded) - order + 1 + i]
-    starts = np.zeros(len(keys), bool)
     ends = np.concatenate([[0], np.cumsum(lengths + 1)])
     at = np.arange(ends[-1]) + np.repeat(firsts[:-1] - ends[:-1], lengths + 1)
-    del starts
     return keys[at], ends
 
 
@@ -140,11 +139,11 @@ def kneser_ney(counts: DataFrame, order: int) -> DataFrame:
     below, levels, weights = None, {}, {}
     for size in range(1, order + 1):
         of = [_number(F.col("n") == i).alias(f"t{i}") for i in (1, 2, 3, 4)]
-        y = F.col("t1") / (F.col("t1") + 2 * F.col("t2"))
+        y = F.try_divide("t1", F.col("t1") + 2 * F.col("t2"))
         found = tables[size].groupBy("lang").agg(*of)
 
         def discount(i: int) -> Column:
-            more = i - (i + 1) * y * F.col(f"t{i + 1}") / F.col(f"t{i}")
+            more = i - (i + 1) * y * F.try_divide(f"t{i + 1}", f"t{i}")
             return F.coalesce(F.when((more > 0) & (more < i), more), F.lit(0.5 * i)).alias(f"d{i}")
 
         rows = tables[size].join(found.select("lang", *(discount(i) for i in (1, 2, 3))), "lang")
@@ -297,7 +296,8 @@ def quality(
     text: str = "text",
     lang: str = "lang",
     order: int = ORDER,
-    width: float = BAND_WIDTH,
+    lower: float = LOWER_WIDTH,
+    upper: float = UPPER_WIDTH,
 ) -> DataFrame:
     """(row, counts, log_perplexity, base_failed, kept); ``row`` holds the input's columns.
 
@@ -334,8 +334,10 @@ def quality(
     )
     quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
     bands = every.filter(~F.col("base_failed")).groupBy("lang").agg(quartiles.alias("q"))
-    reach = (F.col("q")[1] - F.col("q")[0]) * width
-    bands = bands.select("lang", (F.col("q")[0] - reach).alias("lower"), (F.col("q")[1] + reach).alias("upper"))
+    apart = F.col("q")[1] - F.col("q")[0]
+    bands = bands.select(
+        "lang", (F.col("q")[0] - lower * apart).alias("lower"), (F.col("q")[1] + upper * apart).alias("upper")
+    )
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     return every.join(bands, "lang", "left").select(
         "row", *COUNTS, "log_perplexity", "base_failed",
