@@ -26,7 +26,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
@@ -37,8 +38,9 @@ THRESHOLD = 0.8
 MIN_WORDS = 5
 #: Cells of the count table: 2 ** 22, four megabytes when sent to the tasks.
 COUNT_BITS = 22
-FILTER_BITS = 24
-LINES = "doc_id long, tkey long, line int, s1 long, s2 long, n int, b1 long, b2 long, prefix array<struct<token:long,at:int>>"
+FILTER_BITS = 26
+LINES = "doc_id long, tkey long, line int, s1 long, s2 long"
+ENTRIES = "token int, s1 long, bits long, n int, at int"
 
 
 class LineSets:
@@ -74,14 +76,15 @@ class LineSets:
             out.append(np.add.reduceat(scrambled, self.first) if len(self.first) else scrambled)
         return out[0], out[1]
 
-    def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each set as 128 bits, one bit a word."""
-        bit = mixed(self.token ^ np.uint64(0x2545F4914F6CDD1D))
-        out = []
-        for half in (0, 1):
-            own = np.where(bit >> np.uint64(63) == half, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
-            out.append(np.bitwise_or.reduceat(own, self.first) if len(self.first) else own)
-        return out[0], out[1]
+    def bitmaps(self) -> np.ndarray:
+        """Each set as 64 bits, one bit a word."""
+        bit = np.uint64(1) << (mixed(self.token ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(63))
+        return np.bitwise_or.reduceat(bit, self.first) if len(self.first) else bit
+
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, number in its text) of each line that has a set."""
+        row = self.rows[self.line]
+        return row, self.line - (np.cumsum(self.lines_of) - self.lines_of)[row]
 
 
 def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -110,61 +113,89 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.where(counts < 128, counts, np.minimum(high, 255)).astype(np.uint8)
 
 
-def line_rows(given: DataFrame, rarity: np.ndarray, threshold: float, min_words: int) -> DataFrame:
-    """One row a line, with its set's digests, size, bitmap and prefix.
+def line_rows(given: DataFrame, min_words: int) -> DataFrame:
+    """One row a line, with the digests of its set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            sets = LineSets(block, min_words)
+            row, number = sets.numbers()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("doc_id").take(pa.array(row)),
+                    block.column("tkey").take(pa.array(row)),
+                    pa.array(number.astype(np.int32)),
+                    *(pa.array(x.view(np.int64)) for x in sets.digests()),
+                ],
+                names=["doc_id", "tkey", "line", "s1", "s2"],
+            )
+
+    return given.mapInArrow(run, LINES)
 
-    Words that only one line of the corpus has are left out of prefixes: no
-    other line can meet there.
+
+def document_key(doc_id: Column, tkey: Column) -> Column:
+    return tkey.bitwiseXOR(F.shiftleft(F.coalesce(doc_id, F.lit(0)), 20))
+
+
+def place_key(place: str) -> Column:
+    """A number for the place of a line, for filters."""
+    doc_id, tkey, line = (F.col(f"{place}.{c}") for c in ("doc_id", "tkey", "line"))
+    return document_key(doc_id, tkey).bitwiseXOR(F.shiftleft(line.cast("long"), 40))
+
+
+def prefix_entries(
+    given: DataFrame, places: np.ndarray, rarity: np.ndarray, threshold: float, min_words: int
+) -> DataFrame:
+    """The prefix words of the sets whose first lines are in a filter of ``place_key``.
+
+    Words in whose cell the corpus has one line are left out: no other line can
+    meet there.  Words are cut to 32 bits here; one more meeting does no harm.
     """
-    sent = given.sparkSession.sparkContext.broadcast(rarity)
+    sent = given.sparkSession.sparkContext.broadcast((places, rarity))
     bits = len(rarity).bit_length() - 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             sets = LineSets(block, min_words)
-            level = sent.value[sets.token >> np.uint64(64 - bits)]
+            row, number = sets.numbers()
+            ids = pc.fill_null(block.column("doc_id"), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            tkey = block.column("tkey").to_numpy(zero_copy_only=False).astype(np.int64)
+            key = tkey[row] ^ (number.astype(np.int64) << 40) ^ (ids[row] << 20)
+            first = sketches.in_filter(sent.value[0], key.view(np.uint64))
+            level = sent.value[1][sets.token >> np.uint64(64 - bits)]
             order = np.lexsort((sets.token, level, sets.of))
             token, level = sets.token[order], level[order]
             at = np.arange(len(token)) - np.repeat(sets.first, sets.n)
-            prefix = sets.n - _needed(sets.n, threshold) + 1
+            prefix = np.where(first, sets.n - _needed(sets.n, threshold) + 1, 0)
             used = (at < np.repeat(prefix, sets.n)) & (level > 1)
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(sets.of[used], minlength=len(sets.n)))])
-            entries = pa.StructArray.from_arrays(
-                [pa.array(token[used].view(np.int64)), pa.array(at[used].astype(np.int32))], names=["token", "at"]
-            )
-            row = sets.rows[sets.line]
-            number = sets.line - (np.cumsum(sets.lines_of) - sets.lines_of)[row]
-            s1, s2 = sets.digests()
-            b1, b2 = sets.bitmaps()
+            of = sets.of[used]
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id").take(pa.array(row)),
-                    block.column("tkey").take(pa.array(row)),
-                    pa.array(number.astype(np.int32)),
-                    *(pa.array(x.view(np.int64)) for x in (s1, s2)),
-                    pa.array(sets.n.astype(np.int32)),
-                    *(pa.array(x.view(np.int64)) for x in (b1, b2)),
-                    pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), entries),
+                    pa.array((token[used] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                    pa.array(sets.digests()[0][of].view(np.int64)),
+                    pa.array(sets.bitmaps()[of].view(np.int64)),
+                    pa.array(sets.n[of].astype(np.int32)),
+                    pa.array(at[used].astype(np.int32)),
                 ],
-                names=["doc_id", "tkey", "line", "s1", "s2", "n", "b1", "b2", "prefix"],
+                names=[f.split()[0] for f in ENTRIES.split(", ")],
             )
 
-    return given.mapInArrow(run, LINES)
+    return given.mapInArrow(run, ENTRIES)
 
 
-def candidates(sets: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of different sets that pass every filter; ``a`` is not the larger one."""
-    entries = sets.select("s1", "n", "b1", "b2", F.inline("prefix"))
-    a = entries.select("token", *(F.col(c).alias(f"a_{c}") for c in ("s1", "n", "b1", "b2", "at")))
-    b = entries.select("token", *(F.col(c).alias(f"b_{c}") for c in ("s1", "n", "b1", "b2", "at")))
+def candidates(entries: DataFrame, threshold: float) -> DataFrame:
+    """(a_s1, b_s1) of different sets that pass every filter; ``a`` is not the larger one."""
+    a, b = (
+        entries.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("s1", "bits", "n", "at"))) for side in "ab"
+    )
     both = F.col("a_n") + F.col("b_n")
     shared = F.ceil(F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9))
     smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_s1") < F.col("b_s1")))
     length = F.col("a_n") >= F.lit(threshold) * F.col("b_n") - F.lit(1e-9)
     position = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) >= shared
-    apart = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("b1", "b2"))
-    near = apart <= both - 2 * shared
-    return a.join(b, "token").filter(smaller & length & position & near).select("a_s1", "b_s1").distinct()
+    # Each bit that only one set has stands for a word that only this set has.
+    apart = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= both - 2 * shared
+    return a.join(b, "token").filter(smaller & length & position & apart).select("a_s1", "b_s1").distinct()
 
 
 def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
@@ -195,9 +226,9 @@ def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFram
     )
 
 
-def similar_sets(given: DataFrame, sets: DataFrame, threshold: float, min_words: int) -> DataFrame:
+def similar_sets(given: DataFrame, entries: DataFrame, threshold: float, min_words: int) -> DataFrame:
     """(a_s1, b_s1) of all pairs of different sets with Jaccard ``threshold`` or more."""
-    pairs = written(candidates(sets, threshold), "line-pairs")
+    pairs = written(candidates(entries, threshold), "line-pairs")
     ends = pairs.select(F.explode(F.array("a_s1", "b_s1")).alias("s1"))
     wanted = sketches.bit_filter(ends, "s1", FILTER_BITS)
     tokens = written(set_tokens(given, wanted, min_words), "line-tokens")
@@ -218,15 +249,13 @@ def removed_lines(
     ``given`` holds doc_id, tkey (a hash of the text) and text.
     """
     rarity = levels(word_counts(given, min_words, bits))
-    lines = written(line_rows(given, rarity, threshold, min_words), "lines")
+    lines = written(line_rows(given, min_words), "lines")
     place = F.struct("doc_id", "tkey", "line")
-    sets = lines.groupBy("s1", "s2").agg(
-        F.min(place).alias("place"),
-        F.max(place).alias("last"),
-        *(F.first(c).alias(c) for c in ("n", "b1", "b2", "prefix")),
-    )
+    sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     sets = written(sets, "line-sets")
-    links = similar_sets(given, sets, threshold, min_words)
+    firsts = sketches.bit_filter(sets.select(place_key("place").alias("key")), "key", FILTER_BITS)
+    entries = prefix_entries(given, firsts, rarity, threshold, min_words)
+    links = similar_sets(given, entries, threshold, min_words)
     links = links.select(F.col("a_s1").alias("s1"), F.col("b_s1").alias("other")).unionByName(
         links.select(F.col("b_s1").alias("s1"), F.col("a_s1").alias("other"))
     )
@@ -259,18 +288,27 @@ def dedup_lines(
     given = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tkey"), F.col(text).alias("text")
     )
-    gone = removed_lines(given, threshold, min_words, bits)
+    gone = written(removed_lines(given, threshold, min_words, bits), "lines-gone")
+    own = document_key(F.col(key).cast("long"), F.xxhash64(F.col(text)))
     rows = docs.select(
         F.struct(*(columns or docs.columns)).alias("row"),
         F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("k"),
         F.col(key).isNull().alias("none"),
         F.xxhash64(F.col(text)).alias("tkey"),
+        own.alias("own"),
         F.col(text).alias("text"),
     )
+    # Texts that lose no line don't go through an exchange.
+    touched = sketches.bit_filter(gone.select(document_key(F.col("doc_id"), F.col("tkey")).alias("own")), "own", FILTER_BITS)
+    rows = rows.withColumn("touched", sketches.shows(rows, touched, F.col("own")))
     gone = gone.select(
         F.coalesce("doc_id", F.lit(0)).alias("k"), F.col("doc_id").isNull().alias("none"), "tkey", "lines"
     )
-    joined = rows.join(gone, ["k", "none", "tkey"], "left").select("row", "text", "lines")
+    joined = (
+        rows.filter("touched").join(gone, ["k", "none", "tkey"], "left").select("row", "text", "lines")
+    ).unionByName(
+        rows.filter("not touched").select("row", "text", F.lit(None).cast("array<int>").alias("lines"))
+    )
     kind = joined.schema["row"].dataType.simpleString()
 
     def rest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,8 +10,10 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 SLICES = 64
 SCHEMA = "slice int, payload binary"
@@ -71,3 +73,13 @@ def in_filter(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
     bits = (len(filled) * 8).bit_length() - 1
     cell = keys.astype(np.uint64) >> np.uint64(64 - bits)
     return (filled[cell >> np.uint64(3)] >> (np.uint64(7) - (cell & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
+def shows(rows: DataFrame, filled: np.ndarray, key: Column) -> Column:
+    """Whether a number shows in a set made by ``bit_filter``; only the numbers go to Python."""
+    sent = rows.sparkSession.sparkContext.broadcast(filled)
+
+    def look(keys):
+        return pd.Series(in_filter(sent.value, keys.to_numpy(np.int64).view(np.uint64)))
+
+    return F.pandas_udf(look, "boolean", F.PandasUDFType.SCALAR)(key)
