@@ -78,13 +78,13 @@ def patterns(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...]
 
     ``room`` holds, by free space, the patterns with their counts.  A length goes
     into the pattern with the most free space that still takes it; where none
-    does, new packs are opened.
+    does, a new pack is opened, which then is the one with the most free space
+    until no further piece of this length fits.
     """
     room: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
-    widest = 0
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
-        free = widest = max((f for f, packs in room.items() if packs), default=0)
+        free = max((f for f, packs in room.items() if packs), default=0)
         while left and free >= length:
             if not room[free]:
                 free -= 1
@@ -95,8 +95,10 @@ def patterns(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...]
                 room[free].append((pack, count - used))
             room[free - length].append((pack + (length,), used))
             left -= used
-        if left:
-            room[size - length].append(((length,), left))
+        each = size // length
+        for times, count in ((each, left // each), (left % each, 1)):
+            if times and count:
+                room[size - times * length].append(((length,) * times, count))
     return [pack for free in sorted(room) for pack in room[free]]
 
 
