@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmill.operators.ordered import fill_ordinary, fill_pieces
 from seriesmill.plans.skew import PIECE, ROWS_PER_TASK, cut_pieces, split_series
@@ -22,10 +23,15 @@ def whole_second(time: Column) -> Column:
     return F.date_trunc("second", time)
 
 
+def _is_struct(df: DataFrame, name: str) -> bool:
+    return name in df.columns and isinstance(df.schema[name].dataType, T.StructType)
+
+
 def long_form(feeds: dict[str, DataFrame], series: list[str], seq: str = "seq") -> DataFrame:
     """Feeds with columns (series, time, value[, seq]) under each other, tagged by name.
 
-    A feed without ``seq`` gets 0 and must have unique keys.
+    ``seq`` is a number or any one type that has an order, the same for all
+    feeds.  A feed without it gets 0 and must have unique keys.
     """
     parts = []
     for name, df in feeds.items():
@@ -36,7 +42,7 @@ def long_form(feeds: dict[str, DataFrame], series: list[str], seq: str = "seq")
                 "time",
                 F.lit(name).alias("feed"),
                 F.col("value").cast("double").alias("value"),
-                order.cast("bigint").alias("seq"),
+                (order if _is_struct(df, seq) else order.cast("bigint")).alias("seq"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

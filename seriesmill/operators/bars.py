@@ -9,14 +9,18 @@ from seriesmill.functions.timeframe import bucket_start, tf_ms
 
 
 def bar_columns(value: str, order: list[str]) -> list[Column]:
-    """Aggregates of one bar; first and last follow ``order``, which must break ties."""
+    """Aggregates of one bar; first and last follow ``order``, which must break ties.
+
+    The volume is summed in the type of the column: nothing is rounded, and a
+    decimal column gives the exact sum.
+    """
     at = F.struct(*order)
     return [
         F.min_by(value, at).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
         F.max_by(value, at).alias("close"),
-        F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("volume"),
+        F.sum(value).cast("double").alias("volume"),
     ]
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from seriesmill.fixed_values import MACRO_CATALOGUE
 from seriesmill.functions.names import squash_symbol
+from seriesmill.operators.dedupe import keep_one
+from seriesmill.operators.matching import null_safe_join
 
 
 def supported(df: DataFrame, universe: DataFrame, key: str = "symbol") -> DataFrame:
@@ -36,16 +38,21 @@ def _listed(universe: DataFrame, key: str) -> DataFrame:
 
 
 def exists(requested: DataFrame, stored: DataFrame, series: list[str]) -> DataFrame:
-    """Requested series with a boolean column ``present``, all in one job."""
+    """Requested series with a boolean column ``present``; a null key is a key like others."""
     found = stored.select(*series).distinct().withColumn("_found", F.lit(True))
-    return requested.join(found, series, "left").select(
+    return null_safe_join(requested, found, series, "left").select(
         *requested.columns, F.coalesce("_found", F.lit(False)).alias("present")
     )
 
 
 def describe(df: DataFrame, catalogue: DataFrame, on: list[str]) -> DataFrame:
-    """Attach catalogue columns; series without an entry keep nulls."""
-    return df.join(catalogue, on, "left")
+    """Attach catalogue columns; series without an entry keep nulls.
+
+    The catalogue has one entry per key; a key listed twice would repeat rows,
+    so only its least entry counts.
+    """
+    rest = [F.col(c).asc() for c in catalogue.columns if c not in on]
+    return df.join(keep_one(catalogue, on, rest) if rest else catalogue.distinct(), on, "left")
 
 
 def macro_catalogue(spark) -> DataFrame:

@@ -9,6 +9,11 @@ from seriesmill.operators.ordered import previous
 from seriesmill.plans.skew import ROWS_PER_TASK
 
 
+def high_below_low(high: Column, low: Column) -> Column:
+    """The check that a bar's highest price is not below its lowest; nulls pass."""
+    return high < low
+
+
 def series_quality(
     df: DataFrame,
     series: list[str],

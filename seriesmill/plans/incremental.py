@@ -25,7 +25,12 @@ def high_water(df: DataFrame, series: list[str], time: str = "time") -> DataFram
 
 
 def incremental_plan(
-    requests: DataFrame, marks: DataFrame, series: list[str], now_ms: int
+    requests: DataFrame,
+    marks: DataFrame,
+    series: list[str],
+    now_ms: int,
+    *,
+    clean: bool = False,
 ) -> DataFrame:
     """One row per request: (series, action, fetch_start_ms, fetch_end_ms).
 
@@ -33,6 +38,10 @@ def incremental_plan(
     that is more than two time frames behind its end is extended from the bar
     after the last stored one (``extend``).  Any other is left alone
     (``none``).  ``requests`` has start_ms and end_ms, null end means now.
+
+    With ``clean`` the derived range goes through :func:`clean_range` like a
+    requested one, which moves starts before its first year to a fixed day; by
+    default an extension starts where the stored rows end, however old.
     """
     step, following, end = F.col("_step"), F.col("_following"), F.col("_end")
     planned = (
@@ -46,7 +55,12 @@ def incremental_plan(
             .when(following < end - step, "extend")
             .otherwise("none"),
         )
-        .withColumn("_range", clean_range(following, end, now_ms))
+        .withColumn(
+            "_range",
+            clean_range(following, end, now_ms)
+            if clean
+            else F.struct(following.alias("start_ms"), end.alias("end_ms")),
+        )
     )
     extend = F.col("action") == "extend"
     initial = F.col("action") == "initial"

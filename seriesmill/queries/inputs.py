@@ -33,8 +33,13 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rounded_volume(bars: DataFrame) -> DataFrame:
+    """Sums of doubles differ in their last digits with the order of adding; queries show six."""
+    return bars.withColumn("volume", F.round("volume", 6))
+
+
 def event_bars(spark: SparkSession, sf_dir: str, timeframe: str) -> DataFrame:
-    return bars_from_events(event_rows(spark, sf_dir), ["symbol"], timeframe)
+    return rounded_volume(bars_from_events(event_rows(spark, sf_dir), ["symbol"], timeframe))
 
 
 def hourly(rows: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from seriesmill.queries.inputs import (
     NOW_MS,
     as_table,
     event_bars,
+    prop_k,
+    rounded_volume,
     event_rows,
     feed_long,
     hourly,
@@ -33,7 +35,7 @@ def bars_sql(name: str, start: str, source: str = "ev") -> str:
     return f"""{name} AS (
   SELECT symbol, {start} AS time, first(value ORDER BY time, seq) AS open, max(value) AS high,
     min(value) AS low, last(value ORDER BY time, seq) AS close,
-    sum(CAST(value AS DECIMAL(18,2)))::DOUBLE AS volume
+    round(sum(value), 6) AS volume
   FROM {source} GROUP BY symbol, {start})"""
 
 
@@ -57,11 +59,25 @@ def bars_weekly(spark, sf_dir):
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").alias("seq"),
         F.col("l_extendedprice").alias("value"),
     )
-    return make_bars(rows, ["symbol"], "1w").select(
+    return rounded_volume(make_bars(rows, ["symbol"], "1w")).select(
         "symbol", naive("time").alias("time"), *BAR
     )
 
 
+def bars_fine_values(spark, sf_dir):
+    """Values of eight decimals, as crypto volumes have: their sum is that of whole numbers."""
+    rows = event_rows(spark, sf_dir).withColumn("value", F.round(F.col("value") * 100) / 1e8)
+    return make_bars(rows, ["symbol"], "4h").select(
+        "symbol", naive("time").alias("time"), F.round(F.col("volume") * 1e8).cast("long").alias("units")
+    )
+
+
+BARS_FINE_SQL = f"""
+WITH {EV_SQL} SELECT symbol, {FOUR_HOURS} AS time, sum(round(value * 100)::BIGINT)::BIGINT AS units
+FROM ev GROUP BY symbol, {FOUR_HOURS}
+"""
+
+
 BARS_WEEKLY_SQL = """
 SELECT l_suppkey AS symbol, date_trunc('week', l_shipdate)::TIMESTAMP AS time,
   first(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity)
@@ -69,7 +85,7 @@ SELECT l_suppkey AS symbol, date_trunc('week', l_shipdate)::TIMESTAMP AS time,
   max(l_extendedprice) AS high, min(l_extendedprice) AS low,
   last(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity)
     AS close,
-  sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS volume
+  round(sum(l_extendedprice), 6) AS volume
 FROM lineitem GROUP BY 1, 2
 """
 
@@ -332,6 +348,27 @@ INCREMENTAL_PLAN_SQL = (
 )
 
 
+def incremental_old_series(spark, sf_dir):
+    """Stored series of orders that end in the last century are extended from their end."""
+    stored = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("u"), F.col("o_custkey")).alias("symbol"), utc("o_orderdate").alias("time")
+    )
+    wanted = stored.select("symbol").distinct().select(
+        "symbol", F.lit("1d").alias("timeframe"), F.lit(0).cast("long").alias("start_ms"),
+        F.lit(None).cast("long").alias("end_ms"),
+    )
+    marks = incremental.high_water(stored, ["symbol"])
+    plan = incremental.incremental_plan(wanted, marks, ["symbol"], NOW_MS)
+    return plan.select("symbol", "action", "fetch_start_ms", "fetch_end_ms")
+
+
+INCREMENTAL_OLD_SQL = f"""
+SELECT 'u' || o_custkey AS symbol, 'extend' AS action,
+  max(epoch_ms(o_orderdate)) + {DAY_MS} AS fetch_start_ms, {NOW_MS}::BIGINT AS fetch_end_ms
+FROM orders GROUP BY o_custkey
+"""
+
+
 def _closed_plan(spark, sf_dir):
     return _plan(spark, sf_dir).withColumn(
         "fetch_end_ms", F.coalesce("fetch_end_ms", F.lit(NOW_MS))
@@ -463,13 +500,18 @@ def series_quality(spark, sf_dir):
         rows,
         ["symbol"],
         arrival="arrival",
-        checks={"n_large": F.col("value") > 100, "n_error": F.col("feed") == "error"},
+        checks={
+            "n_large": F.col("value") > 100,
+            "n_error": F.col("feed") == "error",
+            # As a bar's high and low: the value against twice the number in its properties.
+            "n_high_below_low": quality.high_below_low(F.col("value"), 2 * prop_k().cast("double")),
+        },
     )
 
 
 SERIES_QUALITY_SQL = f"""
 WITH {HOURLY_SQL}, q AS (
-  SELECT ev.symbol, h.time, ev.value, ev.feed,
+  SELECT ev.symbol, h.time, ev.value, ev.feed, ev.props,
     lag(h.time) OVER (PARTITION BY ev.symbol ORDER BY ev.seq DESC) AS before
   FROM ev JOIN h USING (seq)
 )
@@ -477,7 +519,8 @@ SELECT symbol, count(*) AS n_rows, 0::BIGINT AS n_null_time,
   count(*) - count(DISTINCT time) AS n_duplicate_time,
   count(*) FILTER (WHERE time < before) AS n_out_of_order,
   count(*) FILTER (WHERE value > 100) AS n_large,
-  count(*) FILTER (WHERE feed = 'error') AS n_error
+  count(*) FILTER (WHERE feed = 'error') AS n_error,
+  count(*) FILTER (WHERE value < 2 * CAST(props->>'$.k' AS DOUBLE)) AS n_high_below_low
 FROM q GROUP BY symbol
 """
 
@@ -570,6 +613,8 @@ QUERIES = {
     "request_validate": (request_validate, REQUEST_VALIDATE_SQL),
     "gap_ranges": (gap_ranges, GAP_SQL),
     "missing_bars": (missing_bars, MISSING_SQL),
+    "bars_fine_values": (bars_fine_values, BARS_FINE_SQL),
+    "incremental_old_series": (incremental_old_series, INCREMENTAL_OLD_SQL),
     "series_quality": (series_quality, SERIES_QUALITY_SQL),
     "read_range": (read_range, READ_RANGE_SQL),
     "read_dataset": (read_dataset, READ_DATASET_SQL),

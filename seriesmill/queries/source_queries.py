@@ -6,11 +6,14 @@ the given tables and writes them below the shared folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions import names
 from seriesmill.operators import audit, membership
-from seriesmill.operators.dedupe import keep_first
+from seriesmill.operators.dedupe import keep_first, keep_last
 from seriesmill.queries.inputs import (
     FEEDS,
     as_table,
@@ -18,6 +21,7 @@ from seriesmill.queries.inputs import (
     event_rows,
     hourly,
     prop_k,
+    rounded_volume,
     table,
 )
 from seriesmill.queries.series_queries import (
@@ -76,24 +80,29 @@ def market_normalize(spark, sf_dir):
 
 
 def src_derivatives_feeds(spark, sf_dir):
-    """Six feeds landed as JSON of texts, read, aligned and filled."""
+    """Six feeds landed as overlapping JSON pages of texts, read, aligned and filled."""
     path = work_path(spark, "feeds")
-    rows = keep_first(hourly(event_rows(spark, sf_dir)), ["symbol", "time", "feed"], ["seq"])
+    rows = hourly(event_rows(spark, sf_dir))
+    firsts = keep_first(rows, ["symbol", "time", "feed"], ["seq"])
+    lasts = keep_last(rows, ["symbol", "time", "feed"], ["seq"])
     wire = landed.DERIVATIVES_FEEDS
-    for feed, event_type in zip(list(wire)[:5], FEEDS, strict=True):
-        value, time, _ = wire[feed]
-        rows.filter(F.col("feed") == event_type).select(
+    # Two pages a feed: the second overlaps the first from the 10th on, with other values.
+    pages = [("page-1", firsts), ("page-2", lasts.filter("time >= '2024-01-10'"))]
+    for page, part in pages:
+        for feed, event_type in zip(list(wire)[:5], FEEDS, strict=True):
+            value, time, _ = wire[feed]
+            part.filter(F.col("feed") == event_type).select(
+                "symbol",
+                F.col("value").cast("string").alias(value),
+                F.unix_millis("time").cast("string").alias(time),
+            ).write.json(f"{path}/{feed}/{page}")
+        # Funding comes with a fraction of a second that is dropped on reading.
+        value, time, _ = wire["funding"]
+        part.filter(F.col("feed") == "purchase").select(
             "symbol",
-            F.col("value").cast("string").alias(value),
-            F.unix_millis("time").cast("string").alias(time),
-        ).write.json(f"{path}/{feed}")
-    # Funding comes with a fraction of a second that is dropped on reading.
-    value, time, _ = wire["funding"]
-    rows.filter(F.col("feed") == "purchase").select(
-        "symbol",
-        prop_k().alias(value),
-        (F.unix_millis("time") + F.lit(417)).cast("string").alias(time),
-    ).write.json(f"{path}/funding")
+            prop_k().alias(value),
+            (F.unix_millis("time") + F.lit(417)).cast("string").alias(time),
+        ).write.json(f"{path}/funding/{page}")
     read = registry.read_source(spark, "derivatives", path, timeframe="1h")
     return read.withColumn("time", naive("time")).drop("timeframe")
 
@@ -102,7 +111,7 @@ _FEED_COLUMNS = [c for _, _, c in landed.DERIVATIVES_FEEDS.values()]
 DERIVATIVES_SQL = (
     f"WITH {EV_SQL}, d AS (SELECT symbol, date_trunc('hour', time) AS time, feed, value, props "
     "FROM ev QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', time), feed "
-    "ORDER BY seq) = 1), wide AS (SELECT symbol, time, "
+    "ORDER BY CASE WHEN time >= TIMESTAMP '2024-01-10' THEN -seq ELSE seq END) = 1), wide AS (SELECT symbol, time, "
     + ", ".join(
         f"max(value) FILTER (WHERE feed = '{e}') AS {c}"
         for e, c in zip(FEEDS, _FEED_COLUMNS[:5], strict=True)
@@ -289,6 +298,15 @@ FROM n GROUP BY symbol, doc_no
 """
 
 
+def json_records_cut(spark, sf_dir):
+    """The same documents where every series is cut into pieces: numbers run through."""
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "seq", "feed", "value")
+    made = documents.to_documents(
+        rows, ["symbol"], ["time", "feed", "value"], ["time", "seq"], rows_per_document=50, rows_per_task=20
+    )
+    return made.withColumn("first_time", naive("first_time")).withColumn("last_time", naive("last_time"))
+
+
 def json_records_inline(spark, sf_dir):
     payload = columns(
         time=OHLCV["time"].dataType, feed=table(spark, sf_dir, "events").schema["props"].dataType,
@@ -350,6 +368,64 @@ ROWS_MS_SQL = (
 )
 
 
+def store_old_times(spark, sf_dir):
+    """Orders forty years earlier, from 1952 on, through all four file formats."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("symbol"),
+        F.timestamp_millis(F.unix_millis(utc("o_orderdate")) - F.lit(14610 * 86_400_000)).alias("time"),
+        F.col("o_totalprice").alias("value"),
+    )
+    every = []
+    for fmt in files.EXTENSIONS:
+        path = work_path(spark, fmt)
+        files.save_files(rows, path, fmt)
+        every.append(files.load_files(spark, path, rows.schema, fmt).withColumn("fmt", F.lit(fmt)))
+    both = reduce(DataFrame.unionByName, every)
+    return both.withColumn("time", naive("time"))
+
+
+STORE_OLD_SQL = """
+SELECT o_orderkey::VARCHAR AS symbol, o_orderdate - INTERVAL 14610 DAY AS time, o_totalprice AS value, fmt
+FROM orders CROSS JOIN (VALUES ('feather'), ('parquet'), ('json'), ('jsongz')) AS f(fmt)
+"""
+
+
+def files_listed(spark, sf_dir):
+    """Bars saved as datasets, one of them partitioned, in two folders; what a listing finds."""
+    path = work_path(spark, "datasets")
+    bars = event_bars(spark, sf_dir, "1d").withColumn("half", F.expr("day(time) <= 15"))
+    files.save_files(bars, f"{path}/spot/all_1d.parquet", "parquet", partition_by=["half"])
+    files.save_files(bars.filter("half"), f"{path}/spot/first_1d.parquet", "parquet")
+    files.save_files(bars.filter("not half"), f"{path}/last_1d.parquet", "parquet")
+    listed = files.list_files(spark, path, "parquet")
+    return listed.select("id", "sub", (F.col("size_bytes") > 0).alias("filled"))
+
+
+FILES_LISTED_SQL = f"""
+WITH {EV_SQL}, d(id, sub, early) AS (
+  VALUES ('all_1d', 'spot', NULL), ('first_1d', 'spot', TRUE), ('last_1d', NULL, FALSE)
+)
+SELECT id, sub, TRUE AS filled FROM d
+WHERE EXISTS (SELECT 1 FROM ev WHERE early IS NULL OR (day(time) <= 15) = early)
+"""
+
+
+def store_tail(spark, sf_dir):
+    """The last 30 rows of a series, from the newest months of the table."""
+    return _table_rows(_table(spark, sf_dir, "series").tail(30, source="events", symbol="u7", timeframe="1h"))
+
+
+STORE_TAIL_SQL = _first_hour_sql("symbol = 'u7'") + " ORDER BY time DESC LIMIT 30"
+
+
+def store_missing_dataset(spark, sf_dir):
+    """Events and a dataset that is not there: the latter gives no rows, and no error."""
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "value")
+    none = [files.load_files(spark, work_path(spark, "none"), rows.schema, f) for f in files.EXTENSIONS]
+    absent = store.SeriesTable(spark, work_path(spark, "none"), VALUES).read().select("symbol", "time", "value")
+    return _table_rows(reduce(DataFrame.unionByName, [rows, absent, *none]))
+
+
 def store_load_series(spark, sf_dir):
     """Two series of the table, within a range that prunes partitions."""
     part = _table(spark, sf_dir, "series").read(
@@ -438,16 +514,18 @@ def store_compact(spark, sf_dir):
 
 
 def store_exists(spark, sf_dir):
-    wanted = _building(spark, sf_dir)
-    return membership.exists(
-        wanted, as_table(event_rows(spark, sf_dir), "events", "1h"),
-        ["source", "symbol", "timeframe"],
-    ).select("symbol", "present")
+    """Every customer is asked for, through the table."""
+    wanted = as_table(
+        table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey")).alias("symbol")),
+        "events",
+        "1h",
+    ).select("source", "symbol", "timeframe")
+    return _table(spark, sf_dir, "series").exists(wanted).select("symbol", "present")
 
 
-STORE_EXISTS_SQL = f"""
-SELECT b.symbol, b.symbol IN (SELECT 'u' || user_id FROM events) AS present
-FROM ({_BUILDING_SQL}) AS b(symbol)
+STORE_EXISTS_SQL = """
+SELECT 'u' || c_custkey AS symbol, 'u' || c_custkey IN (SELECT 'u' || user_id FROM events) AS present
+FROM customer
 """
 
 
@@ -713,6 +791,28 @@ LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey =
 """
 
 
+def macro_catalogue_join(spark, sf_dir):
+    """Orders as observations of the macro series, each with its catalogue entry."""
+    catalogue = membership.macro_catalogue(spark).select("id", "key", "freq", "name")
+    numbered = table(spark, sf_dir, "orders").select(
+        F.element_at(F.array(F.lit("IORB"), F.lit("EFFR"), F.lit("NONE")), F.expr("int(o_orderkey % 3) + 1")).alias("id"),
+        "o_orderkey",
+    )
+    return membership.describe(numbered, catalogue, ["id"]).select(
+        "o_orderkey", "id", "key", "freq", "name"
+    )
+
+
+MACRO_CATALOGUE_SQL = """
+SELECT o_orderkey, id, key, freq, name FROM (
+  SELECT o_orderkey, ['IORB', 'EFFR', 'NONE'][(o_orderkey % 3 + 1)::INT] AS id FROM orders
+) LEFT JOIN (VALUES
+  ('IORB', 'IORB', 'Daily', 'Interest Rate Overnight Reverse Repurchase Agreements'),
+  ('EFFR', 'EFFR', 'Daily', 'Federal Funds Effective Rate')
+) AS c(id, key, freq, name) USING (id)
+"""
+
+
 # -- run log -----------------------------------------------------------------
 def _runs(spark, sf_dir):
     """Events as a run log: one task per user, the event type stands for the status."""
@@ -832,19 +932,22 @@ def _streamed(spark, rows, label):
 
 
 def stream_dedupe(spark, sf_dir):
-    rows = hourly(_event_stream(spark, sf_dir)).select("symbol", "time", "feed")
+    """One row a key with all its columns; a row is one of those that came, whole."""
+    rows = hourly(_event_stream(spark, sf_dir)).select("symbol", "time", "feed", "seq", "value")
     first = ingest.first_arrivals(rows, ["symbol", "time", "feed"], "1 hour")
-    return _streamed(spark, first, "dedupe").withColumn("time", naive("time"))
+    kept = _streamed(spark, first, "dedupe").withColumn("time", naive("time"))
+    came = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("value").alias("came"))
+    return kept.join(came, "seq").select("symbol", "time", "feed", (F.col("value") == F.col("came")).alias("whole"))
 
 
 STREAM_DEDUPE_SQL = f"""
-WITH {EV_SQL} SELECT DISTINCT symbol, date_trunc('hour', time) AS time, feed FROM ev
+WITH {EV_SQL} SELECT DISTINCT symbol, date_trunc('hour', time) AS time, feed, TRUE AS whole FROM ev
 """
 
 
 def stream_closed_bars(spark, sf_dir):
     bars = ingest.closed_bars(_event_stream(spark, sf_dir), ["symbol"], "1d", "1 hour")
-    return _bar_rows(_streamed(spark, bars, "bars"))
+    return _bar_rows(rounded_volume(_streamed(spark, bars, "bars")))
 
 
 # The watermark is an hour behind the last event; a bar is emitted once it has passed its end.
@@ -871,6 +974,12 @@ QUERIES = {
     "store_json_roundtrip": (_file_roundtrip("json"), ROWS_MS_SQL),
     "store_jsongz_roundtrip": (_file_roundtrip("jsongz"), ROWS_MS_SQL),
     "store_plain_parquet_roundtrip": (_file_roundtrip("parquet"), ROWS_SQL),
+    "store_old_times": (store_old_times, STORE_OLD_SQL),
+    "files_listed": (files_listed, FILES_LISTED_SQL),
+    "store_tail": (store_tail, STORE_TAIL_SQL),
+    "store_missing_dataset": (store_missing_dataset, ROWS_SQL),
+    "json_records_cut": (json_records_cut, JSON_EXPORT_SQL),
+    "macro_catalogue_join": (macro_catalogue_join, MACRO_CATALOGUE_SQL),
     "store_load_series": (store_load_series, STORE_LOAD_SQL),
     "store_upsert": (store_upsert, STORE_UPSERT_SQL),
     "store_delete_series": (store_delete_series, STORE_DELETE_SQL),

@@ -16,6 +16,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in another zone, in which months and days would be other ones."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"the session's time zone is {zone}; use session.prepare(spark)")
+
+
 _shipped: set[str] = set()
 
 

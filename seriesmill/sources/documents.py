@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.operators.matching import null_safe_join
 from seriesmill.plans.skew import PIECE, ROWS_PER_TASK, cut_pieces, split_series
 
 ROWS_PER_DOCUMENT = 1000
@@ -37,31 +38,43 @@ def to_documents(
     rows_per_document: int = ROWS_PER_DOCUMENT,
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """(series, piece, doc_no, payload, n_rows, first_time, last_time) documents.
+    """(series, doc_no, payload, n_rows, first_time, last_time) documents.
 
     First and last time are the index of a document: a reader looking for a
     range opens only the documents it touches.
     """
     split = split_series(df, series, rows_per_task)
-    parts = split.ordinary.withColumn(PIECE, F.lit(0))
-    documents = _grouped(parts, series, payload, order, rows_per_document)
-    if split.long is None:
-        return documents
-    pieces = cut_pieces(split.long, series, order, split.long_rows, rows_per_task)
-    return documents.unionByName(_grouped(pieces, series, payload, order, rows_per_document))
+    row = F.row_number().over(Window.partitionBy(*series).orderBy(*order))
+    numbered = split.ordinary.withColumn("_row", row)
+    if split.long is not None:
+        pieces = cut_pieces(split.long, series, order, split.long_rows, rows_per_task)
+        numbered = numbered.unionByName(_numbered_through(pieces, series, order))
+    return _grouped(numbered, series, payload, rows_per_document)
 
 
-def _grouped(df, series, payload, order, rows_per_document):
+def _numbered_through(pieces: DataFrame, series: list[str], order: list[str]) -> DataFrame:
+    """Rows of cut series numbered as if they had not been cut: the rows of earlier pieces count."""
+    earlier = Window.partitionBy(*series).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        pieces.groupBy(*series, PIECE)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .drop("_n")
+    )
     inside = Window.partitionBy(*series, PIECE).orderBy(*order)
-    numbered = df.withColumn("_row", F.row_number().over(inside))
+    numbered = pieces.withColumn("_row", F.row_number().over(inside))
+    joined = null_safe_join(numbered, before, [*series, PIECE], "left")
+    return joined.withColumn("_row", F.col("_row") + F.col("_before")).drop(PIECE, "_before")
+
+
+def _grouped(numbered, series, payload, rows_per_document):
     keyed = numbered.select(
         *series,
-        F.col(PIECE).alias("piece"),
         F.expr(f"(_row - 1) div {rows_per_document}").alias("doc_no"),
         "time",
-        F.struct("_row", _record(df, payload).alias("record")).alias("_item"),
+        F.struct("_row", _record(numbered, payload).alias("record")).alias("_item"),
     )
-    grouped = keyed.groupBy(*series, "piece", "doc_no").agg(
+    grouped = keyed.groupBy(*series, "doc_no").agg(
         F.sort_array(F.collect_list("_item")).alias("_items"),
         F.count("*").alias("n_rows"),
         F.min("time").alias("first_time"),
@@ -69,7 +82,6 @@ def _grouped(df, series, payload, order, rows_per_document):
     )
     return grouped.select(
         *series,
-        "piece",
         "doc_no",
         F.to_json(F.col("_items.record"), {"ignoreNullFields": "false"}).alias("payload"),
         "n_rows",

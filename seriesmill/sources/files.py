@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.functions.names import format_size
-from seriesmill.functions.timerange import epoch_to_time
 from seriesmill.sources.feather import read_feather, write_feather
 
 EXTENSIONS = {
@@ -34,10 +35,13 @@ def save_files(
 ) -> bool:
     """Write ``df`` over ``path``; an empty frame writes nothing and counts as saved.
 
-    JSON holds times as epoch milliseconds, one record per line.
+    JSON holds times as epoch milliseconds, one record per line.  Feather files
+    are not partitioned; asking for it is an error.
     """
     if fmt not in EXTENSIONS:
         raise ValueError(f"unknown file format {fmt!r}")
+    if fmt == "feather" and partition_by:
+        raise ValueError("feather files can't be partitioned")
     if df.isEmpty():
         return True
     if fmt == "feather":
@@ -74,7 +78,7 @@ def load_files(
             wire = spark.read.schema(_time_as_number(schema)).json(path)
             return wire.select(
                 *[
-                    epoch_to_time(F.col(f.name)).alias(f.name)
+                    F.timestamp_millis(f.name).alias(f.name)
                     if isinstance(f.dataType, T.TimestampType)
                     else F.col(f.name)
                     for f in schema.fields
@@ -88,7 +92,12 @@ def load_files(
 
 
 def list_files(spark: SparkSession, path: str, fmt: str = "feather") -> DataFrame:
-    """(id, file_path, size, modified) of every file of a format; contents are not read."""
+    """(id, sub, file_path, size, size_bytes, modified) of every dataset below ``path``.
+
+    A dataset is a file, or a folder of part files with any partition folders
+    in it; ``sub`` is the folder it lies in, null at the top.  Contents are not
+    read.
+    """
     extension = EXTENSIONS[fmt]
     listed = (
         spark.read.format("binaryFile")
@@ -97,11 +106,20 @@ def list_files(spark: SparkSession, path: str, fmt: str = "feather") -> DataFram
         .load(path)
         .select("path", "length", "modificationTime")
     )
-    name = F.substring_index("path", "/", -1)
-    return listed.select(
-        F.substr(name, F.lit(1), F.length(name) - len(extension)).alias("id"),
-        F.col("path").alias("file_path"),
-        format_size(F.col("length")).alias("size"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified"),
+    # Part files, and the partition folders they lie in, belong to the folder above.
+    dataset = F.regexp_replace("path", r"(/[^/=]+=[^/]*)*/part-[^/]*$", "")
+    name = F.substring_index("dataset", "/", -1)
+    top = "/" + re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", path).strip("/")
+    inside = F.substr("dataset", F.instr("dataset", top) + len(top) + 1)
+    sub = F.substring_index(F.regexp_replace(inside, "/?[^/]*$", ""), "/", -1)
+    grouped = listed.groupBy(dataset.alias("dataset")).agg(
+        F.sum("length").alias("size_bytes"), F.max("modificationTime").alias("modified")
+    )
+    return grouped.select(
+        F.regexp_replace(name, f"{re.escape(extension)}$", "").alias("id"),
+        F.nullif(sub, F.lit("")).alias("sub"),
+        F.col("dataset").alias("file_path"),
+        format_size(F.col("size_bytes")).alias("size"),
+        "size_bytes",
+        "modified",
     )

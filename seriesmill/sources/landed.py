@@ -122,13 +122,30 @@ def feed_schema(feed: str) -> T.StructType:
 
 
 def feed_rows(wire: DataFrame, feed: str) -> DataFrame:
-    """One feed as (symbol, time, value); funding times lose their fraction of a second."""
+    """One feed as (symbol, time, value[, seq]); funding times lose their fraction of a second."""
     value, time, _ = DERIVATIVES_FEEDS[feed]
     at = F.timestamp_millis(F.col(time).try_cast("bigint"))
     return wire.select(
         "symbol",
         (whole_second(at) if feed == "funding" else at).alias("time"),
         F.col(value).try_cast("double").alias("value"),
+        *(["seq"] if "seq" in wire.columns else []),
+    )
+
+
+def landed_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON pages with ``seq``: their order by file name, then by position in the file.
+
+    Pages overlap; of two rows with one key the one of the later page counts.
+    """
+    pages = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
+    return pages.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("seq"),
     )
 
 
@@ -142,7 +159,7 @@ def read_derivatives(
 ) -> DataFrame:
     """Six feeds, each in its own folder of JSON files, as one aligned and filled frame."""
     feeds = {
-        feed: feed_rows(spark.read.schema(feed_schema(feed)).json(f"{path}/{feed}"), feed)
+        feed: feed_rows(landed_pages(spark, f"{path}/{feed}", feed_schema(feed)), feed)
         for feed in DERIVATIVES_FEEDS
     }
     long = long_form({DERIVATIVES_FEEDS[f][2]: df for f, df in feeds.items()}, ["symbol"])

@@ -20,7 +20,7 @@ from seriesmill.operators.matching import null_safe_join
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
-from seriesmill.session import shared_folder, written
+from seriesmill.session import require_utc, shared_folder, written
 
 MONTH = "month"
 PARTITIONS = ["source", "timeframe", MONTH]
@@ -37,12 +37,15 @@ class SeriesTable:
     """A series table at ``path`` whose rows have the columns of ``payload``."""
 
     def __init__(self, spark: SparkSession, path: str, payload: T.StructType):
+        require_utc(spark)
         self.spark, self.path = spark, path
         self.schema = keyed(payload, source=True)
         self._stored = T.StructType([*self.schema.fields, T.StructField(MONTH, T.StringType())])
 
     # -- reading -------------------------------------------------------------
     def _scan(self) -> DataFrame:
+        # Months are those of UTC; under another zone a read would prune the wrong ones.
+        require_utc(self.spark)
         try:
             return self.spark.read.schema(self._stored).parquet(self.path)
         except AnalysisException as error:
@@ -81,10 +84,11 @@ class SeriesTable:
             .parquet(self.path)
         )
 
-    def _prepared(self, df: DataFrame) -> DataFrame:
+    def _prepared(self, df: DataFrame, extra: list[str] = ()) -> DataFrame:
+        require_utc(self.spark)
         check_schema(df, self.schema, "rows to store")
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        return df.select(*columns).withColumn(MONTH, month_of(F.col("time")))
+        return df.select(*columns, *extra).withColumn(MONTH, month_of(F.col("time")))
 
     def append(self, df: DataFrame) -> None:
         """Add rows known to be new."""
@@ -94,15 +98,16 @@ class SeriesTable:
         """Add the rows whose (series, time) is not stored; returns the rows added.
 
         Stored rows win, so nothing stored is rewritten, and running the same
-        batch again adds nothing.  Of the table only the key columns are read,
-        and only in partitions the batch touches.  ``new`` is evaluated twice.
+        batch again adds nothing.  Of new rows with one key the first by
+        ``arrival`` wins, and of those that tie, or without ``arrival``, the
+        least by all columns.  Of the table only the key columns are read, and
+        only in partitions the batch touches.  ``new`` is evaluated twice.
         """
         shared_folder(self.spark)
-        order = arrival or ["time"]
-        extra = [c for c in order if c not in self.schema.fieldNames()]
-        incoming = new.select(*self.schema.fieldNames(), *extra).withColumn(
-            MONTH, month_of(F.col("time"))
-        )
+        fields = self.schema.fieldNames()
+        extra = [c for c in arrival or [] if c not in fields]
+        order = [*(arrival or []), *(c for c in fields if c not in ROW_KEYS)]
+        incoming = self._prepared(new, extra)
         stored = self._within(incoming, PARTITIONS)
         added = rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra)
         added = written(added, "added")
@@ -122,7 +127,7 @@ class SeriesTable:
         shared_folder(self.spark)
         requested = keys.select(*SERIES_KEYS).distinct()
         report = (
-            exists(requested, self._scan(), SERIES_KEYS)
+            exists(requested, self._within(requested, PARTITIONS[:2]), SERIES_KEYS)
             .withColumnRenamed("present", "deleted")
             .checkpoint()
         )
@@ -136,7 +141,8 @@ class SeriesTable:
             & (F.col("timeframe") == timeframe)
             & (F.col(MONTH) == month)
         )
-        self._overwrite(keep_first(part, ROW_KEYS, ["time"]))
+        # Nothing says which of several rows came first; the least by all columns stays.
+        self._overwrite(keep_first(part, ROW_KEYS, [c for c in self.schema.fieldNames() if c not in ROW_KEYS]))
 
     def _within(self, rows: DataFrame, columns: list[str]) -> DataFrame:
         """Stored rows of the partitions that ``rows`` lie in.
@@ -147,7 +153,7 @@ class SeriesTable:
         wanted = rows.select(*columns).distinct()
         listed = wanted.limit(_LISTED + 1).collect()
         if len(listed) > _LISTED:
-            return null_safe_join(self._scan(), wanted, columns, "left_semi")
+            return self._scan().filter(self._spanned(wanted, columns))
         folders: dict[tuple, list] = {}
         for *folder, last in listed:
             folders.setdefault(tuple(folder), []).append(last)
@@ -161,6 +167,24 @@ class SeriesTable:
             test = test | one
         return self._scan().filter(test)
 
+    def _spanned(self, wanted: DataFrame, columns: list[str]) -> Column:
+        """A test for a superset of many partitions: their months, by source and time frame if these are few."""
+        *folder, last = columns
+        low, high = F.min(last).alias("low"), F.max(last).alias("high")
+        spans = wanted.groupBy(*folder).agg(low, high, F.count_if(F.col(last).isNull()).alias("nulls"))
+        listed = spans.limit(_LISTED + 1).collect()
+        if len(listed) > _LISTED:
+            folder, listed = [], wanted.agg(low, high, F.count_if(F.col(last).isNull()).alias("nulls")).collect()
+        test = F.lit(False)
+        for row in listed:
+            one = F.col(last).between(row["low"], row["high"])
+            if row["nulls"]:
+                one = one | F.col(last).isNull()
+            for name in folder:
+                one = one & F.col(name).eqNullSafe(F.lit(row[name]))
+            test = test | one
+        return test
+
     def _rewrite(self, keys: DataFrame, extra: DataFrame | None) -> None:
         """Rewrite the partitions that hold ``keys`` without them, with ``extra`` added."""
         shared_folder(self.spark)
@@ -186,8 +210,7 @@ class SeriesTable:
         staged = self._overwrite(wanted)
         filled = staged.select(*PARTITIONS).distinct()
         emptied = null_safe_join(affected, filled, PARTITIONS, "left_anti")
-        for row in emptied.toLocalIterator():
-            self._empty_partition(row)
+        self._drop_partitions(emptied)
 
     def _overwrite(self, df: DataFrame) -> DataFrame:
         """Replace the partitions of ``df``, which may be read from this table: stage first."""
@@ -195,23 +218,46 @@ class SeriesTable:
         self._write(staged, "overwrite")
         return staged
 
-    def _empty_partition(self, row) -> None:
-        """A dynamic overwrite leaves a partition without new rows alone; write no rows to it."""
-        folder = "/".join(f"{name}={_escaped(row[name])}" for name in PARTITIONS)
-        rest = T.StructType([f for f in self._stored.fields if f.name not in PARTITIONS])
-        self.spark.createDataFrame([], rest).coalesce(1).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(f"{self.path}/{folder}")
+    def _drop_partitions(self, partitions: DataFrame) -> None:
+        """A dynamic overwrite leaves a partition without new rows alone; its folder is removed.
+
+        That is a call to the file system for each folder, not a Spark job.
+        """
+        conf = self.spark._jsc.hadoopConfiguration()
+        for row in partitions.toLocalIterator():
+            folder = "/".join(f"{name}={_escaped(row[name])}" for name in PARTITIONS)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+            path.getFileSystem(conf).delete(path, True)
 
     # -- catalog -------------------------------------------------------------
     def exists(self, keys: DataFrame) -> DataFrame:
-        return exists(keys, self._scan(), SERIES_KEYS)
+        """The requested series with ``present``; only their sources and time frames are read."""
+        return exists(keys, self._within(keys, PARTITIONS[:2]), SERIES_KEYS)
+
+    def catalog(self, **wanted) -> DataFrame:
+        """One row per series; ``wanted`` as in :meth:`read` names some of them."""
+        return catalog(self.read(**wanted))
 
-    def catalog(self) -> DataFrame:
-        return catalog(self.read())
+    def time_ranges(self, **wanted) -> DataFrame:
+        return time_ranges(self.read(**wanted), SERIES_KEYS)
 
-    def time_ranges(self) -> DataFrame:
-        return time_ranges(self._scan(), SERIES_KEYS)
+    def tail(self, n: int, *, source: str, symbol: str, timeframe: str) -> DataFrame:
+        """The last ``n`` rows of a series, read from its last months alone.
+
+        Months are taken from the newest on, twice as many each time, until they
+        hold enough rows; months are known from the folder names.
+        """
+        own = self.read(source=source, symbols=[symbol], timeframe=timeframe)
+        folders = self._scan().filter((F.col("source") == source) & (F.col("timeframe") == timeframe))
+        months = sorted(r[0] for r in folders.select(MONTH).distinct().collect() if r[0] is not None)
+        taken = 1
+        while months:
+            start = f"{months[max(0, len(months) - taken)]}-01 00:00:00"
+            own = self.read(source=source, symbols=[symbol], timeframe=timeframe, start=start)
+            if taken >= len(months) or own.limit(n).count() == n:
+                break
+            taken *= 2
+        return own.orderBy(F.col("time").desc()).limit(n)
 
 
 # Characters that Spark writes as %XX in partition folder names.
