@@ -8,7 +8,8 @@ are counted as one string.  Different strings of an anchor meet in a bucket,
 where the repeated intervals are found:
 
 * a bucket's strings are dealt to shards, and each shard gets its own
-  suffix order and its Burrows-Wheeler transform, over symbols of 16 bytes;
+  Burrows-Wheeler transforms, over symbols of 16 bytes: the symbols before its
+  suffixes in suffix order, for suffixes a whole number of symbols behind a start;
 * the transforms are merged by refining their interleave: pass k deals the
   merged order out by the preceding symbol, which orders all suffixes by k + 1
   symbols, and marks where neighbours begin to differ.  No suffix is compared or
@@ -30,7 +31,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
@@ -41,7 +43,7 @@ LENGTH = 400
 ANCHOR_BYTES = 32
 SYMBOL_BYTES = 16
 SHARD_BYTES = 16 << 10
-BUCKET_BYTES = 48 << 10
+BUCKET_BYTES = 64 << 10
 FILTER_BITS = 25
 HOT_STRINGS = 20_000
 PIECE_BYTES = 4 << 20
@@ -111,40 +113,39 @@ def anchors(given: DataFrame, length: int, gram: int) -> DataFrame:
     return given.select("text").mapInArrow(run, "anchor long, n byte")
 
 
-STRETCHES = "doc_id long, tkey long, start long, anchor long, at int, digest binary, content binary"
+STRETCHES = "doc_id long, tkey long, start long, starts int, anchor long, digest binary"
+CONTENTS = "anchor long, digest binary, content binary"
 
 
-def stretches(given: DataFrame, repeated: np.ndarray, length: int, gram: int) -> DataFrame:
-    """Stretches whose anchor is in the filter; a block gives the bytes of equal ones once.
+def _found(block: pa.RecordBatch, repeated: np.ndarray, length: int, gram: int):
+    """(bytes, first, last, row, anchor, first in the document) of a block's stretches in the filter."""
+    data, offsets = text_bytes(block.column("text"))
+    anchor, _, first, last, row = anchored(data, offsets, length, gram)
+    own = sketches.in_filter(repeated, anchor)
+    anchor, first, last, row = (x[own] for x in (anchor, first, last, row))
+    return data.tobytes(), first, last, row, anchor, first - offsets[row]
 
-    ``at`` is the place of the anchor in the stretch, of which the number of
-    starts follows from the bytes; ``start`` is the first start in the document.
-    """
+
+def _digest(content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
+def stretches(given: DataFrame, repeated: np.ndarray, length: int, gram: int) -> DataFrame:
+    """Stretches whose anchor is in the filter: their starts and a digest of their bytes."""
     sent = given.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            data, offsets = text_bytes(block.column("text"))
-            anchor, at, first, last, row = anchored(data, offsets, length, gram)
-            own = sketches.in_filter(sent.value, anchor)
-            anchor, at, first, last, row = (x[own] for x in (anchor, at, first, last, row))
-            whole = data.tobytes()
-            seen, digests, contents = set(), [], []
-            for a, b in zip(first.tolist(), (last + length).tolist()):
-                content = whole[a:b]
-                digest = hashlib.blake2b(content, digest_size=16).digest()
-                digests.append(digest)
-                contents.append(None if digest in seen else content)
-                seen.add(digest)
+            whole, first, last, row, anchor, start = _found(block, sent.value, length, gram)
+            digests = [_digest(whole[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(pa.array(row)),
                     block.column("tkey").take(pa.array(row)),
-                    pa.array(first - offsets[row]),
+                    pa.array(start),
+                    pa.array((last - first + 1).astype(np.int32)),
                     pa.array(anchor.view(np.int64)),
-                    pa.array((at - first).astype(np.int32)),
                     pa.array(digests, pa.binary()),
-                    pa.array(contents, pa.binary()),
                 ],
                 names=[f.split()[0] for f in STRETCHES.split(", ")],
             )
@@ -152,25 +153,33 @@ def stretches(given: DataFrame, repeated: np.ndarray, length: int, gram: int) ->
     return given.mapInArrow(run, STRETCHES)
 
 
-class Shard:
-    """Suffixes of some strings in order, and the symbol before each of them.
+def place_key(doc_id: Column, tkey: Column, start: Column) -> Column:
+    """A number for a place, for filters."""
+    return tkey.bitwiseXOR(F.shiftleft(start, 40)).bitwiseXOR(F.shiftleft(F.coalesce(doc_id, F.lit(0)), 20))
 
-    Suffixes are known by their start in the bucket's bytes; ``before`` is the
-    rank of the 16 bytes before a suffix, -1 at the first 16 bytes of a string.
-    """
 
-    def __init__(self, places: np.ndarray, rank: np.ndarray, follows: np.ndarray, lead: np.ndarray, longest: int):
-        own = np.zeros(len(rank) + 1, np.int64)
-        own[places] = np.unique(rank[places], return_inverse=True)[1] + 1
-        step = SYMBOL_BYTES
-        reach = follows
-        while step < longest:
-            key = own[places] * np.int64(len(places) + 2) + own[reach[places]]
-            own[places] = np.unique(key, return_inverse=True)[1] + 1
-            reach = reach[reach]
-            step *= 2
-        self.order = places[np.argsort(own[places], kind="stable")]
-        self.before = lead[self.order]
+def contents(given: DataFrame, repeated: np.ndarray, places: np.ndarray, length: int, gram: int) -> DataFrame:
+    """(anchor, digest, content) of the stretches at the places in a filter of ``place_key``."""
+    sent = given.sparkSession.sparkContext.broadcast((repeated, places))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            whole, first, last, row, anchor, start = _found(block, sent.value[0], length, gram)
+            ids = pc.fill_null(block.column("doc_id"), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            tkey = block.column("tkey").to_numpy(zero_copy_only=False).astype(np.int64)
+            key = tkey[row] ^ (start << 40) ^ (ids[row] << 20)
+            own = sketches.in_filter(sent.value[1], key.view(np.uint64))
+            texts = [whole[a:b] for a, b in zip(first[own].tolist(), (last[own] + length).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor[own].view(np.int64)),
+                    pa.array(list(map(_digest, texts)), pa.binary()),
+                    pa.array(texts, pa.binary()),
+                ],
+                names=["anchor", "digest", "content"],
+            )
+
+    return given.mapInArrow(run, CONTENTS)
 
 
 def _radix(keys: np.ndarray, top: int) -> np.ndarray:
@@ -181,100 +190,99 @@ def _radix(keys: np.ndarray, top: int) -> np.ndarray:
     return low[np.argsort((keys[low] >> 16).astype(np.uint16), kind="stable")]
 
 
-def interval_ids(strings: list[bytes], length: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the common-prefix interval of every byte's suffix, n + 1 offsets of the strings).
+class Shard:
+    """The transforms of some strings.
 
-    Suffixes of at least ``length`` bytes have one number if and only if their
-    first ``length`` bytes are equal.
+    Of each string the suffixes matter that lie a whole number of symbols behind
+    one of its starts.  ``before[k]`` holds the symbols before those that are k
+    symbols short of ``length``, in the order of their first k symbols;
+    ``order`` holds the starts in their final order.
     """
-    step = SYMBOL_BYTES
-    if length % step:
-        raise ValueError(f"length must be a multiple of {step}")
+
+    def __init__(self, starts: np.ndarray, rank: np.ndarray, top: int, length: int):
+        self.before = []
+        suffixes = starts + length
+        for _ in range(length // SYMBOL_BYTES):
+            suffixes = suffixes - SYMBOL_BYTES
+            symbols = rank[suffixes]
+            self.before.append(symbols)
+            suffixes = suffixes[_radix(symbols, top)]
+        self.order = suffixes
+
+
+def symbol_ranks(data: np.ndarray) -> tuple[np.ndarray, int]:
+    """(rank of the 16 bytes at every place, number of ranks)."""
+    half = SYMBOL_BYTES // 2
+    padded = np.concatenate([data, np.zeros(SYMBOL_BYTES, np.uint8)])
+    number = np.zeros(len(data) + half, np.uint64)
+    for i in range(half):
+        number = (number << np.uint64(8)) | padded[i : len(number) + i]
+    own = np.unique(number, return_inverse=True)[1].astype(np.int64)
+    every, rank = np.unique(own[: len(data)] * np.int64(len(number)) + own[half:], return_inverse=True)
+    return rank, len(every)
+
+
+def repeated_starts(strings: list[bytes], times: list[int], length: int, shard_bytes: int) -> list[np.ndarray]:
+    """For every string, which of its starts begin a string of ``length`` bytes that occurs again.
+
+    ``times`` says how often each string itself occurs.
+    """
+    if length % SYMBOL_BYTES:
+        raise ValueError(f"length must be a multiple of {SYMBOL_BYTES}")
+    if not strings:
+        return []
     sizes = np.array([len(s) for s in strings], np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    n = int(offsets[-1])
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    ends = np.repeat(offsets[1:], sizes)
-    place = np.arange(n)
-    # Symbols: 16 bytes as two numbers, zeros after the end of a string; then their ranks.
-    padded = np.concatenate([data, np.zeros(step, np.uint8)]).astype(np.uint64)
-    halves = []
-    for half in (0, step // 2):
-        number = np.zeros(n, np.uint64)
-        for i in range(half, half + step // 2):
-            number = (number << np.uint64(8)) | np.where(place + i < ends, padded[i : n + i], np.uint64(0))
-        halves.append(np.unique(number, return_inverse=True)[1])
-    rank = np.unique(halves[0] * np.int64(n + 1) + halves[1], return_inverse=True)[1]
-    top = int(rank.max()) + 1 if n else 0
-    follows = np.append(np.where(place + step < ends, place + step, n), n)
-    lead = np.full(n, -1)
-    inner = np.flatnonzero(place >= np.repeat(offsets[:-1], sizes) + step)
-    lead[inner] = rank[inner - step]
-
-    owner = np.repeat(offsets[:-1] // shard_bytes, sizes)
-    owner = np.unique(owner, return_inverse=True)[1] if n else owner
-    cuts = np.searchsorted(owner, np.arange(int(owner.max()) + 2 if n else 1))
-    shards = [
-        Shard(place[a:b], rank, follows, lead, int(sizes.max())) for a, b in zip(cuts[:-1], cuts[1:])
-    ]
-    before = np.concatenate([s.before for s in shards]) if shards else lead
-    tails = np.flatnonzero(place + step >= ends)
-    # A tail is a suffix that nothing follows; tails come first among equal symbols, in shard order.
-    tail_owner, tail_rank = owner[tails], rank[tails]
-    kind = np.uint8 if len(shards) <= 256 else np.uint16
-    tail_owner = tail_owner.astype(kind)
-    source = np.concatenate([np.full(b - a, i, kind) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]) if shards else np.zeros(0, kind)
-    block = np.zeros(n, np.int64)
-    for depth in range(length // step):
+    rank, top = symbol_ranks(np.frombuffer(b"".join(strings), np.uint8))
+    counts = sizes - length + 1
+    firsts = np.concatenate([[0], np.cumsum(counts)])
+    starts = np.arange(firsts[-1]) + np.repeat(offsets[:-1] - firsts[:-1], counts)
+    owner = offsets[:-1] // shard_bytes
+    cuts = firsts[np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(strings)]])]
+    shards = [Shard(starts[a:b], rank, top, length) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    kind = np.uint8 if len(shards) <= 256 else np.uint16 if len(shards) <= 1 << 16 else np.int64
+    source = np.repeat(np.arange(len(shards)).astype(kind), np.diff(cuts))
+    interval = np.zeros(len(starts), np.int64)
+    flat = np.arange(len(starts))
+    for k in range(length // SYMBOL_BYTES):
         # The i-th suffix of a shard in the interleave is the i-th of the shard's own order.
-        flat = np.empty(n, np.int64)
-        flat[np.argsort(source, kind="stable")] = place
-        symbol = before[flat]
-        led = symbol >= 0
-        symbols = np.concatenate([tail_rank, symbol[led]])
+        symbols = np.concatenate([s.before[k] for s in shards])[flat]
         moved = _radix(symbols, top)
-        source = np.concatenate([tail_owner, source[led]])[moved]
+        source, rest, first = source[moved], interval[moved], symbols[moved]
         # Neighbours part where their first symbols differ or what follows had parted before.
-        rest = np.concatenate([np.full(len(tails), -1 if depth else 0), block[led]])[moved]
-        first = symbols[moved]
-        parts = np.zeros(n, bool)
+        parts = np.zeros(len(starts), bool)
         parts[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
-        block = np.cumsum(parts)
-    out = np.empty(n, np.int64)
-    order = np.concatenate([s.order for s in shards]) if shards else place
-    flat = np.empty(n, np.int64)
-    flat[np.argsort(source, kind="stable")] = place
-    out[order[flat]] = block
-    return out, offsets
+        interval = np.cumsum(parts)
+        flat = np.empty(len(starts), np.int64)
+        flat[np.argsort(source, kind="stable")] = np.arange(len(starts))
+    order = np.concatenate([s.order for s in shards])[flat]
+    string = np.searchsorted(offsets, order, "right") - 1
+    total = np.bincount(interval, np.array(times, np.int64)[string])
+    flags = np.zeros(len(starts), bool)
+    flags[order - offsets[string] + firsts[string]] = total[interval] > 1
+    return np.split(flags, firsts[1:-1])
 
 
-def repeated_starts(strings: list[bytes], times: list[int], length: int, shard_bytes: int) -> list[np.ndarray]:
-    """For every string, which of its starts begin a string of ``length`` bytes that occurs again."""
-    ids, offsets = interval_ids(strings, length, shard_bytes)
-    sizes = np.diff(offsets)
-    left = np.repeat(offsets[1:], sizes) - np.arange(len(ids))
-    full = left >= length
-    weight = np.repeat(np.array(times, np.int64), sizes)
-    total = np.bincount(ids[full], weight[full], minlength=int(ids.max()) + 1 if len(ids) else 0)
-    flags = (total[ids] > 1) & full
-    return [flags[a : b - length + 1] for a, b in zip(offsets[:-1], offsets[1:])]
-
-
-FATES = "anchor long, digest binary, starts int, flags binary"
+FATES = "anchor long, digest binary, flags binary"
 
 
 def _bucket(length: int, shard_bytes: int):
+    """A bucket's rows are strings with their number, and contents; both meet here."""
+
     def run(table: pa.Table) -> pa.Table:
-        strings = [bytes(x) for x in table.column("content").to_pylist()]
-        flags = repeated_starts(strings, table.column("n").to_pylist(), length, shard_bytes)
+        rows = table.select(["anchor", "digest", "n", "content"]).to_pylist()
+        own = {(r["anchor"], r["digest"]): r["content"] for r in rows if r["content"] is not None}
+        known = [r for r in rows if r["n"] is not None]
+        strings = [own[r["anchor"], r["digest"]] for r in known]
+        flags = repeated_starts(strings, [r["n"] for r in known], length, shard_bytes)
         return pa.table(
             [
-                table.column("anchor"),
-                table.column("digest"),
-                pa.array([len(f) for f in flags], pa.int32()),
+                pa.array([r["anchor"] for r in known], pa.int64()),
+                pa.array([r["digest"] for r in known], pa.binary()),
                 pa.array([np.packbits(f).tobytes() for f in flags], pa.binary()),
             ],
-            names=["anchor", "digest", "starts", "flags"],
+            names=["anchor", "digest", "flags"],
         )
 
     return run
@@ -282,13 +290,14 @@ def _bucket(length: int, shard_bytes: int):
 
 def _windows(strings: DataFrame, length: int) -> DataFrame:
     """Fates of strings whose anchor is hot: their windows are counted by digest."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for anchor, digest, content, n in zip(
                 *(batch.column(c).to_pylist() for c in ("anchor", "digest", "content", "n"))
             ):
                 count = len(content) - length + 1
-                keys = [hashlib.blake2b(content[i : i + length], digest_size=16).digest() for i in range(count)]
+                keys = [_digest(content[i : i + length]) for i in range(count)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([anchor] * count, pa.int64()), pa.array([digest] * count, pa.binary()),
@@ -309,10 +318,9 @@ def _windows(strings: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("anchor"), batch.column("digest"),
-                    pa.array([len(f) for f in flags], pa.int32()),
                     pa.array([np.packbits(f).tobytes() for f in flags], pa.binary()),
                 ],
-                names=["anchor", "digest", "starts", "flags"],
+                names=["anchor", "digest", "flags"],
             )
 
     return found.mapInArrow(packed, FATES)
@@ -326,37 +334,56 @@ def repeated_stretches(
     bucket_bytes: int = BUCKET_BYTES,
     hot: int = HOT_STRINGS,
 ) -> DataFrame:
-    """(doc_id, tkey, start, starts, flags): stretches with the starts of repeated strings as bits."""
+    """(doc_id, tkey, start, starts, flags): stretches with the starts of repeated strings as bits.
+
+    Null flags mean all starts.
+    """
     spark = given.sparkSession
     twice = anchors(given, length, gram).groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
-    found = written(
-        stretches(given, sketches.bit_filter(twice, "anchor", FILTER_BITS), length, gram), "stretches"
-    )
+    repeated = sketches.bit_filter(twice, "anchor", FILTER_BITS)
+    found = written(stretches(given, repeated, length, gram), "stretches")
+    place = F.struct("doc_id", "tkey", "start")
     strings = found.groupBy("anchor", "digest").agg(
-        F.count("*").alias("n"), F.first("content", ignorenulls=True).alias("content")
+        F.count("*").alias("n"), F.first("starts").alias("starts"), F.min(place).alias("place")
     )
     strings = written(strings, "strings")
     by_anchor = strings.groupBy("anchor").agg(
-        F.sum("n").alias("total"), F.count("*").alias("different"), F.sum(F.length("content")).alias("bytes")
+        F.sum("n").alias("total"), F.count("*").alias("different"),
+        F.sum(F.col("starts") + (length - 1)).alias("bytes"),
     ).filter("total > 1")
     by_anchor = written(by_anchor, "string-anchors")
     # One string that occurs again: each of its starts does.
     alone = strings.join(by_anchor.filter("different = 1").select("anchor"), "anchor").select(
-        "anchor", "digest", (F.length("content") - length + 1).alias("starts"), F.lit(None).cast("binary").alias("flags")
+        "anchor", "digest", F.lit(None).cast("binary").alias("flags")
+    )
+    many = strings.select("anchor", "digest", "n", "place").join(
+        by_anchor.filter("different > 1").select("anchor", "different"), "anchor"
+    )
+    # The bytes of each different string come from one of its places.
+    keys = many.select(place_key(*(F.col(f"place.{c}") for c in ("doc_id", "tkey", "start"))).alias("key"))
+    places = sketches.bit_filter(keys, "key", FILTER_BITS)
+    spelled = written(contents(given, repeated, places, length, gram), "string-bytes")
+    groups = max(1, int((by_anchor.filter("different > 1").agg(F.sum("bytes")).first()[0] or 0) // bucket_bytes))
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(groups)).alias("bucket")
+    cool = by_anchor.filter(f"different between 2 and {hot}").select("anchor")
+    merged = (
+        many.filter(f"different <= {hot}").select(bucket, "anchor", "digest", "n", F.lit(None).cast("binary").alias("content"))
+        .unionByName(
+            spelled.join(cool, "anchor", "left_semi").select(
+                bucket, "anchor", "digest", F.lit(None).cast("long").alias("n"), "content"
+            )
+        )
+        .groupBy("bucket")
+        .applyInArrow(_bucket(length, shard_bytes), FATES)
+    )
+    hottest = many.filter(f"different > {hot}").select("anchor", "digest", "n").join(
+        spelled.dropDuplicates(["anchor", "digest"]), ["anchor", "digest"]
     )
-    many = by_anchor.filter(f"different between 2 and {hot}")
-    size = many.agg(F.sum("bytes")).first()[0] or 0
-    groups = max(1, int(size // bucket_bytes))
-    bucketed = strings.join(many.select("anchor"), "anchor").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
-    merged = bucketed.groupBy("bucket").applyInArrow(_bucket(length, shard_bytes), FATES)
-    hottest = strings.join(by_anchor.filter(f"different > {hot}").select("anchor"), "anchor")
     fates = alone.unionByName(merged).unionByName(_windows(hottest, length))
     path = work_path(spark, "string-fates")
     fates.write.parquet(path)
     fates = spark.read.schema(FATES).parquet(path)
-    return found.select("doc_id", "tkey", "start", "anchor", "digest").join(fates, ["anchor", "digest"]).select(
-        "doc_id", "tkey", "start", "starts", "flags"
-    )
+    return found.join(fates, ["anchor", "digest"]).select("doc_id", "tkey", "start", "starts", "flags")
 
 
 def _covered(size: int, marks: list[dict], length: int) -> np.ndarray:
