@@ -107,8 +107,11 @@ RULES = [
 ]
 
 # A sentence ends at . ; ! or ? before white space or the end of the text (but not at "v."), at a
-# colon that ends a line, and at a line that is empty but for comment marks.
-_END = r"(?<!\bv)[.;!?]+(?=\s|$)|:(?=[ \t]*(\n|$))|\n[ \t#/*;%-]*(?=\n|$)"
+# colon that ends a line, at a line that is empty but for comment marks, and around a copyright line.
+_END = (
+    r"(?<!\bv)[.;!?]+(?=\s|$)|:(?=[ \t]*(\n|$))|\n[ \t#/*;%-]*(?=\n|$)"
+    r"|(?<![^\n])[ \t#/*;%-]*(copyright|\(c\)|©)[^\n.]*"
+)
 _BREAK = "\u0001"
 
 
