@@ -906,9 +906,16 @@ def stream_ingest(spark, sf_dir):
 
 
 def stream_audit(spark, sf_dir):
-    _, base = _ingested(spark, sf_dir)
+    """The log of two runs over the same rows, the second from a checkpoint of its own."""
+    made, base = _ingested(spark, sf_dir)
+    rows = as_table(hourly(_event_stream(spark, sf_dir)), "events", "1h")
+    ingest.ingest(
+        rows, made, f"{base}/checkpoint-2", arrival=["seq"], audit_path=f"{base}/audit"
+    ).awaitTermination()
     log = spark.read.schema(ingest.AUDIT).parquet(f"{base}/audit")
     return log.select(
+        (F.col("run_id") == ingest.run_of(spark, f"{base}/checkpoint")).alias("first_run"),
+        "batch_id",
         "symbol",
         "rows_in",
         "rows_new",
@@ -919,9 +926,13 @@ def stream_audit(spark, sf_dir):
 
 
 STREAM_AUDIT_SQL = f"""
-WITH {HOURLY_SQL} SELECT symbol, count(*) AS rows_in, count(DISTINCT time) AS rows_new,
-  min(time) AS first_time, max(time) AS last_time, 'completed' AS status
-FROM h GROUP BY symbol
+WITH {HOURLY_SQL}, a AS (
+  SELECT symbol, count(*) AS rows_in, count(DISTINCT time) AS rows_new,
+    min(time) AS first_time, max(time) AS last_time FROM h GROUP BY symbol
+)
+SELECT TRUE AS first_run, 0::BIGINT AS batch_id, *, 'completed' AS status FROM a
+UNION ALL
+SELECT FALSE, 0, symbol, rows_in, 0, first_time, last_time, 'idle' FROM a
 """
 
 

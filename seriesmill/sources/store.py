@@ -95,7 +95,13 @@ class SeriesTable:
         self._write(self._prepared(df), "append")
 
     def upsert(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
-        """Add the rows whose (series, time) is not stored; returns the rows added.
+        """Add the rows whose (series, time) is not stored; returns the rows added."""
+        added = self.new_rows(new, arrival)
+        self.add_rows(added)
+        return added.drop(MONTH)
+
+    def new_rows(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
+        """The rows an upsert adds, kept in the shared folder until :meth:`add_rows` stores them.
 
         Stored rows win, so nothing stored is rewritten, and running the same
         batch again adds nothing.  Of new rows with one key the first by
@@ -109,10 +115,10 @@ class SeriesTable:
         order = [*(arrival or []), *(c for c in fields if c not in ROW_KEYS)]
         incoming = self._prepared(new, extra)
         stored = self._within(incoming, PARTITIONS)
-        added = rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra)
-        added = written(added, "added")
+        return written(rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra), "added")
+
+    def add_rows(self, added: DataFrame) -> None:
         self._write(added.select(*self._stored.fieldNames()), "append")
-        return added.drop(MONTH)
 
     def replace(self, df: DataFrame) -> bool:
         """Store ``df`` in place of whatever its series held; an empty frame changes nothing."""

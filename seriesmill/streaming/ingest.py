@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from seriesmill.schemas import SERIES_KEYS, columns
 from seriesmill.sources.store import SeriesTable
 
 AUDIT = columns(
+    run_id=T.StringType(),
     batch_id=T.LongType(),
     source=T.StringType(),
     symbol=T.StringType(),
@@ -45,13 +48,14 @@ def landing_stream(
     return reader.load(path)
 
 
-def audit_rows(batch: DataFrame, added: DataFrame, batch_id: int) -> DataFrame:
+def audit_rows(batch: DataFrame, added: DataFrame, batch_id: int, run_id: str = "") -> DataFrame:
     """One row per series of a batch: rows in, rows new, time range, status."""
     marked = batch.select(*SERIES_KEYS, "time", F.lit(0).alias("_new")).unionByName(
         added.select(*SERIES_KEYS, "time", F.lit(1).alias("_new"))
     )
     new = F.sum("_new")
     return marked.groupBy(*SERIES_KEYS).agg(
+        F.lit(run_id).alias("run_id"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         (F.count("*") - new).alias("rows_in"),
         new.alias("rows_new"),
@@ -73,24 +77,37 @@ def ingest(
     """Upsert a stream of rows into ``table``; first stored row of a key wins.
 
     A batch that is run again after a failure adds nothing twice: the upsert
-    skips stored keys, and the audit of a batch overwrites its own folder.
+    skips stored keys.  The audit lies by run, which is the id that the
+    checkpoint keeps, and batch.  It is written before the rows are stored; a
+    batch that then finds all its rows stored has been through before, and
+    leaves its audit as it is.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Used several times; a lost part is read again from the landed files.
-        batch = batch.persist()
-        try:
-            added = table.upsert(batch, arrival)
-            if audit_path is not None:
-                audit_rows(batch, added, batch_id).drop("batch_id").write.mode(
-                    "overwrite"
-                ).parquet(f"{audit_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        added = table.new_rows(batch, arrival)
+        if audit_path is not None:
+            run_id = run_of(batch.sparkSession, checkpoint)
+            path = f"{audit_path}/run_id={run_id}/batch_id={batch_id}"
+            if not (added.isEmpty() and _written(batch.sparkSession, path)):
+                audit_rows(batch, added, batch_id, run_id).drop("run_id", "batch_id").write.mode("overwrite").parquet(path)
+        table.add_rows(added)
 
     return _start(rows, checkpoint, trigger, store)
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that a checkpoint belongs to."""
+    text = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+    return json.loads(text)["id"]
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
+
+
 def _start(
     rows: DataFrame,
     checkpoint: str,

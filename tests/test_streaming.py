@@ -61,6 +61,25 @@ def test_ingest_in_batches(spark, tmp_path, landing):
     assert table.read().count() == 12
 
 
+def test_a_replayed_batch_keeps_its_audit(spark, tmp_path, landing):
+    """The commit of a batch is lost: the batch runs again, finds its rows stored, and leaves the log."""
+    run(spark, tmp_path, landing)
+    read = lambda: sorted(map(tuple, spark.read.schema(ingest.AUDIT).parquet(str(tmp_path / "audit")).collect()))
+    before = read()
+    commits = tmp_path / "checkpoint" / "commits"
+    for name in ("0", ".0.crc"):
+        if (commits / name).exists():
+            (commits / name).unlink()
+    run(spark, tmp_path, landing)
+    assert read() == before and before[0][4:6] == (10, 10)
+    # A new checkpoint is another run; the first one's log stays.
+    table = SeriesTable(spark, str(tmp_path / "table"), PAYLOAD)
+    stream = ingest.landing_stream(spark, landing, rows(spark, []).schema)
+    ingest.ingest(stream, table, str(tmp_path / "second"), arrival=["seq"], audit_path=str(tmp_path / "audit")).awaitTermination()
+    after = read()
+    assert len(after) == 2 and before[0] in after and table.read().count() == 10
+
+
 def test_stream_equals_batch(spark, tmp_path, landing):
     """The same rows in one upsert and file by file."""
     land(spark, landing, [("s", "a", "1d", "2024-01-05", 77.0, 50)])
