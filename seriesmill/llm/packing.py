@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesmill.llm.tokens import END_ID, encoded
-from seriesmill.session import written
+from seriesmill.llm.storage import written
 
 SEQUENCE_TOKENS = 4096
 RANKS_PER_ROW = 4096

@@ -34,7 +34,7 @@ from seriesmill.llm.text import (
     text_bytes,
     word_spans,
 )
-from seriesmill.session import written
+from seriesmill.llm.storage import written
 
 ORDER = 4
 EDGE = 10  # stands before and after a text; white space inside is always a space

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
 from seriesmill.llm.text import blocks, mixed, powers, text_bytes
-from seriesmill.session import work_path, written
+from seriesmill.llm.storage import written
+from seriesmill.session import work_path
 
 LENGTH = 400
 ANCHOR_BYTES = 32

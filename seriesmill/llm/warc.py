@@ -30,7 +30,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.session import work_path, written
+from seriesmill.llm.storage import written
+from seriesmill.session import work_path
 
 LEAST_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
