@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
-from seriesmill.queries import series_queries, source_queries, time_queries
+from seriesmill.queries import ALL, series_queries, source_queries, time_queries
 
 SF = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
@@ -17,10 +17,12 @@ def duck():
 
 def test_names_are_unique():
     groups = (time_queries.QUERIES, series_queries.QUERIES, source_queries.QUERIES)
-    assert sum(len(g) for g in groups) == len(entry.queries())
+    assert sum(len(g) for g in groups) == len(ALL)
+    assert set(entry.queries()) == set(ALL) | set(entry.LLM_QUERIES)
+    assert not set(ALL) & set(entry.LLM_QUERIES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(ALL))
 def test_query_equals_its_sql(spark, duck, name):
     assert name in ORACLES
     result = compare(spark, duck, entry.queries()[name], ORACLES[name], SF)
@@ -35,7 +37,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize(
     "name",
-    [n for n in entry.queries() if not n.startswith(("stream_", "store_"))],
+    [n for n in ALL if not n.startswith(("stream_", "store_", "files_"))],
 )
 def test_no_query_multiplies_rows_by_rows(spark, plan_of, name):
     plan = plan_of(entry.queries()[name](spark, SF))
