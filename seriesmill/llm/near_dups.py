@@ -10,10 +10,11 @@ Jaccard similarity.  Bands are sets of samples; texts that agree on a band
 meet, and their similarity is computed on the whole texts before it counts.
 
 Equal texts are one text throughout.  Within a band's bucket each text is
-compared with the bucket's hub; texts that are then not in the hub's class are
-compared with the members of other classes.  So a group of thousands of copies
-costs a comparison each, and no link between different texts of a bucket is
-left out unless its ends are in one class already.
+compared with the bucket's hub.  Texts that are then outside their hub's class
+go through an exact prefix join with the texts of such buckets.  So a group of
+thousands of copies costs a comparison each, no pairs of a bucket are listed,
+and no link between texts of a bucket is left out unless its ends are in one
+class already.
 
 Defined results: a null text is empty; texts without words are alike only if
 equal; rows are told apart by ``doc_id`` and text, and repeated rows get the
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
 from seriesmill.llm.text import blocks, lowered, mixed, span_hashes, text_bytes, word_spans
-from seriesmill.session import written
+from seriesmill.llm.storage import written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -242,6 +243,57 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, words: int, th
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def meeting(near: DataFrame, idf: np.ndarray, words: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts of different classes, one of them ``out``, that can be similar.
+
+    An exact prefix join: shingles in one order, the rarest first; two texts of
+    similarity t share a shingle in the first 1 - t of their weights, and what
+    follows that shingle must be heavy enough in both.
+    """
+    sent = near.sparkSession.sparkContext.broadcast(idf)
+    bits = len(idf).bit_length() - 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            of, hashes, left, total = [], [], [], []
+            for i, (every, n) in enumerate(features(*text_bytes(block.column("text")), words)):
+                own = sent.value[every >> np.uint64(64 - bits)]
+                order = np.lexsort((every, -own))
+                weight = (n * own)[order].astype(np.float64)
+                after = weight.sum() - np.cumsum(weight) + weight
+                used = after >= threshold * weight.sum() * (1 - 1e-9)
+                of.append(np.full(int(used.sum()), i))
+                hashes.append(every[order][used])
+                left.append(after[used])
+                total.append(np.full(int(used.sum()), weight.sum()))
+            at = pa.array(np.concatenate(of))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(hashes).view(np.int64)),
+                    *(block.column(c).take(at) for c in ("tkey", "class", "out")),
+                    pa.array(np.concatenate(left)),
+                    pa.array(np.concatenate(total)),
+                ],
+                names=["shingle", "tkey", "class", "out", "rest", "total"],
+            )
+
+    entries = near.select("tkey", "class", "out", "text").mapInArrow(
+        run, "shingle long, tkey binary, class binary, out boolean, rest double, total double"
+    )
+    x, y = (
+        entries.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("tkey", "class", "out", "rest", "total")))
+        for side in "xy"
+    )
+    heavy = F.least("x_rest", "y_rest") >= threshold / (1 + threshold) * (1 - 1e-9) * (F.col("x_total") + F.col("y_total"))
+    return (
+        x.join(y, "shingle")
+        .filter((F.col("x_tkey") < F.col("y_tkey")) & (F.col("x_class") != F.col("y_class")))
+        .filter((F.col("x_out") | F.col("y_out")) & heavy)
+        .select(F.col("x_tkey").alias("a"), F.col("y_tkey").alias("b"))
+        .distinct()
+    )
+
+
 def classes(links: DataFrame, labels: DataFrame) -> DataFrame:
     """(tkey, class): ``labels`` with the classes that ``links`` of (a, b) join made one.
 
@@ -287,11 +339,14 @@ def text_classes(
         F.first("bands").alias("bands"), F.first("signature").alias("signature")
     )
     entries = texts.select("tkey", F.posexplode("bands").alias("band", "key"))
-    # A bucket's hub is its first text in an order that differs from band to band.
-    order = F.struct(F.xxhash64("band", "tkey").alias("rank"), F.col("tkey"))
-    buckets = entries.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(order).alias("hub")).filter("n > 1")
+    sizes = entries.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = written(entries.join(sizes, ["band", "key"]).select("band", "key", "tkey", "n"), "buckets")
+    # A bucket's hub is the text that meets most others over all bands: of a group of copies
+    # that is one near its middle, which nearly all of them are like.
+    met = members.groupBy("tkey").agg(F.struct(F.sum("n").alias("met"), F.first("tkey").alias("tkey")).alias("rank"))
+    hubs = members.join(met, "tkey").groupBy("band", "key").agg(F.max("rank").alias("hub"))
     members = written(
-        entries.join(buckets, ["band", "key"]).select("band", "key", "tkey", F.col("hub.tkey").alias("hub")), "buckets"
+        members.join(hubs, ["band", "key"]).select("band", "key", "tkey", F.col("hub.tkey").alias("hub")), "buckets"
     )
     signatures = written(
         texts.select("tkey", "signature").join(members.select("tkey").distinct(), "tkey"), "signatures"
@@ -313,17 +368,19 @@ def text_classes(
         )
     )
     labels = classes(first, signatures.select("tkey", F.col("tkey").alias("class")))
-    # What is left: texts outside their hub's class, against the bucket's texts of other classes.
+    # What is left: texts outside their hub's class, against the texts of buckets with such texts.
     labelled = members.join(labels, "tkey").join(
         labels.select(F.col("tkey").alias("hub"), F.col("class").alias("hub_class")), "hub"
     )
-    outside = labelled.filter("class <> hub_class").select(
-        "band", "key", F.col("tkey").alias("x"), F.col("class").alias("x_class")
+    outside = written(labelled.filter("class <> hub_class").select("band", "key", "tkey", "class"), "outside")
+    partners = members.join(outside.select("band", "key").distinct(), ["band", "key"], "left_semi").select("tkey").distinct()
+    near = written(
+        partners.join(labels, "tkey")
+        .join(outside.select("tkey", F.lit(True).alias("out")).distinct(), "tkey", "left")
+        .join(wanted, "tkey"),
+        "partners",
     )
-    rest = outside.join(
-        labelled.filter("tkey <> hub").select("band", "key", F.col("tkey").alias("y"), F.col("class").alias("y_class")),
-        ["band", "key"],
-    ).filter("x_class <> y_class").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    rest = meeting(near, idf, words, threshold)
     labels = classes(compared(rest), labels)
     return rows.select("doc_id", "tkey"), labels
 
