@@ -36,6 +36,7 @@ from seriesmill.session import work_path
 LEAST_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 20
+MOST_TASKS = 10_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -267,7 +268,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                     ),
                 )
 
-    spread = archives.repartition(F.col("path"))
+    # A row is a whole archive: a set number of tasks, which is not cut down for small rows.
+    spread = archives.repartition(min(MOST_TASKS, max(1, archives.count())), F.col("path"))
     return written(spread.mapInArrow(run, INDEX), "warc-index")
 
 
