@@ -18,18 +18,20 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.llm.text import blocks
-from seriesmill.llm.tokens import Memo, space_chunks
+from seriesmill.llm.tokens import PLAIN, Memo, space_chunks
 
 BLOCK_BYTES = 4 << 20
 #: Words are dealt to so many groups for each shuffle partition.
@@ -57,21 +59,63 @@ def word_encoder(lines: bytes, pattern: str):
 
 
 @lru_cache(maxsize=2)
-def token_bytes(lines: bytes) -> dict[int, bytes]:
-    return {i: token for token, i in read_ranks(lines).items()}
+def token_bytes(lines: bytes) -> list[bytes]:
+    """Token bytes by id; ids without a token have none."""
+    ranks = read_ranks(lines)
+    out = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        out[i] = token
+    return out
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers as their low, then their high bytes, compressed."""
+    width = 2 if not len(numbers) or int(numbers.max()) < 1 << 16 else 4
+    planes = numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _numbers(payload: bytes) -> np.ndarray:
+    width = payload[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def _pack_words(words: list[bytes]) -> bytes:
     lengths = np.array([len(w) for w in words], "<u4")
-    return np.array([len(words)], "<u4").tobytes() + lengths.tobytes() + b"".join(words)
+    whole = np.array([len(words)], "<u4").tobytes() + lengths.tobytes() + b"".join(words)
+    return zstandard.ZstdCompressor(level=3).compress(whole)
 
 
 def _unpack_words(payload: bytes) -> list[bytes]:
+    payload = zstandard.ZstdDecompressor().decompress(payload)
     n = int(np.frombuffer(payload, "<u4", 1)[0])
     ends = np.cumsum(np.frombuffer(payload, "<u4", n, 4)) + 4 + 4 * n
     return [payload[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
 
 
+def _pack_ids(ids: list[bytes]) -> bytes:
+    """Ids of several words: how many each has, and all of them."""
+    lengths = _squeezed(np.array([len(x) // 4 for x in ids], np.int64))
+    return len(lengths).to_bytes(4, "little") + lengths + _squeezed(np.frombuffer(b"".join(ids), "<u4"))
+
+
+def _unpack_ids(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    end = 4 + int.from_bytes(payload[:4], "little")
+    return _numbers(payload[4:end]), _numbers(payload[end:])
+
+
+def pretokens(chunk: str, split: regex.Pattern) -> list[str]:
+    """The pre-tokens of a piece between safe cuts; words of plain letters need no pattern."""
+    body = chunk[1:] if chunk[:1] == " " else chunk
+    if body and (body.isascii() or PLAIN.match(body)):
+        if body.isalpha():
+            return [chunk]
+        if body[-1] in ".," and body[:-1].isalpha():
+            return [chunk[:-1], body[-1]]
+    return split.findall(chunk)
+
+
 def _explode(groups: int, pattern: str):
     """Documents to word numbers by position, and words by group."""
 
@@ -82,8 +126,7 @@ def _explode(groups: int, pattern: str):
             words: dict[str, int] = {}
 
             def numbers(chunk: str) -> bytes:
-                found = [words.setdefault(w, len(words)) for w in split.findall(chunk)]
-                return np.array(found, np.uint32).tobytes()
+                return array("I", [words.setdefault(w, len(words)) for w in pretokens(chunk, split)]).tobytes()
 
             memo = Memo(numbers)
             texts = block.column("text").to_pylist()
@@ -97,9 +140,8 @@ def _explode(groups: int, pattern: str):
             # Number the words by group, so that the groups' answers line up end to end.
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            narrow = np.dtype("<u2" if len(words) <= 1 << 16 else "<u4")
             rows = [
-                (number, None, i, key, bytes([narrow.itemsize]) + place[s].astype(narrow).tobytes())
+                (number, None, i, key, _squeezed(place[s]))
                 for i, (key, s) in enumerate(zip(block.column("doc_id").to_pylist(), streams))
             ]
             cuts = np.searchsorted(part[order], np.arange(groups + 1))
@@ -141,7 +183,7 @@ def _encode_words(lines: bytes, pattern: str):
                     own = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
                     ids[word] = own
                 found.append(own)
-            rows.append((block, part, _pack_words(found)))
+            rows.append((block, part, _pack_ids(found)))
         return pa.Table.from_batches([_batch(rows, ANSWERED)])
 
     return run
@@ -151,23 +193,27 @@ def _assemble(table: pa.Table) -> pa.Table:
     """One block: the words' ids in order of their numbers, then every document by position."""
     rows = table.select(["part", "row", "doc_id", "payload"]).to_pylist()
     answers = sorted((r for r in rows if r["part"] is not None), key=lambda r: r["part"])
-    words = [w for r in answers for w in _unpack_words(r["payload"])]
-    flat = np.frombuffer(b"".join(words), "<u4")
-    lengths = np.array([len(w) // 4 for w in words], np.int64)
+    found = [_unpack_ids(r["payload"]) for r in answers] or [(np.zeros(0, np.int64),) * 2]
+    lengths, flat = (np.concatenate(x) for x in zip(*found))
+    flat = flat.astype(np.int32)
     firsts = np.cumsum(lengths) - lengths
     keys, ids = [], []
     for r in sorted((r for r in rows if r["part"] is None), key=lambda r: r["row"]):
-        kind = np.dtype(f"<u{r['payload'][0]}")
-        numbers = np.frombuffer(r["payload"], kind, offset=1)
-        if len(numbers) and int(numbers.max()) >= len(words):
+        numbers = _numbers(r["payload"])
+        if len(numbers) and int(numbers.max()) >= len(lengths):
             raise ValueError("a block lacks words: its texts changed between two reads")
         own = lengths[numbers]
         ends = np.cumsum(own)
         at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(firsts[numbers] - (ends - own), own)
         keys.append(r["doc_id"])
-        ids.append(flat[at].astype(np.int32))
+        ids.append(flat[at])
+    ends = np.cumsum([0, *map(len, ids)])
+    every = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     return pa.table(
-        {"doc_id": pa.array(keys, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))}
+        {
+            "doc_id": pa.array(keys, pa.int64()),
+            "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(every)),
+        }
     )
 
 
@@ -214,8 +260,10 @@ def with_decoded(rows: DataFrame, ranks_path: str, derive, schema: str) -> DataF
         table = token_bytes(lines)
         for batch in batches:
             made = []
-            for key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                ids = ids.values.to_pylist() if ids.values is not None else []
+            values = batch.column("ids").values.to_numpy(zero_copy_only=False)
+            ends = batch.column("ids").offsets.to_numpy()
+            for key, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1], ends[1:]):
+                ids = values[a:b].tolist()
                 made.append((key, *derive(ids, b"".join(map(table.__getitem__, ids)))))
             columns = list(zip(*made)) or [()] * len(schema.split(", "))
             yield pa.RecordBatch.from_arrays(

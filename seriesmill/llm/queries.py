@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _decimals() -> list[bytes]:
+    return [str(i).encode() for i in range(1 << 16)]
+
+
 def _token_digests(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
-    spelled = " ".join(map(str, ids)).encode()
+    spelled = b" ".join(map(_decimals().__getitem__, ids))
     return len(ids), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
