@@ -76,7 +76,7 @@ def write_tokens(
         .option("parquet.page.size", page_bytes)
         .option("parquet.enable.dictionary", "true")
         .option("parquet.writer.version", "PARQUET_2_0")
-        .option("compression", "zstd")
+        .option("compression", "snappy")
         .parquet(path)
     )
 

@@ -19,10 +19,10 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 END_ID = 2
-MEMO_WORDS = 200_000
+MEMO_WORDS = 250_000
 
 # Characters on which every library agrees about letters, case and white space.
-_PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-įı-ɏ]*\Z")
+PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-įı-ɏ]*\Z")
 _WIDE = re.compile(r" (?=\s|\Z)")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
@@ -83,34 +83,45 @@ class TextEncoder:
         self.by_word = self.model.end_of_word_suffix == "</w>"
         self.pattern = regex.compile(WORD_PATTERN if self.by_word else BYTE_PATTERN)
         self.letters = byte_letters()
-        self.words, self.chunks = Memo(self._word), Memo(self._chunk)
+        self.ids = Memo(self._ids)
 
     # Ids are kept as bytes of 32-bit numbers: small, and cheap to join.
-    def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isprintable():
+    def _model_ids(self, word: str) -> bytes:
+        if word.isascii():
             letters = word.replace(" ", "\u0120")
         else:
             letters = "".join(map(self.letters.__getitem__, word.encode()))
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-            return self.words[chunk.lower().strip() if self.by_word else chunk]
-        if not _PLAIN.match(chunk):
-            return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
-        words = self.pattern.findall(chunk.lower() if self.by_word else chunk)
-        return b"".join([self.words[w] for w in words])
+    def _ids(self, piece: str) -> bytes:
+        """Ids of a piece between safe cuts, or of a pre-token, which is a piece as well."""
+        own = piece.lower() if self.by_word else piece
+        body = own[1:] if own[0] == " " else own
+        if not (piece.isascii() or PLAIN.match(piece)):
+            return array("I", self.whole.encode(piece, add_special_tokens=False).ids).tobytes()
+        if body.isalpha():
+            return self._model_ids(own) if own == piece else self.ids[own]
+        if body[-1:] in ".," and body[:-1].isalpha():
+            return self.ids[own[:-1]] + self.ids[own[-1]]
+        if not PLAIN.match(piece):
+            return array("I", self.whole.encode(piece, add_special_tokens=False).ids).tobytes()
+        words = self.pattern.findall(own)
+        if len(words) == 1 and words[0] == piece and (piece.isprintable() or not piece.isascii()):
+            return self._model_ids(piece)
+        if len(words) == 1:
+            return array("I", self.whole.encode(piece, add_special_tokens=False).ids).tobytes()
+        return b"".join([self.ids[w] for w in words])
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
         if not self.by_word:
-            chunks = space_chunks(text)
+            chunks = filter(None, space_chunks(text))
         elif _SEPARATORS.search(text):
             chunks = [text]
         else:
             chunks = text.split()
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), np.uint32)
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, chunks)), np.uint32)
 
 
 @lru_cache(maxsize=2)
