@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
 from seriesmill.llm.text import blocks, line_spans, lowered, mixed, span_hashes, text_bytes, word_spans
-from seriesmill.session import written
+from seriesmill.llm.storage import written
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
@@ -43,6 +43,27 @@ LINES = "doc_id long, tkey long, line int, s1 long, s2 long"
 ENTRIES = "token int, s1 long, bits long, n int, at int"
 
 
+_LINE_BITS = 20
+
+
+def _order(line: np.ndarray, level: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
+    """The order by line, level (a byte) and hash; ``line`` does not descend.
+
+    One number holds line, level and the upper bits of the hash; where two
+    different hashes tie on it, and where lines are too many, all keys are used.
+    """
+    if len(line) and line[-1] < 1 << _LINE_BITS:
+        key = hashes >> np.uint64(_LINE_BITS)
+        if level is not None:
+            key = (key >> np.uint64(8)) | (level.astype(np.uint64) << np.uint64(56 - _LINE_BITS))
+        key |= line.astype(np.uint64) << np.uint64(64 - _LINE_BITS)
+        order = np.argsort(key)
+        key, own = key[order], hashes[order]
+        if not ((key[1:] == key[:-1]) & (own[1:] != own[:-1])).any():
+            return order
+    return np.lexsort((hashes, line) if level is None else (hashes, level, line))
+
+
 class LineSets:
     """The distinct words of every line of a block, sorted by line and hash.
 
@@ -60,7 +81,7 @@ class LineSets:
         words = np.bincount(line, minlength=len(self.starts))
         kept = words[line] >= min_words
         line, hashes = line[kept], hashes[kept]
-        order = np.lexsort((hashes, line))
+        order = _order(line, None, hashes)
         line, hashes = line[order], hashes[order]
         new = np.ones(len(line), bool)
         new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
@@ -92,45 +113,50 @@ def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(threshold * n - 1e-9).astype(np.int64)
 
 
-def word_counts(given: DataFrame, min_words: int, bits: int) -> np.ndarray:
-    """How many lines hold a word of each hash cell."""
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << bits, np.uint32)
-        for block in blocks(batches, "text"):
-            token = LineSets(block, min_words).token
-            every, n = np.unique(token >> np.uint64(64 - bits), return_counts=True)
-            cells[every] += n.astype(np.uint32)
-        yield from sketches.sliced(cells)
-
-    rows = given.select("text").mapInArrow(count, sketches.SCHEMA)
-    return sketches.collected(rows, 1 << bits, "u4", np.add)
-
-
-def levels(counts: np.ndarray) -> np.ndarray:
-    """Counts as one byte each, in the same order: exact to 128, then in steps of a sixteenth power of two."""
-    high = 128 + np.log2(np.maximum(counts, 128) / 128) * 5
-    return np.where(counts < 128, counts, np.minimum(high, 255)).astype(np.uint8)
-
+def counted_lines(given: DataFrame, min_words: int, bits: int) -> tuple[np.ndarray, DataFrame]:
+    """(how many lines hold a word of each hash cell, one row a line with the digests of its set).
 
-def line_rows(given: DataFrame, min_words: int) -> DataFrame:
-    """One row a line, with the digests of its set."""
+    Both come from one read of the texts; a task's counts stand in rows of their own.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << bits, np.uint32)
+        names = [f.name for f in kinds]
         for block in blocks(batches, "text"):
             sets = LineSets(block, min_words)
+            every, n = np.unique(sets.token >> np.uint64(64 - bits), return_counts=True)
+            cells[every] += n.astype(np.uint32)
             row, number = sets.numbers()
+            none = pa.nulls(len(row))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(pa.array(row)),
                     block.column("tkey").take(pa.array(row)),
                     pa.array(number.astype(np.int32)),
                     *(pa.array(x.view(np.int64)) for x in sets.digests()),
+                    none.cast(pa.int32()), none.cast(pa.binary()),
                 ],
-                names=["doc_id", "tkey", "line", "s1", "s2"],
+                names=names,
+            )
+        for part in sketches.sliced(cells):
+            none = pa.nulls(part.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [*(none.cast(f.type) for f in kinds[:5]), *part.columns], names=names
             )
 
-    return given.mapInArrow(run, LINES)
+    kinds = [
+        pa.field("doc_id", pa.int64()), pa.field("tkey", pa.int64()), pa.field("line", pa.int32()),
+        pa.field("s1", pa.int64()), pa.field("s2", pa.int64()), pa.field("slice", pa.int32()), pa.field("payload", pa.binary()),
+    ]
+    both = written(given.mapInArrow(run, f"{LINES}, {sketches.SCHEMA}"), "lines")
+    counts = sketches.collected(both.filter("slice is not null").select("slice", "payload"), 1 << bits, "u4", np.add)
+    return counts, both.filter("slice is null").drop("slice", "payload")
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts as one byte each, in the same order: exact to 128, then in steps of a sixteenth power of two."""
+    high = 128 + np.log2(np.maximum(counts, 128) / 128) * 5
+    return np.where(counts < 128, counts, np.minimum(high, 255)).astype(np.uint8)
 
 
 def document_key(doc_id: Column, tkey: Column) -> Column:
@@ -163,7 +189,7 @@ def prefix_entries(
             key = tkey[row] ^ (number.astype(np.int64) << 40) ^ (ids[row] << 20)
             first = sketches.in_filter(sent.value[0], key.view(np.uint64))
             level = sent.value[1][sets.token >> np.uint64(64 - bits)]
-            order = np.lexsort((sets.token, level, sets.of))
+            order = _order(sets.of, level, sets.token)
             token, level = sets.token[order], level[order]
             at = np.arange(len(token)) - np.repeat(sets.first, sets.n)
             prefix = np.where(first, sets.n - _needed(sets.n, threshold) + 1, 0)
@@ -226,19 +252,47 @@ def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFram
     )
 
 
-def similar_sets(given: DataFrame, entries: DataFrame, threshold: float, min_words: int) -> DataFrame:
-    """(a_s1, b_s1) of all pairs of different sets with Jaccard ``threshold`` or more."""
+def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (early, late) whose sets have Jaccard ``threshold`` or more."""
+    a = tokens.select(F.col("s1").alias("early"), F.col("tokens").alias("a_tokens"))
+    b = tokens.select(F.col("s1").alias("late"), F.col("tokens").alias("b_tokens"))
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    every = F.size("a_tokens") + F.size("b_tokens") - shared
+    alike = shared >= F.lit(threshold) * every - F.lit(1e-9)
+    return pairs.join(b, "late").join(a, "early").filter(alike).select("early", "late")
+
+
+def with_earlier_match(
+    given: DataFrame, sets: DataFrame, entries: DataFrame, threshold: float, min_words: int
+) -> DataFrame:
+    """(s1) of the sets that a different set with an earlier first line matches.
+
+    Of a set's earlier candidates the earliest is verified first; only sets that
+    it does not match go on to all their others.  In a group of copies nearly
+    all sets are through with the first.
+    """
     pairs = written(candidates(entries, threshold), "line-pairs")
-    ends = pairs.select(F.explode(F.array("a_s1", "b_s1")).alias("s1"))
+    places = sets.select("s1", "place")
+    placed = pairs.join(places.select(F.col("s1").alias("a_s1"), F.col("place").alias("a_place")), "a_s1").join(
+        places.select(F.col("s1").alias("b_s1"), F.col("place").alias("b_place")), "b_s1"
+    )
+    first = F.col("a_place") < F.col("b_place")
+    placed = written(
+        placed.select(
+            F.when(first, F.col("a_s1")).otherwise(F.col("b_s1")).alias("early"),
+            F.when(first, F.col("b_s1")).otherwise(F.col("a_s1")).alias("late"),
+            F.when(first, F.col("a_place")).otherwise(F.col("b_place")).alias("place"),
+        ),
+        "line-pairs",
+    )
+    ends = placed.select(F.explode(F.array("early", "late")).alias("s1"))
     wanted = sketches.bit_filter(ends, "s1", FILTER_BITS)
     tokens = written(set_tokens(given, wanted, min_words), "line-tokens")
-    a = tokens.select(F.col("s1").alias("a_s1"), F.col("tokens").alias("a_tokens"))
-    b = tokens.select(F.col("s1").alias("b_s1"), F.col("tokens").alias("b_tokens"))
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    every = F.size("a_tokens") + F.size("b_tokens") - shared
-    return (
-        pairs.join(a, "a_s1").join(b, "b_s1").filter(shared >= F.lit(threshold) * every - F.lit(1e-9))
-    ).select("a_s1", "b_s1")
+    earliest = placed.groupBy("late").agg(F.min_by("early", "place").alias("early"))
+    found = written(similar(earliest, tokens, threshold).select(F.col("late").alias("s1")), "line-matches")
+    rest = placed.select("early", "late").join(found.select(F.col("s1").alias("late")), "late", "left_anti")
+    more = similar(rest, tokens, threshold).select(F.col("late").alias("s1")).distinct()
+    return found.unionByName(written(more, "line-matches"))
 
 
 def removed_lines(
@@ -248,24 +302,18 @@ def removed_lines(
 
     ``given`` holds doc_id, tkey (a hash of the text) and text.
     """
-    rarity = levels(word_counts(given, min_words, bits))
-    lines = written(line_rows(given, min_words), "lines")
+    counts, lines = counted_lines(given, min_words, bits)
     place = F.struct("doc_id", "tkey", "line")
     sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     sets = written(sets, "line-sets")
     firsts = sketches.bit_filter(sets.select(place_key("place").alias("key")), "key", FILTER_BITS)
-    entries = prefix_entries(given, firsts, rarity, threshold, min_words)
-    links = similar_sets(given, entries, threshold, min_words)
-    links = links.select(F.col("a_s1").alias("s1"), F.col("b_s1").alias("other")).unionByName(
-        links.select(F.col("b_s1").alias("s1"), F.col("a_s1").alias("other"))
+    entries = prefix_entries(given, firsts, levels(counts), threshold, min_words)
+    matched = with_earlier_match(given, sets, entries, threshold, min_words).withColumn("all", F.lit(True))
+    # All lines of a matched set go, and of any other all but the first.
+    fates = sets.join(matched, "s1", "left").filter("all or last > place").select("s1", "s2", "place", "all")
+    gone = lines.join(fates.withColumnRenamed("place", "kept"), ["s1", "s2"]).filter(
+        F.col("all") | (place > F.col("kept"))
     )
-    others = sets.select(F.col("s1").alias("other"), F.col("place").alias("there"))
-    earliest = links.join(others, "other").groupBy("s1").agg(F.min("there").alias("there"))
-    fates = sets.select("s1", "s2", "place", "last").join(earliest, "s1", "left")
-    fates = fates.withColumn("keep_to", F.least("place", "there")).filter(F.col("last") > F.col("keep_to"))
-    gone = lines.select("doc_id", "tkey", "line", "s1", "s2").join(
-        fates.select("s1", "s2", "keep_to"), ["s1", "s2"]
-    ).filter(place > F.col("keep_to"))
     return gone.select("doc_id", "tkey", "line").distinct().groupBy("doc_id", "tkey").agg(
         F.collect_list("line").alias("lines")
     )
