@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -64,7 +64,7 @@ def _powers(size: int, base: int) -> np.ndarray:
 
 
 def powers(length: int, base: int = _BASE) -> np.ndarray:
-    size = 1 << max(16, int(length).bit_length())
+    size = 1 << max(16, int(length - 1).bit_length())
     return _powers(size, base)[:length]
 
 

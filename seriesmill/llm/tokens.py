@@ -19,7 +19,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 END_ID = 2
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 
 # Characters on which every library agrees about letters, case and white space.
 PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-įı-ɏ]*\Z")
