@@ -7,16 +7,26 @@ n-gram itself, its bytes packed into one number, so no two n-grams share a key.
 A document is rejected where its base counts fail, or where its perplexity
 lies outside the band of its language: more than ``lower`` quartile distances
 below the first or ``upper`` above the third quartile of the log perplexities of
-the documents of that language that passed the base rules.
+the texts of that language that passed the base rules.  The band is that of a
+model in which each distinct text counts once, and in the quartiles it counts once
+too: a large group of copies neither sets the band nor falls out of it for being
+well known.  The quartile distance is taken as ``LEAST_APART`` at least, so a
+language of few different texts has a band of some width.  ``log_perplexity`` is
+under the model of all documents, copies counted each time.
+
+Log probabilities are added up as whole multiples of ``2 ** -24``: equal texts of a
+language have the same score, whatever stands beside them.
 
 Defined results: a null text is empty and fails the base rules; a null language
-is a language of its own; repeated rows count each time; in an empty table there
-is nothing to count; input columns of any name are carried in a struct.
+is a language of its own; repeated rows count each time in ``log_perplexity``; in an
+empty table there is nothing to count; input columns of any name are carried in a
+struct.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +52,11 @@ MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
 LOWER_WIDTH = 3.0
 UPPER_WIDTH = 4.0
-#: Rows of the models that one scoring pass sends to the tasks, 12 bytes each.
+#: The least quartile distance that a band is made of, in nats a byte; the given tables have 0.022 to 0.035 at sf0.1.
+LEAST_APART = 0.02
+#: Log probabilities are added up in steps of this part, so that sums are exact.
+_STEP = 2.0**-24
+#: Rows of the models that one scoring pass sends to the tasks, 16 bytes each in each of two models.
 MODEL_ROWS = 4_000_000
 #: Distinct n-grams a task gathers before it hands them on.
 GATHERED = 2_000_000
@@ -76,24 +90,28 @@ def language(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def _merged(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _merged(grams: list[np.ndarray], *counts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     every, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-    return every, np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+    return every, *(np.bincount(inverse, np.concatenate(c)).astype(np.int64) for c in counts)
 
 
 def gram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(lang, gram, n) over all documents; tasks add up their own documents first."""
+    """(lang, gram, n, once) over all documents; tasks add up their own documents first.
+
+    ``n`` counts a row as often as its column ``copies`` says, if there is one; ``once`` counts it once.
+    """
+    repeats = "copies" in docs.columns
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: dict[str, tuple[list, list]] = {}
+        gathered: dict[str, tuple[list, list, list]] = {}
         size = 0
 
         def handed_on() -> Iterator[pa.RecordBatch]:
-            for lang, (grams, counts) in gathered.items():
-                every, n = _merged(grams, counts)
+            for lang, own in gathered.items():
+                every, n, once = _merged(*own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(every)), pa.array(every.astype(np.int64)), pa.array(n)],
-                    names=["lang", "gram", "n"],
+                    [pa.array([lang] * len(every)), pa.array(every.astype(np.int64)), pa.array(n), pa.array(once)],
+                    names=["lang", "gram", "n", "once"],
                 )
             gathered.clear()
 
@@ -101,24 +119,31 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
             keys, ends = symbols(*text_bytes(block.column("text")), order)
             langs = np.array(language(block.column("lang")), object)
             owner = np.repeat(langs, np.diff(ends)) if len(set(langs)) > 1 else None
+            more = np.zeros(len(keys), np.int64)
+            if repeats:
+                more = np.repeat(block.column("copies").to_numpy() - 1, np.diff(ends))
             for lang in sorted(set(langs)):
-                grams, n = np.unique(keys if owner is None else keys[owner == lang], return_counts=True)
-                own = gathered.setdefault(lang, ([], []))
-                own[0].append(grams)
-                own[1].append(n)
+                at = slice(None) if owner is None else owner == lang
+                grams, once = np.unique(keys[at], return_counts=True)
+                n, again = once, more[at] > 0
+                if again.any():
+                    n = once + np.bincount(
+                        np.searchsorted(grams, keys[at][again]), more[at][again], len(grams)
+                    ).astype(np.int64)
+                for x, new in zip(gathered.setdefault(lang, ([], [], [])), (grams, n, once)):
+                    x.append(new)
                 size += len(grams)
             if size > GATHERED:
-                for lang, (grams, counts) in gathered.items():
-                    every, n = _merged(grams, counts)
-                    gathered[lang] = ([every], [n])
+                for lang, own in gathered.items():
+                    gathered[lang] = tuple([x] for x in _merged(*own))
                 size = sum(len(g[0][0]) for g in gathered.values())
                 if size > GATHERED // 2:
                     yield from handed_on()
                     size = 0
         yield from handed_on()
 
-    rows = docs.mapInArrow(count, "lang string, gram long, n long")
-    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(count, "lang string, gram long, n long, once long")
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("once").alias("once"))
 
 
 def _number(condition: Column) -> Column:
@@ -212,6 +237,15 @@ class Model:
         return out
 
 
+def log_probabilities(models: tuple[Model, ...], keys: np.ndarray) -> list[np.ndarray]:
+    """Of each n-gram under models of the same n-grams."""
+    order = models[0].order
+    at, there = models[0]._find(keys, order)
+    if there.all():
+        return [m.levels[order][1][at].astype(np.float64) for m in models]
+    return [m.log_probability(keys) for m in models]
+
+
 def gather(model: DataFrame, langs: list[str], order: int) -> dict[str, Model]:
     """The models of some languages on the driver; the caller has checked their size."""
     table = model.filter(F.col("lang").isin(langs)).orderBy("lang", "size", "gram").toArrow()
@@ -259,11 +293,13 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def scored(rows: DataFrame, models: dict[str, Model], order: int) -> DataFrame:
-    """``row`` and ``lang`` with the counts, the n-grams scored and their log probability."""
-    sent = rows.sparkSession.sparkContext.broadcast(models)
-    row = rows.schema["row"].dataType.simpleString()
-    schema = f"row {row}, lang string, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_grams"]) + ", logp double"
+def scored(texts: DataFrame, models: dict[str, tuple[Model, Model]], order: int) -> DataFrame:
+    """``lang`` and ``tkey`` with the counts, the n-grams scored and their log probability under both models.
+
+    The models of a language hold the same n-grams, so one search serves both.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(models)
+    schema = "lang string, tkey binary, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_grams"])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -271,23 +307,24 @@ def scored(rows: DataFrame, models: dict[str, Model], order: int) -> DataFrame:
             counts = text_counts(data, offsets)
             keys, ends = symbols(data, offsets, order)
             langs = np.array(language(block.column("lang")), object)
-            logp = np.zeros(len(keys))
-            owner = np.repeat(langs, np.diff(ends))
+            steps = np.zeros((2, len(keys)), np.int64)
+            owner = np.repeat(langs, np.diff(ends)) if len(set(langs)) > 1 else None
             for lang in set(langs):
-                own = owner == lang
-                logp[own] = sent.value[lang].log_probability(keys[own])
+                own = slice(None) if owner is None else owner == lang
+                for i, logp in enumerate(log_probabilities(sent.value[lang], keys[own])):
+                    steps[i, own] = np.rint(logp / _STEP)
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("row"),
                     pa.array(langs.tolist(), pa.string()),
+                    block.column("tkey"),
                     *(pa.array(counts[c].astype(np.int64)) for c in COUNTS),
                     pa.array(np.diff(ends).astype(np.int64)),
-                    pa.array(sums(logp, ends)),
+                    *(pa.array(sums(x, ends) * _STEP) for x in steps),
                 ],
-                names=["row", "lang", *COUNTS, "n_grams", "logp"],
+                names=["lang", "tkey", *COUNTS, "n_grams", "logp", "logp_once"],
             )
 
-    return rows.mapInArrow(score, schema)
+    return texts.mapInArrow(score, f"{schema}, logp double, logp_once double")
 
 
 def quality(
@@ -301,17 +338,23 @@ def quality(
 ) -> DataFrame:
     """(row, counts, log_perplexity, base_failed, kept); ``row`` holds the input's columns.
 
-    Two reads of the texts: one counts, one scores.  Languages are scored
-    together as long as their models stay below ``MODEL_ROWS`` rows, which is
-    what bounds the broadcast, and in further passes beyond that.
+    Equal texts of a language are brought together first, then counted and
+    scored once; the scores go back to the rows by digest.  Languages are scored
+    together as long as their models stay below ``MODEL_ROWS`` rows, and in
+    further passes beyond that.
     """
     given = docs.select(
         F.struct(*[F.col(c) for c in columns or docs.columns]).alias("row"),
         F.col(text).alias("text"),
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
+        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("tkey"),
     )
-    counts = written(gram_counts(given.select("text", "lang"), order), "gram-counts")
+    texts = written(
+        given.groupBy("lang", "tkey").agg(F.first("text").alias("text"), F.count("*").alias("copies")), "texts"
+    )
+    counts = written(gram_counts(texts.select("text", "lang", "copies"), order), "gram-counts")
     model = written(kneser_ney(counts, order), "model")
+    once = written(kneser_ney(counts.select("lang", "gram", F.col("once").alias("n")), order), "model-once")
     passes: list[list[str]] = []
     room = 0
     for r in model.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").toLocalIterator():
@@ -320,29 +363,33 @@ def quality(
             room = MODEL_ROWS
         passes[-1].append(r["lang"])
         room -= r["n"]
-    parts = [
-        scored(given.filter(F.col("lang").isin(langs)) if len(passes) > 1 else given, gather(model, langs, order), order)
-        for langs in passes
-    ] or [scored(given, {}, order)]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    parts = []
+    for langs in passes:
+        all_rows, each_once = gather(model, langs, order), gather(once, langs, order)
+        own = texts.filter(F.col("lang").isin(langs)) if len(passes) > 1 else texts
+        parts.append(scored(own, {x: (all_rows[x], each_once[x]) for x in langs}, order))
+    every = reduce(DataFrame.unionByName, parts or [scored(texts, {}, order)])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     every = written(
-        every.withColumn("log_perplexity", -F.col("logp") / F.col("n_grams")).withColumn("base_failed", failed),
+        every.withColumn("log_perplexity", -F.col("logp") / F.col("n_grams"))
+        .withColumn("once", -F.col("logp_once") / F.col("n_grams"))
+        .withColumn("base_failed", failed),
         "scored",
     )
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
+    quartiles = F.percentile_approx("once", [0.25, 0.75], 10_000)
     bands = every.filter(~F.col("base_failed")).groupBy("lang").agg(quartiles.alias("q"))
-    apart = F.col("q")[1] - F.col("q")[0]
+    apart = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_APART))
     bands = bands.select(
         "lang", (F.col("q")[0] - lower * apart).alias("lower"), (F.col("q")[1] + upper * apart).alias("upper")
     )
-    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return every.join(bands, "lang", "left").select(
-        "row", *COUNTS, "log_perplexity", "base_failed",
+    inside = F.col("once").between(F.col("lower"), F.col("upper"))
+    judged = every.join(bands, "lang", "left").select(
+        "lang", "tkey", *COUNTS, "log_perplexity", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
     )
+    return given.select("row", "lang", "tkey").join(written(judged, "judged"), ["lang", "tkey"]).select(
+        "row", *COUNTS, "log_perplexity", "base_failed", "kept"
+    )
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:

@@ -130,6 +130,31 @@ def test_odd_texts_leave_the_band(spark):
     assert 900 not in kept and len(kept) >= 297
 
 
+def test_copies_do_not_set_the_band(spark):
+    given = fixtures.documents(spark).filter("lang = 'en'").select("doc_id", "text", "lang").orderBy("doc_id").collect()
+    one = {r["text"]: r for r in given if not failed(counts(r["text"]))}
+    alone = spark.createDataFrame([tuple(r) for r in one.values()], "doc_id long, text string, lang string")
+    scores = {r["row"]["doc_id"]: r["log_perplexity"] for r in quality.quality(alone).collect()}
+    # The copied text is the one in the middle: a clean one.
+    copied = sorted(scores, key=scores.get)[len(scores) // 2]
+    copies = [(10**6 + i, r["text"], "en") for r in one.values() if r["doc_id"] == copied for i in range(3 * len(one))]
+    docs = alone.unionByName(spark.createDataFrame(copies, alone.schema)).repartition(16)
+    found = quality.quality(docs, ["doc_id"]).collect()
+    kept = {r["row"]["doc_id"] for r in found if r["kept"]}
+    assert len(kept & set(scores)) > 0.9 * len(scores)
+    # The group has one score and stays with the others, however often the model has seen it.
+    group = [r for r in found if r["row"]["doc_id"] == copied or r["row"]["doc_id"] >= 10**6]
+    assert len(group) > len(found) / 2
+    assert {(r["log_perplexity"], r["kept"]) for r in group} == {(group[0]["log_perplexity"], True)}
+
+
+def test_equal_texts_have_a_band_of_some_width(spark):
+    text = fixtures.prose(1, 200)
+    near = " ".join([*text.split()[:-1], "other"])
+    docs = spark.createDataFrame([(i, text, "en") for i in range(50)] + [(90, near, "en")], "doc_id long, text string, lang string")
+    assert quality.kept_documents(docs).count() == 51
+
+
 def test_quality_edges(spark, monkeypatch):
     docs = fixtures.edges(spark, clashing=True)
     got = quality.quality(docs).collect()
