@@ -2,7 +2,10 @@
 
 A text is cut into sentences; each is normalised (small letters, no comment
 marks, no punctuation, single spaces) and looked up among the sentences of known
-licences, which gives the text's sequence of sentence identifiers.  Ordered
+licences, which gives the text's sequence of sentence identifiers.  A line break
+need not end a sentence, but one may start after it: where a whole sentence is not
+known, what follows each of its line breaks is looked up too, the longest first.
+So a notice after a heading or a line without a full stop is recognised.  Ordered
 rules, the longest first, then match runs of that sequence; what a rule has
 matched later rules don't see.  All of it is one projection of column
 expressions: nothing is shuffled.
@@ -112,22 +115,32 @@ _END = (
     r"(?<!\bv)[.;!?]+(?=\s|$)|:(?=[ \t]*(\n|$))|\n[ \t#/*;%-]*(?=\n|$)"
     r"|(?<![^\n])[ \t#/*;%-]*(copyright|\(c\)|©)[^\n.]*"
 )
-_BREAK = "\u0001"
+_BREAK, _LINE = "\u0001", "\u0002"
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, in order."""
+    """Normalised sentences of a text, in order; ``_LINE`` stands for the space at a line break."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _END, _BREAK)
-    plain = F.regexp_replace(plain, f"[^\\p{{L}}\\p{{N}}.{_BREAK}]+", " ")
+    plain = F.translate(plain, "\n", _LINE)
+    plain = F.regexp_replace(plain, f"[^\\p{{L}}\\p{{N}}.{_BREAK}{_LINE}]+", " ")
     # A dot counts between digits alone, as in a version.
     plain = F.regexp_replace(plain, r" *(\.(?!\p{N})|(?<!\p{N})\.) *", " ")
-    return F.split(plain, f" *{_BREAK} *")
+    plain = F.regexp_replace(plain, f" *{_LINE}[ {_LINE}]*", _LINE)
+    return F.split(plain, f"[ {_LINE}]*{_BREAK}[ {_LINE}]*")
 
 
 def sentence_ids(text: Column, known: dict[str, str] = SENTENCES) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     table = F.create_map(*(F.lit(x) for name, sentence in known.items() for x in (sentence, name)))
-    found = F.transform(sentences(text), lambda s: F.element_at(table, F.trim(s)))
+    # What is longer than every known sentence is not one: no start before that is looked up.
+    longest = F.lit(max(map(len, known.values())) + 1)
+    lines = F.transform(sentences(text), lambda s: F.split(F.right(F.btrim(s, F.lit(f" {_LINE}")), longest), _LINE))
+
+    def first_known(own: Column) -> Column:
+        tails = F.transform(own, lambda _, i: F.element_at(table, F.array_join(F.slice(own, i + 1, F.size(own)), " ")))
+        return F.get(F.filter(tails, lambda x: x.isNotNull()), F.lit(0))
+
+    found = F.transform(lines, first_known)
     return F.filter(found, lambda x: x.isNotNull())
 
 

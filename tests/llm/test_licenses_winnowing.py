@@ -66,6 +66,24 @@ def test_scan_cases(spark):
         assert (rows[i]["licenses"], rows[i]["unmatched"]) == (names, rest), CASES[i][0]
 
 
+LINES = [
+    ("Words without an end ***\nLicensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+    ("| a | row |\n| another | row |\nReleased under the MIT License.\nMore.", ["MIT"]),
+    ("MIT License" + MIT.replace("// Copyright (c) 2020 Somebody\n", ""), ["MIT"]),
+    ("int x\n" * 400 + "// Licensed under the Apache License,\n// Version 2.0.", ["Apache-2.0"]),
+    # The longest run of lines counts, and once.
+    ("head\nThis work is\nlicensed under the GNU General Public License,\nversion 3.", ["GPL-3.0-only"]),
+    ("a line\nnot Released under the MIT License.", []),
+]
+
+
+def test_notices_after_lines_without_an_end(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LINES)], "doc_id long, text string")
+    rows = {r["row"]["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert [rows[i]["licenses"] for i in range(len(LINES))] == [names for _, names in LINES]
+    assert rows[4]["sentence_ids"] == ["gpl-3-under"]
+
+
 def test_every_rule_matches_its_own_run(spark):
     rows = [(i, ". ".join(licenses.SENTENCES[s] for s in run) + ".") for i, (_, run) in enumerate(licenses.RULES)]
     got = {r["row"]["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
