@@ -12,9 +12,9 @@ together and leave their counts at the states they pass; sums over subtrees go b
 up along ``check``.
 
 Neighbouring shards share only nodes of their first and last path.  Those are handed
-on as paths with what the shard knows about each of their nodes; the next round deals
-these few paths out like any others and adds up what meets at one node.  Rounds end
-when a single shard is left, which is also the case for all tables of a small corpus.
+on as paths with what the shard knows about each of their nodes, and the tries of the
+paths of some neighbours add up what meets at one node.  That is done first within a
+task, then for a fixed number of neighbouring tasks at a time, until one group is left.
 
 Paths longer than ``band`` turns are cut into bands.  A band's paths hang below the
 node where the band above them ends; bands are done from the deepest up, each giving
@@ -34,6 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ _IDS_PER_CHUNK = 200
 # Shared nodes up to this count are broadcast when parents are looked up.
 BROADCAST_NODES = 200_000
 _SALTS = 64
+# Neighbours whose handed-on paths are merged at a time.
+_FAN = 32
 _DIGEST = 32  # characters of a turn's digest
 _NONE = np.iinfo(np.int64).max
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -372,23 +375,9 @@ class Shard:
         return hashlib.sha256((self.roots[path] + way).encode()).hexdigest() if way else self.roots[path]
 
 
-def _shards(turns: int, band: int, named: bool, whole: bool):
-    """Shards of sorted paths: rows of settled nodes, and of paths to be handed on."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in [pa.Table.from_batches(held)] if whole and (held := list(batches)) else _blocks(batches, turns):
-            shard = Shard(block)
-            shard.mark_border(whole)
-            yield from _settled(shard, band, named)
-            if not whole:
-                yield _handed_on(shard)
-
-    return run
-
-
 _OUT = pa.schema(
     [
-        ("root", pa.string()), ("id", pa.string()), ("parent_id", pa.string()), ("depth", pa.int64()),
+        ("part", pa.int64()), ("root", pa.string()), ("id", pa.string()), ("parent_id", pa.string()), ("depth", pa.int64()),
         ("conv_id", pa.int64()), ("parent_conv_id", pa.int64()), ("n_convs", pa.int64()),
         ("n_children", pa.int64()), ("n_leaves", pa.int64()), ("saved_tokens", pa.int64()),
         ("ends_sha256", pa.string()),
@@ -396,7 +385,7 @@ _OUT = pa.schema(
         *((name, pa.list_(pa.int64())) for name in _WEIGHTS), ("ends", pa.list_(pa.string())),
     ]
 )
-_OUT_SQL = NODES + ", " + PATHS.removeprefix("root string, ")
+_OUT_SQL = "part long, " + NODES + ", " + PATHS.removeprefix("root string, ")
 
 
 def _settled(shard: Shard, band: int, named: bool, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
@@ -424,6 +413,7 @@ def _settled(shard: Shard, band: int, named: bool, rows: int = 1 << 15) -> Itera
         known = ~open_[own] & ~top[own]
         yield pa.RecordBatch.from_arrays(
             [
+                pa.nulls(len(s), pa.int64()),
                 pa.array(map(shard.root_at, places[own].tolist()), pa.string()),
                 pa.array(node_ids, pa.string()),
                 pa.array(parent_ids, pa.string()),
@@ -435,7 +425,7 @@ def _settled(shard: Shard, band: int, named: bool, rows: int = 1 << 15) -> Itera
                 pa.array(shard.leaves[s]),
                 pa.array(shard.saved[s]),
                 pa.array([shard.ends.get(i) for i in s.tolist()], pa.string()),
-                *(pa.nulls(len(s), f.type) for f in list(_OUT)[11:]),
+                *(pa.nulls(len(s), f.type) for f in list(_OUT)[12:]),
             ],
             schema=_OUT,
         )
@@ -461,26 +451,76 @@ def _handed_on(shard: Shard) -> pa.RecordBatch:
 
 
 # -- all shards of a band -------------------------------------------------------
-def band_nodes(paths: DataFrame, *, shard_turns: int = SHARD_TURNS, band: int = BAND) -> DataFrame:
+def _merged(paths: list[pa.RecordBatch], band: int, whole: bool) -> tuple[list[pa.RecordBatch], pa.RecordBatch | None]:
+    """Rows of the nodes that ``paths`` of neighbouring shards settle, and the paths to hand on."""
+    shard = Shard(pa.Table.from_batches(paths).sort_by([("root", "ascending"), ("path", "ascending")]))
+    shard.mark_border(whole)
+    return list(_settled(shard, band, named=True)), None if whole else _handed_on(shard)
+
+
+def _partition(turns: int, band: int):
+    """The shards of a partition of sorted paths: settled nodes, and at most two paths handed on.
+
+    What shards hand on is merged as soon as ``_FAN`` neighbours have done so, so a
+    task holds one shard and a few paths however large its partition is.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[pa.RecordBatch]] = []
+        for block in _blocks(batches, turns):
+            shard = Shard(block)
+            shard.mark_border(False)
+            yield from _settled(shard, band, named=False)
+            paths, level = _handed_on(shard), 0
+            while True:
+                if level == len(waiting):
+                    waiting.append([])
+                waiting[level].append(paths)
+                if len(waiting[level]) < _FAN:
+                    break
+                nodes, paths = _merged(waiting[level], band, False)
+                yield from nodes
+                waiting[level] = []
+                level += 1
+        if rest := [paths for level in reversed(waiting) for paths in level]:
+            nodes, paths = _merged(rest, band, False)
+            yield from nodes
+            part = pa.array([TaskContext.get().partitionId()] * paths.num_rows, pa.int64())
+            yield paths.set_column(0, "part", part)
+
+    return run
+
+
+def _neighbours(band: int, whole: bool):
+    def run(key: tuple[pa.Scalar], paths: pa.Table) -> pa.Table:
+        nodes, handed = _merged(paths.to_batches(), band, whole)
+        if handed is not None:
+            nodes.append(handed.set_column(0, "part", pa.array([key[0].as_py()] * handed.num_rows, pa.int64())))
+        return pa.Table.from_batches(nodes, schema=_OUT)
+
+    return run
+
+
+def band_nodes(paths: DataFrame, *, shard_turns: int = SHARD_TURNS, band: int = BAND, fan: int = _FAN) -> DataFrame:
     """The nodes (``NODES``) of the tries of ``paths``, which have the columns of ``PATHS``.
 
     ``parent_id`` names parents whose smallest member was not known with the child.
+    Each round merges the paths that ``fan`` neighbouring tasks handed on.
     """
-    found, later = [], False
+    given = [c.split(" ")[0] for c in PATHS.split(", ")]
+    nodes = [c.split(" ")[0] for c in NODES.split(", ")]
+    by = ["root", "path"]
+    ranged = paths.select(*given).repartitionByRange(*by).sortWithinPartitions(*by)
+    done = written(ranged.mapInArrow(_partition(shard_turns, band), _OUT_SQL), "shards")
+    found = [done.filter("part IS NULL").select(*nodes)]
     while True:
-        turns, rows = paths.agg(F.sum(F.size("sizes") + 1), F.count("*")).first()
-        whole = (turns or 0) <= shard_turns or rows <= 1
-        by = ["root", "path"]
-        dealt = paths.coalesce(1) if whole else paths.repartitionByRange(*by)
-        columns = [c.split(" ")[0] for c in PATHS.split(", ")]
-        run = _shards(shard_turns, band, later, whole)
-        done = written(dealt.sortWithinPartitions(*by).select(*columns).mapInArrow(run, _OUT_SQL), "shards")
-        nodes = [c.split(" ")[0] for c in NODES.split(", ")]
-        found.append(done.filter("path IS NULL").select(*nodes))
-        if whole:
+        handed = done.filter("part IS NOT NULL")
+        top = handed.agg(F.max("part")).first()[0]
+        if top is None:
             return reduce(DataFrame.unionByName, found)
-        paths = done.filter("path IS NOT NULL").select(*columns)
-        later = True
+        groups = handed.withColumn("part", F.expr(f"part div {fan}")).groupBy("part")
+        done = written(groups.applyInArrow(_neighbours(band, top < fan), _OUT_SQL), "shards")
+        found.append(done.filter("part IS NULL").select(*nodes))
 
 
 def _with_parents(nodes: DataFrame, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
