@@ -481,13 +481,14 @@ STORE_DELETE_SQL = _first_hour_sql(f"symbol NOT IN ({_BUILDING_SQL})")
 
 
 def store_delete_report(spark, sf_dir):
+    """Every customer is asked for; those without events were missing."""
     made = _table(spark, sf_dir, "series")
-    return made.delete(_building(spark, sf_dir)).select("symbol", "deleted")
+    customers = table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey")).alias("symbol"))
+    return made.delete(as_table(customers, "events", "1h")).select("symbol", "deleted")
 
 
-STORE_DELETE_REPORT_SQL = f"""
-SELECT b.symbol, b.symbol IN (SELECT 'u' || user_id FROM events) AS deleted
-FROM ({_BUILDING_SQL}) AS b(symbol)
+STORE_DELETE_REPORT_SQL = """
+SELECT 'u' || c_custkey AS symbol, c_custkey IN (SELECT user_id FROM events) AS deleted FROM customer
 """
 
 

@@ -65,12 +65,17 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet below the shared folder and read from there, and its path."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet below the shared folder, and read from there.
 
     Cuts the lineage: what follows does not depend on how often, or in which
     order, the tasks before it ran.
     """
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_at(df, label)[0]

@@ -3,6 +3,10 @@
 Partitions are (source, timeframe, month); inside a file rows are sorted by
 (symbol, time), so symbol and time filters skip row groups.  One writer at a
 time is assumed; readers may run alongside.
+
+What the table holds by series and month lies in an index beside it (see
+``series_index``), so ends, counts and sizes are read without data files, and a
+series is looked for in the months that hold it.
 """
 
 from __future__ import annotations
@@ -20,10 +24,9 @@ from seriesmill.operators.matching import null_safe_join
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
-from seriesmill.session import require_utc, shared_folder, written
+from seriesmill.session import require_utc, shared_folder, written, written_at
+from seriesmill.sources.series_index import MONTH, PARTITIONS, SeriesIndex, merged
 
-MONTH = "month"
-PARTITIONS = ["source", "timeframe", MONTH]
 ROW_KEYS = [*SERIES_KEYS, "time"]
 # Up to this many partitions are named in a filter; more are matched by a join.
 _LISTED = 1000
@@ -41,6 +44,8 @@ class SeriesTable:
         self.spark, self.path = spark, path
         self.schema = keyed(payload, source=True)
         self._stored = T.StructType([*self.schema.fields, T.StructField(MONTH, T.StringType())])
+        payload = [c for c in self.schema.fieldNames() if c not in SERIES_KEYS]
+        self.index = SeriesIndex(spark, path, lambda rows: record_size(rows, payload))
 
     # -- reading -------------------------------------------------------------
     def _scan(self) -> DataFrame:
@@ -92,7 +97,7 @@ class SeriesTable:
 
     def append(self, df: DataFrame) -> None:
         """Add rows known to be new."""
-        self._write(self._prepared(df), "append")
+        self.add_rows(written(self._prepared(df), "staged"))
 
     def upsert(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
         """Add the rows whose (series, time) is not stored; returns the rows added."""
@@ -118,25 +123,26 @@ class SeriesTable:
         return written(rows_to_add(stored, incoming, ROW_KEYS, order).drop(*extra), "added")
 
     def add_rows(self, added: DataFrame) -> None:
+        """Store rows that :meth:`new_rows` found; the index follows by their counts."""
+        self.settle()
+        note = self.index.begin(added)
         self._write(added.select(*self._stored.fieldNames()), "append")
+        self.index.add(self.index.deltas(note))
+        self.index.end(note)
 
     def replace(self, df: DataFrame) -> bool:
         """Store ``df`` in place of whatever its series held; an empty frame changes nothing."""
-        if df.isEmpty():
+        prepared = written(self._prepared(df), "replacing")
+        if prepared.isEmpty():
             return True
-        prepared = self._prepared(df)
         self._rewrite(prepared.select(*SERIES_KEYS).distinct(), prepared)
         return True
 
     def delete(self, keys: DataFrame) -> DataFrame:
         """Remove series; returns the requested keys with ``deleted`` (False: was missing)."""
         shared_folder(self.spark)
-        requested = keys.select(*SERIES_KEYS).distinct()
-        report = (
-            exists(requested, self._within(requested, PARTITIONS[:2]), SERIES_KEYS)
-            .withColumnRenamed("present", "deleted")
-            .checkpoint()
-        )
+        requested = keys.select(*SERIES_KEYS).distinct().checkpoint()
+        report = self.exists(requested).withColumnRenamed("present", "deleted").checkpoint()
         self._rewrite(requested, None)
         return report
 
@@ -148,7 +154,9 @@ class SeriesTable:
             & (F.col(MONTH) == month)
         )
         # Nothing says which of several rows came first; the least by all columns stays.
-        self._overwrite(keep_first(part, ROW_KEYS, [c for c in self.schema.fieldNames() if c not in ROW_KEYS]))
+        kept = keep_first(part, ROW_KEYS, [c for c in self.schema.fieldNames() if c not in ROW_KEYS])
+        self.settle()
+        self._overwrite(kept.select(*self._stored.fieldNames()), part.select(*PARTITIONS).limit(0))
 
     def _within(self, rows: DataFrame, columns: list[str]) -> DataFrame:
         """Stored rows of the partitions that ``rows`` lie in.
@@ -192,16 +200,15 @@ class SeriesTable:
         return test
 
     def _rewrite(self, keys: DataFrame, extra: DataFrame | None) -> None:
-        """Rewrite the partitions that hold ``keys`` without them, with ``extra`` added."""
+        """Rewrite the partitions that hold ``keys`` without them, with ``extra`` added.
+
+        The index tells which partitions these are; no others are read.
+        """
         shared_folder(self.spark)
-        stored = self._within(keys, PARTITIONS[:2])
-        holding = null_safe_join(stored, keys, SERIES_KEYS, "left_semi")
+        self.settle()
+        holding = null_safe_join(self.index_rows(), keys, SERIES_KEYS, "left_semi")
         # One row per table partition.
         affected = holding.select(*PARTITIONS).distinct().checkpoint()
-        if affected.isEmpty():
-            if extra is not None:
-                self._write(extra, "append")
-            return
         touched = affected
         if extra is not None:
             touched = affected.unionByName(extra.select(*PARTITIONS).distinct())
@@ -213,18 +220,52 @@ class SeriesTable:
         )
         if extra is not None:
             wanted = wanted.unionByName(extra.select(*self._stored.fieldNames()))
-        staged = self._overwrite(wanted)
+        self._overwrite(wanted, affected)
+
+    def _overwrite(self, df: DataFrame, affected: DataFrame) -> None:
+        """Replace the partitions of ``df``, which may be read from this table, and empty other ``affected`` ones.
+
+        The new rows are staged first; once the note is left, the swap is done again
+        from them if it is cut short.
+        """
+        staged, path = written_at(df, "staged")
         filled = staged.select(*PARTITIONS).distinct()
         emptied = null_safe_join(affected, filled, PARTITIONS, "left_anti")
-        self._drop_partitions(emptied)
+        self._swap(self.index.begin(staged, path, emptied))
+
+    def _swap(self, note: dict) -> None:
+        self._write(self.spark.read.schema(self._stored).parquet(note["staged"]), "overwrite")
+        self.index.replace(self.index.deltas(note))
+        emptied = self.index.emptied(note)
+        for path in (self.path, self.index.path):
+            self._drop_partitions(path, emptied)
+        self.index.end(note)
+
+    def settle(self) -> None:
+        """Finish writes that were cut short, and build the index of a table that has none.
 
-    def _overwrite(self, df: DataFrame) -> DataFrame:
-        """Replace the partitions of ``df``, which may be read from this table: stage first."""
-        staged = written(df, "staged")
-        self._write(staged, "overwrite")
-        return staged
+        Called before every write; one writer at a time is assumed.
+        """
+        for note in self.index.notes():
+            if note["staged"]:
+                self._swap(note)
+            else:
+                touched = self.index.touched(note).checkpoint()
+                self.index.replace(self.index.counted(self._within(touched, PARTITIONS)))
+                self.index.end(note)
+        if self.index.stored() is None:
+            self.index.add(self.index.counted(self._scan()))
+
+    def index_rows(self) -> DataFrame:
+        """One row per series and month: first and last time, rows and bytes.
+
+        A table without an index, written by other means, is counted from its rows.
+        """
+        if self.index.stored() is None:
+            return self.index.counted(self._scan())
+        return self.index.known(lambda parts: self.index.counted(self._within(parts, PARTITIONS)))
 
-    def _drop_partitions(self, partitions: DataFrame) -> None:
+    def _drop_partitions(self, table: str, partitions: DataFrame) -> None:
         """A dynamic overwrite leaves a partition without new rows alone; its folder is removed.
 
         That is a call to the file system for each folder, not a Spark job.
@@ -232,38 +273,69 @@ class SeriesTable:
         conf = self.spark._jsc.hadoopConfiguration()
         for row in partitions.toLocalIterator():
             folder = "/".join(f"{name}={_escaped(row[name])}" for name in PARTITIONS)
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{folder}")
             path.getFileSystem(conf).delete(path, True)
 
     # -- catalog -------------------------------------------------------------
     def exists(self, keys: DataFrame) -> DataFrame:
-        """The requested series with ``present``; only their sources and time frames are read."""
-        return exists(keys, self._within(keys, PARTITIONS[:2]), SERIES_KEYS)
+        """The requested series with ``present``, from the index."""
+        return exists(keys, self.index_rows(), SERIES_KEYS)
+
+    def series(self, **wanted) -> DataFrame:
+        """Per series: first and last time, rows and bytes; ``wanted`` as in :meth:`read`.
+
+        Whole series are added up from the index.  Where a range is asked for, the
+        rows of the range are counted.
+        """
+        if wanted.get("start") is None and wanted.get("end") is None:
+            rows = self.index_rows()
+            for name in ("source", "timeframe"):
+                if wanted.get(name) is not None:
+                    rows = rows.filter(F.col(name) == wanted[name])
+            if wanted.get("symbols") is not None:
+                rows = rows.filter(F.col("symbol").isin(wanted["symbols"]))
+        else:
+            rows = self.index.counted(self.read(**wanted).withColumn(MONTH, month_of(F.col("time"))))
+        return merged(rows, SERIES_KEYS)
 
     def catalog(self, **wanted) -> DataFrame:
-        """One row per series; ``wanted`` as in :meth:`read` names some of them."""
-        return catalog(self.read(**wanted))
+        """One row per series, ordered by name; ``wanted`` as in :meth:`read` names some of them."""
+        return catalogued(self.series(**wanted), len(self.schema) - len(SERIES_KEYS))
 
     def time_ranges(self, **wanted) -> DataFrame:
-        return time_ranges(self.read(**wanted), SERIES_KEYS)
+        return self.series(**wanted).select(
+            *SERIES_KEYS, F.col("first_time").alias("start_time"), F.col("last_time").alias("end_time")
+        )
+
+    def high_water(self, **wanted) -> DataFrame:
+        """First and last stored time of every series in milliseconds, as an incremental plan takes them."""
+        return self.series(**wanted).select(
+            *SERIES_KEYS, F.unix_millis("first_time").alias("min_ms"), F.unix_millis("last_time").alias("max_ms")
+        )
 
-    def tail(self, n: int, *, source: str, symbol: str, timeframe: str) -> DataFrame:
-        """The last ``n`` rows of a series, read from its last months alone.
+    def tail(
+        self, n: int, *, source: str | None = None, symbol: str | None = None, timeframe: str | None = None
+    ) -> DataFrame:
+        """The last ``n`` rows of a series, or over all series of those named, from the newest months alone.
 
-        Months are taken from the newest on, twice as many each time, until they
-        hold enough rows; months are known from the folder names.
+        The index tells how many rows each month holds, so just the months that the
+        rows lie in are read.
         """
-        own = self.read(source=source, symbols=[symbol], timeframe=timeframe)
-        folders = self._scan().filter((F.col("source") == source) & (F.col("timeframe") == timeframe))
-        months = sorted(r[0] for r in folders.select(MONTH).distinct().collect() if r[0] is not None)
-        taken = 1
-        while months:
-            start = f"{months[max(0, len(months) - taken)]}-01 00:00:00"
-            own = self.read(source=source, symbols=[symbol], timeframe=timeframe, start=start)
-            if taken >= len(months) or own.limit(n).count() == n:
+        wanted = {"source": source, "timeframe": timeframe, "symbols": None if symbol is None else [symbol]}
+        rows = self.index_rows()
+        for name, value in (("source", source), ("timeframe", timeframe), ("symbol", symbol)):
+            if value is not None:
+                rows = rows.filter(F.col(name) == value)
+        months = rows.filter(F.col(MONTH).isNotNull()).groupBy(MONTH).agg(F.sum("row_count").alias("n"))
+        start, held = None, 0
+        # One row per calendar month.
+        for month in months.orderBy(F.col(MONTH).desc()).collect():
+            start, held = f"{month[MONTH]}-01 00:00:00", held + month["n"]
+            if held >= n:
                 break
-            taken *= 2
-        return own.orderBy(F.col("time").desc()).limit(n)
+        own = self.read(**wanted, start=start if held >= n else None)
+        ties = [F.col(c).desc() for c in self.schema.fieldNames() if c != "time"]
+        return own.orderBy(F.col("time").desc(), *ties).limit(n)
 
 
 # Characters that Spark writes as %XX in partition folder names.
@@ -297,23 +369,28 @@ def catalog(df: DataFrame, series: list[str] | None = None) -> DataFrame:
     """One row per series: names, counts, exact JSON size and time range, ordered by name."""
     keys = series or SERIES_KEYS
     payload = [c for c in df.columns if c not in keys]
-    name = dataset_id(F.col("symbol"), F.col("timeframe"))
     grouped = df.groupBy(*keys).agg(
         F.count("*").alias("row_count"),
         F.sum(record_size(df, payload)).alias("size_bytes"),
-        F.min("time").alias("start_time"),
-        F.max("time").alias("end_time"),
+        F.min("time").alias("first_time"),
+        F.max("time").alias("last_time"),
     )
-    return grouped.select(
+    return catalogued(grouped, len(payload))
+
+
+def catalogued(counts: DataFrame, column_count: int) -> DataFrame:
+    """Names and sizes of series from what they hold, ordered by name."""
+    name = dataset_id(F.col("symbol"), F.col("timeframe"))
+    return counts.select(
         name.alias("id"),
         F.col("source").alias("sub"),
         table_name(name, F.col("source")).alias("table_name"),
-        F.lit(len(payload)).alias("column_count"),
+        F.lit(column_count).alias("column_count"),
         "row_count",
         "size_bytes",
         format_size(F.col("size_bytes")).alias("size"),
-        "start_time",
-        "end_time",
+        F.col("first_time").alias("start_time"),
+        F.col("last_time").alias("end_time"),
     ).orderBy("table_name", "id")
 
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
-from seriesmill.queries import ALL, series_queries, source_queries, time_queries
+from seriesmill.queries import ALL, kept_queries, series_queries, source_queries, time_queries
 
 SF = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
@@ -16,7 +16,7 @@ def duck():
 
 
 def test_names_are_unique():
-    groups = (time_queries.QUERIES, series_queries.QUERIES, source_queries.QUERIES)
+    groups = (m.QUERIES for m in (time_queries, series_queries, source_queries, kept_queries))
     assert sum(len(g) for g in groups) == len(ALL)
     assert set(entry.queries()) == set(ALL) | set(entry.LLM_QUERIES)
     assert not set(ALL) & set(entry.LLM_QUERIES)

@@ -365,3 +365,112 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
     assert shared_folder(session("local[2]"))
+
+
+# -- the index -----------------------------------------------------------------
+def recount(table):
+    """The index rows as the data would give them."""
+    return sorted(map(repr, table.index.counted(table._scan()).select(*INDEX_COLUMNS).collect()))
+
+
+INDEX_COLUMNS = ["source", "symbol", "timeframe", "month", "first_time", "last_time", "row_count", "size_bytes"]
+
+
+def indexed(table):
+    return sorted(map(repr, table.index_rows().select(*INDEX_COLUMNS).collect()))
+
+
+def test_index_follows_every_change(spark, table):
+    assert indexed(table) == recount(table) and len(indexed(table)) == 4
+    table.upsert(series(spark, [("spot", "ETH", "1d", "2024-01-01", 9.0), ("spot", "ETH", "1d", "2024-01-09", 7.0),
+                                ("spot", None, "1d", "2024-03-09", 7.0)]))
+    assert indexed(table) == recount(table) and len(indexed(table)) == 5
+    table.delete(keys(spark, ("spot", "binance:BTC/USDT", "1d")))
+    assert indexed(table) == recount(table) and len(indexed(table)) == 3
+    table.replace(series(spark, [("spot", "ETH", "1d", "2024-05-01", 1.5), ("new", "X", "1h", "2024-01-01", 2.5)]))
+    assert indexed(table) == recount(table) and len(indexed(table)) == 4
+    table.append(series(spark, [("new", "X", "1h", "2024-01-01", 2.5)]))
+    table.compact(source="new", timeframe="1h", month="2024-01")
+    assert indexed(table) == recount(table)
+    assert table.series(source="new").first().row_count == 1
+    table.delete(keys(spark, ("new", "X", "1h"), ("a/b:c", "BTC", "1h")))
+    assert indexed(table) == recount(table)
+    assert not table.index.notes()
+
+
+def test_ends_and_counts_read_no_data_files(spark, table, plan_of):
+    asked = keys(spark, ("spot", "ETH", "1d"))
+    for frame in (table.series(), table.time_ranges(source="spot"), table.high_water(), table.catalog(), table.exists(asked)):
+        files = {path for path in frame.inputFiles() if path.endswith(".parquet")}
+        assert files and all("/_series_index/" in path for path in files)
+
+
+def test_delete_reads_the_months_of_its_series_alone(spark, table, monkeypatch, plan_of):
+    plans = []
+    within = store.SeriesTable._within
+
+    def seen(self, rows, columns):
+        out = within(self, rows, columns)
+        plans.append(plan_of(out).split("PartitionFilters: [")[1].split("DataFilters")[0].split("PushedFilters")[0])
+        return out
+
+    monkeypatch.setattr(store.SeriesTable, "_within", seen)
+    table.append(series(spark, [("spot", "ETH", "1d", "2024-04-01", 1.0)]))
+    table.delete(keys(spark, ("spot", "binance:BTC/USDT", "1d")))
+    assert plans
+    for plan in plans:
+        # The plan's text cuts long lists short; the months come first.
+        assert "IN (2024-02,2024-01)" in plan or "IN (2024-01,2024-02)" in plan
+
+
+def test_a_table_without_an_index_gets_one(spark, table, tmp_path):
+    other = store.SeriesTable(spark, str(tmp_path / "foreign"), PAYLOAD)
+    other._write(other._prepared(table.read()), "append")
+    assert other.index.stored() is None
+    assert indexed(other) == indexed(table)
+    other.append(series(spark, [("spot", "ETH", "1d", "2024-04-01", 1.0)]))
+    assert other.index.stored() is not None
+    assert indexed(other) == recount(other)
+
+
+def test_an_append_cut_short_is_counted_anew(spark, table):
+    """Data written and index not: readers count it, the next writer settles it."""
+    rows = table._prepared(series(spark, [("spot", "ETH", "1d", "2024-01-05", 1.0), ("spot", "SOL", "1d", "2024-07-01", 1.0)]))
+    staged = store.written(rows, "cut")
+    table.index.begin(staged)
+    table._write(staged, "append")
+    assert indexed(table) == recount(table) and len(indexed(table)) == 5
+    assert len(table.index.notes()) == 1
+    table.append(series(spark, [("spot", "ETH", "1d", "2024-08-01", 1.0)]))
+    assert not table.index.notes()
+    assert indexed(table) == recount(table) and len(indexed(table)) == 6
+
+
+@pytest.mark.parametrize("done", [False, True])
+def test_a_rewrite_cut_short_is_done_again(spark, table, monkeypatch, done):
+    """Lost after its note: with or without the data swapped, the next writer finishes it."""
+    swap = store.SeriesTable._swap
+
+    def lost(self, note):
+        if done:
+            self._write(self.spark.read.schema(self._stored).parquet(note["staged"]), "overwrite")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(store.SeriesTable, "_swap", lost)
+    with pytest.raises(RuntimeError):
+        table.delete(keys(spark, ("spot", "binance:BTC/USDT", "1d")))
+    monkeypatch.setattr(store.SeriesTable, "_swap", swap)
+    assert indexed(table) == recount(table)  # before: nobody is told of rows that are not there
+    table.settle()
+    assert indexed(table) == recount(table)
+    assert table.read(symbols=["binance:BTC/USDT"]).count() == 0
+    assert table.read(symbols=["ETH"]).count() == 1
+
+
+def test_tail_over_all_series_reads_the_newest_months(spark, table, plan_of):
+    assert [r.value for r in table.tail(1).collect()] == [2.0]
+    assert ">= 2024-02)" in plan_of(table.tail(1))
+    assert sorted(r.value for r in table.tail(4).collect()) == [1.0, 2.0, 3.0, 4.0]
+    assert table.tail(0).count() == 0
+    assert table.tail(99).count() == 4
+    assert [r.value for r in table.tail(5, source="spot", symbol="ETH", timeframe="1d").collect()] == [3.0]
