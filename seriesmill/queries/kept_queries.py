@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.queries.inputs import as_table, table
+from seriesmill.functions.timeframe import bucket_start
+from seriesmill.plans import coverage
+from seriesmill.queries.inputs import NOW_MS, as_table, event_rows, table
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
@@ -87,8 +89,85 @@ def store_tail_pooled(spark, sf_dir):
 
 STORE_TAIL_POOLED_SQL = f"WITH {_ORDERS_SQL} SELECT * FROM o ORDER BY time DESC, symbol DESC LIMIT 200"
 
+
+# -- coverage --------------------------------------------------------------------
+_DAY_MS = 86_400_000
+_START_MS = 1_703_980_800_000  # 2023-12-31
+
+
+def _hours_had(spark, sf_dir):
+    """Every event as the hour it lies in: overlapping, touching and repeated intervals."""
+    rows = event_rows(spark, sf_dir)
+    hour = bucket_start(F.unix_millis("time"), "1h")
+    return rows.select("symbol", hour.alias("start_ms"), (hour + 3_600_000).alias("end_ms"))
+
+
+def coverage_union(spark, sf_dir):
+    """Each user's hours with events, and the two days after each purchase, as maximal intervals."""
+    rows = event_rows(spark, sf_dir).filter(F.col("feed") == "purchase")
+    at = F.unix_millis("time")
+    after = rows.select("symbol", at.alias("start_ms"), (at + 2 * _DAY_MS).alias("end_ms"))
+    return coverage.union(_hours_had(spark, sf_dir), after, series=["symbol"])
+
+
+_HOURS_SQL = """
+had AS (
+  SELECT 'u' || user_id AS symbol, epoch_ms(date_trunc('hour', ts)) AS a, epoch_ms(date_trunc('hour', ts)) + 3600000 AS z
+  FROM events
+)"""
+
+
+def _islands_sql(name: str, source: str) -> str:
+    """Maximal intervals by gaps and islands over sorted starts."""
+    return f"""
+{name}_marked AS (
+  SELECT symbol, a, z, max(z) OVER (PARTITION BY symbol ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    AS reached FROM {source}
+), {name}_numbered AS (
+  SELECT *, count(*) FILTER (WHERE reached IS NULL OR a > reached) OVER (PARTITION BY symbol ORDER BY a, z
+    ROWS UNBOUNDED PRECEDING) AS island FROM {name}_marked
+), {name} AS (SELECT symbol, min(a) AS a, max(z) AS z FROM {name}_numbered GROUP BY symbol, island)"""
+
+
+COVERAGE_UNION_SQL = f"""
+WITH {_HOURS_SQL}, every AS (
+  FROM had UNION ALL SELECT 'u' || user_id, epoch_us(ts) // 1000, epoch_us(ts) // 1000 + {2 * _DAY_MS}
+  FROM events WHERE event_type = 'purchase'
+), {_islands_sql('runs', 'every')}
+SELECT symbol, a AS start_ms, z AS end_ms FROM runs
+"""
+
+
+def fetch_segments(spark, sf_dir):
+    """Every customer's January is asked for; some from the 10th on, some with an end."""
+    key = F.col("c_custkey")
+    asked = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("u"), key).alias("symbol"),
+        (F.lit(_START_MS) + F.when(key % 3 == 0, 10 * _DAY_MS).otherwise(0)).alias("start_ms"),
+        F.when(key % 4 == 0, F.lit(_START_MS + 20 * _DAY_MS)).when(key % 4 == 1, F.lit(0)).alias("end_ms"),
+    )
+    return coverage.fetch_segments(asked, _hours_had(spark, sf_dir), ["symbol"], NOW_MS)
+
+
+FETCH_SEGMENTS_SQL = f"""
+WITH {_HOURS_SQL}, asked AS (
+  SELECT 'u' || c_custkey AS symbol, {_START_MS} + CASE WHEN c_custkey % 3 = 0 THEN {10 * _DAY_MS} ELSE 0 END AS a,
+    CASE WHEN c_custkey % 4 = 0 THEN {_START_MS + 20 * _DAY_MS} ELSE {NOW_MS} END AS z FROM customer
+), {_islands_sql('runs', 'had')}, cut AS (
+  SELECT q.symbol, greatest(r.a, q.a) AS a, least(r.z, q.z) AS z FROM asked q JOIN runs r ON r.symbol = q.symbol
+  WHERE r.z > q.a AND r.a < q.z
+), edges AS (
+  SELECT symbol, z AS from_ms, lead(a) OVER (PARTITION BY symbol ORDER BY a) AS to_ms FROM cut
+  UNION ALL SELECT q.symbol, q.a, min(c.a) FROM asked q LEFT JOIN cut c ON c.symbol = q.symbol GROUP BY q.symbol, q.a
+)
+SELECT e.symbol, from_ms AS fetch_start_ms, coalesce(to_ms, q.z) AS fetch_end_ms
+FROM edges e JOIN asked q ON q.symbol = e.symbol WHERE from_ms < coalesce(to_ms, q.z)
+"""
+
 QUERIES = {
     "store_index": (store_index, STORE_INDEX_SQL),
     "store_marks": (store_marks, STORE_MARKS_SQL),
     "store_tail_pooled": (store_tail_pooled, STORE_TAIL_POOLED_SQL),
+    "coverage_union": (coverage_union, COVERAGE_UNION_SQL),
+    "fetch_segments": (fetch_segments, FETCH_SEGMENTS_SQL),
 }
