@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.timeframe import bucket_start
 from seriesmill.plans import coverage
-from seriesmill.queries.inputs import NOW_MS, as_table, event_rows, table
+from seriesmill.queries.inputs import NOW_MS, as_table, event_rows, hourly, table
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
 from seriesmill.sources.store import SeriesTable
+from seriesmill.streaming import ingest
 
 # -- the index of the series table ---------------------------------------------
 def _order_rows(spark, sf_dir):
@@ -164,10 +165,37 @@ SELECT e.symbol, from_ms AS fetch_start_ms, coalesce(to_ms, q.z) AS fetch_end_ms
 FROM edges e JOIN asked q ON q.symbol = e.symbol WHERE from_ms < coalesce(to_ms, q.z)
 """
 
+
+# -- streams ---------------------------------------------------------------------
+def stream_first_wins(spark, sf_dir):
+    """Hourly events landed in two files, the later arrivals in the file that is read first."""
+    rows = hourly(event_rows(spark, sf_dir)).select("symbol", "time", "feed", "seq", "value")
+    folder = work_path(spark, "landed")
+    # Even event numbers land after odd ones; either file alone has another first row for many keys.
+    for i, odd in enumerate((True, False)):
+        rows.filter((F.col("seq") % 2 == 1) == F.lit(odd)).write.parquet(f"{folder}/{i}")
+    stream = ingest.landing_stream(spark, f"{folder}/*", rows.schema, files_per_batch=1)
+    first = ingest.first_wins(stream, ["symbol", "time", "feed"], ["seq"], "60 days")
+    # One more row far ahead closes every key of the events.
+    ahead = rows.limit(1).withColumn("time", F.lit("2025-01-01").cast("timestamp"))
+    ahead.write.parquet(f"{folder}/2")
+    base = work_path(spark, "first")
+    ingest.to_parquet(first, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    out = spark.read.schema(first.schema).parquet(f"{base}/rows")
+    return out.withColumn("time", naive("time"))
+
+
+STREAM_FIRST_WINS_SQL = """
+SELECT 'u' || user_id AS symbol, date_trunc('hour', ts) AS time, event_type AS feed,
+  min(event_id) AS seq, arg_min(value, event_id) AS value
+FROM events GROUP BY ALL
+"""
+
 QUERIES = {
     "store_index": (store_index, STORE_INDEX_SQL),
     "store_marks": (store_marks, STORE_MARKS_SQL),
     "store_tail_pooled": (store_tail_pooled, STORE_TAIL_POOLED_SQL),
     "coverage_union": (coverage_union, COVERAGE_UNION_SQL),
     "fetch_segments": (fetch_segments, FETCH_SEGMENTS_SQL),
+    "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from seriesmill.functions.timeframe import milliseconds_of
 from seriesmill.operators.bars import bar_columns
@@ -133,6 +134,77 @@ def first_arrivals(
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def first_wins(rows: DataFrame, keys: list[str], arrival: list[str], delay: str, *, time: str = "time") -> DataFrame:
+    """Of the rows of each key the one that is first by ``arrival``, once no earlier one can come.
+
+    ``keys`` include the event time, so all rows of a key lie at one time.  A key is
+    held until the watermark, ``delay`` behind the latest time, has passed it; whichever
+    file or batch a row comes in, the least arrival wins, and of equal ones the least row.
+    State is one row per key, kept by the JVM.
+    """
+    if time not in keys:
+        raise ValueError(f"keys must include {time!r}; see first_by_key")
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.struct(*arrival, *[c for c in rest if c not in arrival])
+    first = F.min_by(F.struct(*rest), order).alias("_first")
+    return (
+        rows.withWatermark(time, delay)
+        .groupBy(*keys)
+        .agg(first)
+        .select(*[F.col(f"_first.{c}").alias(c) if c in rest else F.col(c) for c in rows.columns])
+    )
+
+
+class _FirstArrival(StatefulProcessor):
+    """Holds the least row of a key by ``order`` until its timer fires."""
+
+    def __init__(self, names: list[str], order: list[str], time: str, schema: T.StructType):
+        self._names, self._order, self._time, self._schema = names, order, time, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._first = handle.getValueState("first", self._schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(rows, ignore_index=True).sort_values(self._order, kind="stable").iloc[:1]
+        if self._first.exists():
+            held = pd.DataFrame([list(self._first.get())], columns=self._names)
+            found = pd.concat([held, found], ignore_index=True).sort_values(self._order, kind="stable").iloc[:1]
+        else:
+            # The key stays open until the watermark reaches the time of the row that came first.
+            at = found[self._time].iloc[0]
+            self._handle.registerTimer(int(pd.Timestamp(at).value // 1_000_000))
+        self._first.update(tuple(found[self._names].iloc[0].tolist()))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self._first.get()
+        self._first.clear()
+        yield pd.DataFrame([list(held)], columns=self._names)
+
+    def close(self) -> None:
+        pass
+
+
+def first_by_key(rows: DataFrame, keys: list[str], arrival: list[str], delay: str, *, time: str = "time") -> DataFrame:
+    """As :func:`first_wins` for keys without the event time, such as an id that is sent again later.
+
+    A key is held from its first row until the watermark reaches that row's time, then
+    the least arrival so far comes out and the key is forgotten.  Arbitrary keyed state
+    with an event-time timer; the session needs the RocksDB state store.
+    """
+    rest = [c for c in rows.columns if c not in arrival]
+    processor = _FirstArrival(rows.columns, [*arrival, *rest], time, rows.schema)
+    return (
+        rows.withWatermark(time, delay)
+        .groupBy(*keys)
+        .transformWithStateInPandas(processor, rows.schema, "Append", "EventTime")
+    )
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def closed_bars(
     rows: DataFrame,
     series: list[str],

@@ -166,3 +166,41 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path, landing):
     got = go()
     assert got.count() == 10
     assert got.filter("time = '2024-01-02'").first().high == 2.0
+
+
+def out_of_order(spark, landing):
+    """Two more files: the first read holds later arrivals than the second for the same keys."""
+    land(spark, landing, [("s", "b", "1d", "2024-01-20", 2.0, 70), ("s", "b", "1d", "2024-01-21", 3.0, 71),
+                          ("s", "b", "1d", "2024-01-22", 4.0, 73)])
+    land(spark, landing, [("s", "b", "1d", "2024-01-20", 1.0, 60), ("s", "b", "1d", "2024-01-21", 9.0, 72),
+                          ("s", "b", "1d", "2024-01-22", 4.5, 73), ("s", "b", "1d", "2024-02-20", 0.0, 80)])
+
+
+@pytest.mark.parametrize("files", [1, None])
+def test_first_wins_whatever_file_it_comes_in(spark, tmp_path, landing, files):
+    out_of_order(spark, landing)
+    stream = ingest.landing_stream(spark, landing, rows(spark, []).schema, files_per_batch=files)
+    first = ingest.first_wins(stream, ["source", "symbol", "timeframe", "time"], ["seq"], "30 days")
+    got = streamed(spark, tmp_path, first, "first")
+    # The watermark stands at January 21st; the day after is still open.
+    assert sorted((r.time.day, r.value, r.seq) for r in got.filter("symbol = 'b'").collect()) == [(20, 1.0, 60), (21, 3.0, 71)]
+    batch = spark.read.parquet(landing).filter("time <= '2024-01-21'")
+    expected = batch.groupBy("source", "symbol", "timeframe", "time").agg(F.min("seq").alias("seq"))
+    assert sorted(map(repr, got.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+    with pytest.raises(ValueError):
+        ingest.first_wins(stream, ["symbol"], ["seq"], "1 day")
+
+
+def test_first_by_key_holds_state_until_its_timer(spark, tmp_path, landing):
+    out_of_order(spark, landing)
+    schema = rows(spark, []).schema
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ingest.ROCKSDB)
+    try:
+        stream = ingest.landing_stream(spark, landing, schema, files_per_batch=1)
+        first = ingest.first_by_key(stream.filter("symbol = 'b'"), ["symbol", "time"], ["seq"], "30 days")
+        got = streamed(spark, tmp_path, first, "by-key")
+        assert sorted((r.time.day, r.value, r.seq) for r in got.collect()) == [(20, 1.0, 60), (21, 3.0, 71)]
+    finally:
+        spark.conf.set(provider, before)
