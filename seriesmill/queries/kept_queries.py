@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.functions.timeframe import bucket_start
-from seriesmill.plans import coverage
+from seriesmill.plans import coverage, runs
 from seriesmill.queries.inputs import NOW_MS, as_table, event_rows, hourly, table
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
@@ -166,6 +166,103 @@ FROM edges e JOIN asked q ON q.symbol = e.symbol WHERE from_ms < coalesce(to_ms,
 """
 
 
+# -- runs ------------------------------------------------------------------------
+def _run(spark, sf_dir):
+    """Hourly rows before January 20th are stored; a run then gets everything that was landed.
+
+    Of the landed rows, errors carry no value, some signups come without a time and views of
+    the first minutes keep their exact time; customers of one segment are not asked for.
+    """
+    rows = as_table(event_rows(spark, sf_dir).select("symbol", "time", "feed", "seq", "value"), "events", "1h")
+    whole = hourly(rows)
+    made = SeriesTable(spark, work_path(spark, "series"), VALUES)
+    made.upsert(whole.filter(F.col("time") < F.lit("2024-01-20").cast("timestamp")), ["seq"])
+    minute = F.minute("time")
+    time = F.timestamp_millis(bucket_start(F.unix_millis("time"), "1h"))
+    landed = rows.withColumn(
+        "value", F.when(F.col("feed") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
+    ).withColumn(
+        "time",
+        F.when((F.col("feed") == "signup") & (minute < 6), F.lit(None).cast("timestamp"))
+        .when((F.col("feed") == "view") & (minute < 3), F.timestamp_millis(F.unix_millis("time")))
+        .otherwise(time),
+    )
+    key = F.col("c_custkey")
+    asked = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+    requests = as_table(
+        asked.select(
+            F.concat(F.lit("u"), key).alias("symbol"),
+            F.lit(_START_MS).alias("start_ms"),
+            F.when(key % 4 == 0, F.lit(_START_MS + 25 * _DAY_MS)).alias("end_ms"),
+        ),
+        "events",
+        "1h",
+    )
+    return runs.incremental_run(
+        made, requests, landed.drop("feed"), NOW_MS, run_id="r1", folder=work_path(spark, "run"), arrival=["seq"]
+    )
+
+
+def incremental_run(spark, sf_dir):
+    """The summary of the run, one row a series."""
+    out = _run(spark, sf_dir).summary.drop("source", "timeframe")
+    return out.withColumn("first_time", naive("first_time")).withColumn("last_time", naive("last_time"))
+
+
+def run_set_aside(spark, sf_dir):
+    """What the run set aside, with all reasons of each row."""
+    out = _run(spark, sf_dir).set_aside
+    return out.select("run_id", "symbol", F.array_join("reasons", ", ").alias("reasons"), "seq")
+
+
+_RUN_SQL = f"""
+e AS (
+  SELECT 'u' || user_id AS symbol, ts, event_id AS seq, event_type AS feed, value, minute(ts) AS m,
+    date_trunc('hour', ts) AS hour FROM events
+), stored AS (SELECT symbol, hour FROM e WHERE hour < TIMESTAMP '2024-01-20' GROUP BY ALL),
+landed AS (
+  SELECT symbol, seq, feed <> 'error' AS has_value,
+    CASE WHEN feed = 'signup' AND m < 6 THEN NULL WHEN feed = 'view' AND m < 3 THEN date_trunc('millisecond', ts)
+      ELSE hour END AS time FROM e
+), plan AS (
+  SELECT symbol, CASE WHEN top IS NULL THEN 'initial' WHEN top + 3600000 < z - 3600000 THEN 'extend' ELSE 'none' END AS action,
+    CASE WHEN top IS NULL THEN {_START_MS} ELSE top + 3600000 END AS a, z
+  FROM (SELECT 'u' || c_custkey AS symbol,
+      CASE WHEN c_custkey % 4 = 0 THEN {_START_MS + 25 * _DAY_MS} ELSE {NOW_MS} END AS z
+    FROM customer WHERE c_mktsegment <> 'BUILDING')
+  LEFT JOIN (SELECT symbol, epoch_ms(max(hour)) AS top FROM stored GROUP BY symbol) USING (symbol)
+), marked AS (
+  SELECT l.symbol, l.seq, l.time, p.action, concat_ws(', ',
+      CASE WHEN l.time IS NULL THEN 'no time' END, CASE WHEN p.symbol IS NULL THEN 'not requested' END,
+      CASE WHEN l.time <> date_trunc('hour', l.time) THEN 'off the grid' END,
+      CASE WHEN epoch_ms(l.time) + 3600000 > {NOW_MS} THEN 'unfinished' END,
+      CASE WHEN NOT has_value THEN 'value is missing' END) AS reasons,
+    coalesce(p.action <> 'none' AND epoch_ms(l.time) BETWEEN p.a AND p.z, FALSE) AS due
+  FROM landed l LEFT JOIN plan p USING (symbol)
+)"""
+
+INCREMENTAL_RUN_SQL = f"""
+WITH {_RUN_SQL}, added AS (
+  SELECT symbol, time FROM marked WHERE reasons = '' AND due
+  EXCEPT SELECT symbol, hour FROM stored
+), per AS (
+  SELECT symbol, count(*) AS rows_in, count(*) FILTER (WHERE reasons = '' AND NOT due) AS rows_skipped,
+    count(*) FILTER (WHERE reasons <> '') AS rows_set_aside FROM marked GROUP BY symbol
+), new AS (SELECT symbol, count(*) AS n, min(time) AS first_time, max(time) AS last_time FROM added GROUP BY symbol),
+s AS (
+  SELECT symbol, action, coalesce(rows_in, 0) AS rows_in, coalesce(n, 0) AS rows_new,
+    coalesce(rows_skipped, 0) AS rows_skipped, coalesce(rows_set_aside, 0) AS rows_set_aside, first_time, last_time
+  FROM plan FULL JOIN per USING (symbol) LEFT JOIN new USING (symbol)
+)
+SELECT 'r1' AS run_id, *, rows_in - rows_new - rows_skipped - rows_set_aside AS rows_known,
+  CASE WHEN action IS NULL THEN 'unknown' WHEN rows_new > 0 AND rows_set_aside > 0 THEN 'partial'
+    WHEN rows_new > 0 THEN 'completed' WHEN rows_set_aside > 0 THEN 'failed'
+    WHEN action <> 'none' AND rows_in = 0 THEN 'no data' ELSE 'idle' END AS status
+FROM s
+"""
+RUN_SET_ASIDE_SQL = f"WITH {_RUN_SQL} SELECT 'r1' AS run_id, symbol, reasons, seq FROM marked WHERE reasons <> ''"
+
+
 # -- streams ---------------------------------------------------------------------
 def stream_first_wins(spark, sf_dir):
     """Hourly events landed in two files, the later arrivals in the file that is read first."""
@@ -197,5 +294,7 @@ QUERIES = {
     "store_tail_pooled": (store_tail_pooled, STORE_TAIL_POOLED_SQL),
     "coverage_union": (coverage_union, COVERAGE_UNION_SQL),
     "fetch_segments": (fetch_segments, FETCH_SEGMENTS_SQL),
+    "incremental_run": (incremental_run, INCREMENTAL_RUN_SQL),
+    "run_set_aside": (run_set_aside, RUN_SET_ASIDE_SQL),
     "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }
