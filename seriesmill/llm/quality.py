@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.llm.sketches import bit_filter, shows
 from seriesmill.llm.text import (
     _SPACE,
     blocks,
@@ -58,6 +59,10 @@ LEAST_APART = 0.02
 _STEP = 2.0**-24
 #: Rows of the models that one scoring pass sends to the tasks, 16 bytes each in each of two models.
 MODEL_ROWS = 4_000_000
+#: Bits of the set of repeated texts, as a power of two; a fuller set sends more texts through an exchange.
+REPEATED_BITS = 24
+#: Bands, one a language, that are broadcast to all tasks; more are joined by a shuffle.
+BROADCAST_BANDS = 10_000
 #: Distinct n-grams a task gathers before it hands them on.
 GATHERED = 2_000_000
 
@@ -294,12 +299,14 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def scored(texts: DataFrame, models: dict[str, tuple[Model, Model]], order: int) -> DataFrame:
-    """``lang`` and ``tkey`` with the counts, the n-grams scored and their log probability under both models.
+    """``row``, ``lang`` and ``tkey`` with the counts, the n-grams scored and their log probability under both models.
 
-    The models of a language hold the same n-grams, so one search serves both.
+    The models of a language hold the same n-grams, so one search serves both.  Equal
+    texts get equal scores wherever they lie, since sums are sums of whole steps.
     """
     sent = texts.sparkSession.sparkContext.broadcast(models)
-    schema = "lang string, tkey binary, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_grams"])
+    kept = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in ("row", "lang", "tkey"))
+    schema = kept + ", " + ", ".join(f"{c} long" for c in [*COUNTS, "n_grams"])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -315,16 +322,17 @@ def scored(texts: DataFrame, models: dict[str, tuple[Model, Model]], order: int)
                     steps[i, own] = np.rint(logp / _STEP)
             yield pa.RecordBatch.from_arrays(
                 [
+                    block.column("row"),
                     pa.array(langs.tolist(), pa.string()),
                     block.column("tkey"),
                     *(pa.array(counts[c].astype(np.int64)) for c in COUNTS),
                     pa.array(np.diff(ends).astype(np.int64)),
                     *(pa.array(sums(x, ends) * _STEP) for x in steps),
                 ],
-                names=["lang", "tkey", *COUNTS, "n_grams", "logp", "logp_once"],
+                names=["row", "lang", "tkey", *COUNTS, "n_grams", "logp", "logp_once"],
             )
 
-    return texts.mapInArrow(score, f"{schema}, logp double, logp_once double")
+    return texts.select("row", "lang", "tkey", "text").mapInArrow(score, f"{schema}, logp double, logp_once double")
 
 
 def quality(
@@ -338,10 +346,10 @@ def quality(
 ) -> DataFrame:
     """(row, counts, log_perplexity, base_failed, kept); ``row`` holds the input's columns.
 
-    Equal texts of a language are brought together first, then counted and
-    scored once; the scores go back to the rows by digest.  Languages are scored
-    together as long as their models stay below ``MODEL_ROWS`` rows, and in
-    further passes beyond that.
+    Every text is counted and scored where it lies.  Only texts that occur several
+    times are brought together, to be counted as one with its copies, and digests, to
+    place the bands by distinct texts.  Languages are scored together as long as
+    their models stay below ``MODEL_ROWS`` rows, and in further passes beyond that.
     """
     given = docs.select(
         F.struct(*[F.col(c) for c in columns or docs.columns]).alias("row"),
@@ -349,10 +357,8 @@ def quality(
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("tkey"),
     )
-    texts = written(
-        given.groupBy("lang", "tkey").agg(F.first("text").alias("text"), F.count("*").alias("copies")), "texts"
-    )
-    counts = written(gram_counts(texts.select("text", "lang", "copies"), order), "gram-counts")
+    grams = gram_counts(_counted_texts(given), order)
+    counts = written(grams, "gram-counts")
     model = written(kneser_ney(counts, order), "model")
     once = written(kneser_ney(counts.select("lang", "gram", F.col("once").alias("n")), order), "model-once")
     passes: list[list[str]] = []
@@ -366,9 +372,9 @@ def quality(
     parts = []
     for langs in passes:
         all_rows, each_once = gather(model, langs, order), gather(once, langs, order)
-        own = texts.filter(F.col("lang").isin(langs)) if len(passes) > 1 else texts
+        own = given.filter(F.col("lang").isin(langs)) if len(passes) > 1 else given
         parts.append(scored(own, {x: (all_rows[x], each_once[x]) for x in langs}, order))
-    every = reduce(DataFrame.unionByName, parts or [scored(texts, {}, order)])
+    every = reduce(DataFrame.unionByName, parts or [scored(given, {}, order)])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     every = written(
         every.withColumn("log_perplexity", -F.col("logp") / F.col("n_grams"))
@@ -377,19 +383,37 @@ def quality(
         "scored",
     )
     quartiles = F.percentile_approx("once", [0.25, 0.75], 10_000)
-    bands = every.filter(~F.col("base_failed")).groupBy("lang").agg(quartiles.alias("q"))
+    distinct = every.filter(~F.col("base_failed")).select("lang", "tkey", "once").distinct()
+    bands = distinct.groupBy("lang").agg(quartiles.alias("q"))
     apart = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_APART))
-    bands = bands.select(
-        "lang", (F.col("q")[0] - lower * apart).alias("lower"), (F.col("q")[1] + upper * apart).alias("upper")
+    bands = written(
+        bands.select(
+            "lang", (F.col("q")[0] - lower * apart).alias("lower"), (F.col("q")[1] + upper * apart).alias("upper")
+        ),
+        "bands",
     )
+    few = bands.limit(BROADCAST_BANDS + 1).count() <= BROADCAST_BANDS
     inside = F.col("once").between(F.col("lower"), F.col("upper"))
-    judged = every.join(bands, "lang", "left").select(
-        "lang", "tkey", *COUNTS, "log_perplexity", "base_failed",
+    return every.join(F.broadcast(bands) if few else bands, "lang", "left").select(
+        "row", *COUNTS, "log_perplexity", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
     )
-    return given.select("row", "lang", "tkey").join(written(judged, "judged"), ["lang", "tkey"]).select(
-        "row", *COUNTS, "log_perplexity", "base_failed", "kept"
+
+
+def _counted_texts(given: DataFrame) -> DataFrame:
+    """(text, lang, copies): every distinct text of a language once.
+
+    A set of bits tells which digests may occur again, so texts that certainly occur
+    once stay where they are; the others meet by digest.
+    """
+    key = F.xxhash64("lang", "tkey")
+    again = given.groupBy("lang", "tkey").agg(F.count("*").alias("n")).filter("n > 1").select(key.alias("key"))
+    marked = given.select("text", "lang", "tkey").withColumn(
+        "again", shows(given, bit_filter(again, "key", REPEATED_BITS), key)
     )
+    met = marked.filter("again").groupBy("lang", "tkey").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    alone = marked.filter("not again").select("text", "lang", F.lit(1).cast("long").alias("copies"))
+    return alone.unionByName(met.select("text", "lang", "copies"))
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
