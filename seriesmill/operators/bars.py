@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from seriesmill.functions.exact import exact_sum
 from seriesmill.functions.timeframe import bucket_start, tf_ms
 
 
-def bar_columns(value: str, order: list[str]) -> list[Column]:
-    """Aggregates of one bar; first and last follow ``order``, which must break ties.
+# What is added to a long so that it is not negative, and a number beyond all such sums.
+_OFFSET, _BEYOND = "9223372036854775808", "20000000000000000000"
 
-    The volume is summed in the type of the column: nothing is rounded, and a
-    decimal column gives the exact sum.
+
+def order_key(df: DataFrame, order: list[str]) -> Column:
+    """One value that sorts like the columns (time, tie break).
+
+    A time and a whole number become one decimal, a fixed-width value that Spark
+    aggregates by hash; any other tie break needs a struct, and sorting.
+    """
+    time, tie = order
+    if not isinstance(df.schema[tie].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.struct(*order)
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(19,0)")
+    offset, beyond = (F.lit(x).cast("decimal(20,0)") for x in (_OFFSET, _BEYOND))
+    shifted = F.coalesce(F.col(tie).cast("decimal(20,0)") + offset, F.lit(0).cast("decimal(20,0)"))
+    return (micros * beyond + shifted).cast("decimal(38,0)")
+
+
+def bar_columns(value: str, at: Column, kind: T.DataType) -> list[Column]:
+    """Aggregates of one bar; first and last follow ``at``, which must break ties.
+
+    The volume is exact: doubles are added up without rounding on the way, so it does
+    not depend on the order of rows, and other types are summed in their own type.
     """
-    at = F.struct(*order)
+    volume = exact_sum(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.sum(value).cast("double")
     return [
         F.min_by(value, at).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
         F.max_by(value, at).alias("close"),
-        F.sum(value).cast("double").alias("volume"),
+        volume.alias("volume"),
     ]
 
 
@@ -38,7 +59,7 @@ def bars_from_events(
     return (
         events.withColumn("_bar", start)
         .groupBy(*series, "_bar")
-        .agg(*bar_columns(value, [time, tie_break]))
+        .agg(*bar_columns(value, order_key(events, [time, tie_break]), events.schema[value].dataType))
         .withColumnRenamed("_bar", "time")
     )
 

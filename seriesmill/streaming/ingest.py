@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from seriesmill.functions.timeframe import milliseconds_of
-from seriesmill.operators.bars import bar_columns
+from seriesmill.operators.bars import bar_columns, order_key
 from seriesmill.schemas import SERIES_KEYS, columns
 from seriesmill.sources.store import SeriesTable
 
@@ -225,7 +225,7 @@ def closed_bars(
     return (
         rows.withWatermark(time, delay)
         .groupBy(*series, window.alias("_bar"))
-        .agg(*bar_columns(value, [time, tie_break]))
+        .agg(*bar_columns(value, order_key(rows, [time, tie_break]), rows.schema[value].dataType))
         .select(
             *series,
             F.col("_bar.start").alias("time"),
