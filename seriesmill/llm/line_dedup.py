@@ -13,8 +13,11 @@ repeats is one row in the join.  Rarity comes from a table of counts by word
 hash, of fixed size; two words in one cell only make the order less sharp,
 never the result less exact.
 
-Defined results: a null text has no lines and stays null; lines of fewer than
-``min_words`` words stay; rows with equal ``doc_id`` and text count as one
+Lines of very few words meet no other set but their own; their copies go by digest,
+without the join.
+
+Defined results: a null text has no lines and stays null; lines without a word, or of
+fewer than ``min_words`` words if asked for, stay; rows with equal ``doc_id`` and text count as one
 document, and those with equal ``doc_id`` and other texts follow each other by
 a hash of the text; null ``doc_id`` comes first; an empty table stays empty;
 every other column is kept, whatever its name.
@@ -35,7 +38,7 @@ from seriesmill.llm.text import blocks, line_spans, lowered, mixed, span_hashes,
 from seriesmill.llm.storage import written
 
 THRESHOLD = 0.8
-MIN_WORDS = 5
+MIN_WORDS = 1
 #: Cells of the count table: 2 ** 22, four megabytes when sent to the tasks.
 COUNT_BITS = 22
 FILTER_BITS = 26
@@ -192,7 +195,9 @@ def prefix_entries(
             order = _order(sets.of, level, sets.token)
             token, level = sets.token[order], level[order]
             at = np.arange(len(token)) - np.repeat(sets.first, sets.n)
-            prefix = np.where(first, sets.n - _needed(sets.n, threshold) + 1, 0)
+            # A set of few words is as similar to equal sets alone, and those are one set already.
+            meets = first & (sets.n >= threshold * (sets.n + 1) - 1e-9)
+            prefix = np.where(meets, sets.n - _needed(sets.n, threshold) + 1, 0)
             used = (at < np.repeat(prefix, sets.n)) & (level > 1)
             of = sets.of[used]
             yield pa.RecordBatch.from_arrays(

@@ -107,7 +107,7 @@ def test_passages_edges(spark, monkeypatch, options):
 # Lines -----------------------------------------------------------------------------------------
 
 
-def line_cut(rows, threshold=0.8, least=5):
+def line_cut(rows, threshold=0.8, least=1):
     """Brute force over distinct documents in order: text left, by document."""
     docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
     first, lines = {}, []
@@ -142,7 +142,7 @@ def keyed(spark, rows):
 def similar_lines(seed, count):
     draw = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(60)]
-    lines = [[draw.choice(vocabulary) for _ in range(draw.randint(3, 14))] for _ in range(count // 3)]
+    lines = [[draw.choice(vocabulary) for _ in range(draw.randint(1, 14))] for _ in range(count // 3)]
     while len(lines) < count:
         line = list(draw.choice(lines))
         for _ in range(draw.randint(0, 2)):
