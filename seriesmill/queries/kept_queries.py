@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.timeframe import bucket_start
 from seriesmill.plans import coverage, runs
-from seriesmill.queries.inputs import NOW_MS, as_table, event_rows, hourly, table
+from seriesmill.queries.inputs import FEEDS, NOW_MS, as_table, event_rows, hourly, table
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
+from seriesmill.sources import manifest, registry
 from seriesmill.sources.store import SeriesTable
 from seriesmill.streaming import ingest
 
@@ -263,6 +267,48 @@ FROM s
 RUN_SET_ASIDE_SQL = f"WITH {_RUN_SQL} SELECT 'r1' AS run_id, symbol, reasons, seq FROM marked WHERE reasons <> ''"
 
 
+# -- an own store ------------------------------------------------------------------
+def own_store(spark, sf_dir):
+    """Event types as datasets of a store with manifests: saved, appended to, one replaced, one deleted."""
+    kind, folder = registry.get_store("manifest"), work_path(spark, "store")
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "feed", "value")
+    early = F.col("time") < F.lit("2024-01-16").cast("timestamp")
+    for feed in FEEDS:
+        own = rows.filter(F.col("feed") == feed)
+        kind.write(own.filter(early), f"{folder}/{feed}")
+        manifest.save(own.filter(~early), f"{folder}/{feed}", append=True)
+    kind.write(rows.filter((F.col("feed") == "view") & early), f"{folder}/view")
+    kind.delete(spark, f"{folder}/error")
+    kept = [kind.read(spark, f"{folder}/{feed}", rows.schema) for feed in FEEDS]
+    return reduce(DataFrame.unionByName, kept).withColumn("time", naive("time"))
+
+
+OWN_STORE_SQL = """
+SELECT 'u' || user_id AS symbol, ts AS time, event_type AS feed, value FROM events
+WHERE event_type <> 'error' AND (event_type <> 'view' OR ts < TIMESTAMP '2024-01-16')
+"""
+
+
+def own_store_listed(spark, sf_dir):
+    """What the store lists of its datasets, and their time ranges, without reading rows."""
+    kind, folder = registry.get_store("manifest"), work_path(spark, "store")
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "feed", "value")
+    for feed in FEEDS:
+        kind.write(rows.filter(F.col("feed") == feed), f"{folder}/{feed}")
+    kind.delete(spark, f"{folder}/error")
+    ranges = [
+        kind.time_range(spark, f"{folder}/{feed}", rows.schema).withColumn("id", F.lit(feed)) for feed in FEEDS
+    ]
+    found = kind.list(spark, folder).select("id", "rows").join(reduce(DataFrame.unionByName, ranges), "id")
+    return found.withColumn("start_time", naive("start_time")).withColumn("end_time", naive("end_time"))
+
+
+OWN_STORE_LISTED_SQL = """
+SELECT event_type AS id, count(*) AS rows, min(ts) AS start_time, max(ts) AS end_time
+FROM events WHERE event_type <> 'error' GROUP BY event_type
+"""
+
+
 # -- streams ---------------------------------------------------------------------
 def stream_first_wins(spark, sf_dir):
     """Hourly events landed in two files, the later arrivals in the file that is read first."""
@@ -296,5 +342,7 @@ QUERIES = {
     "fetch_segments": (fetch_segments, FETCH_SEGMENTS_SQL),
     "incremental_run": (incremental_run, INCREMENTAL_RUN_SQL),
     "run_set_aside": (run_set_aside, RUN_SET_ASIDE_SQL),
+    "own_store": (own_store, OWN_STORE_SQL),
+    "own_store_listed": (own_store_listed, OWN_STORE_LISTED_SQL),
     "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }

@@ -2,8 +2,8 @@
 
 Reading splits each file by its record batches, so one large file feeds
 several tasks, and only the wanted columns are decoded.  Writing puts files
-in place only after every task has finished.  The path may be any URI that
-``pyarrow.fs`` knows, and must be shared by all executors.
+in place only after every task has finished.  ``read_feather`` and ``write_feather``
+resolve the path by the session's file systems; it must be shared by all executors.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from seriesmill.sources.paths import qualified, system_of
+
 _ROWS_PER_BATCH = 64 * 1024
 _BYTES_PER_TASK = 128 << 20
 
@@ -66,11 +68,8 @@ def _arrow_schema(schema: StructType):
 
 
 def _filesystem(path: str):
-    from pyarrow import fs
-
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    """A path that nobody has resolved is one on this machine."""
+    return system_of(path if ":" in path.split("/")[0] else f"file:{path}")
 
 
 def _files(path: str) -> list[tuple[str, int]]:
@@ -239,9 +238,9 @@ def read_feather(spark: SparkSession, path: str, schema: StructType | None = Non
     """Feather files below ``path``; with a schema, a missing path is an empty frame."""
     register(spark)
     reader = spark.read.format("feather")
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return (reader.schema(schema) if schema is not None else reader).load(qualified(spark, path))
 
 
 def write_feather(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     register(df.sparkSession)
-    df.write.format("feather").mode(mode).save(path)
+    df.write.format("feather").mode(mode).save(qualified(df.sparkSession, path))

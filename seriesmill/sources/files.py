@@ -123,3 +123,24 @@ def list_files(spark: SparkSession, path: str, fmt: str = "feather") -> DataFram
         "size_bytes",
         "modified",
     )
+
+
+def files_exist(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset lies at ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete_files(spark: SparkSession, path: str) -> bool:
+    """Remove the dataset at ``path``; False where there was none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def files_time_range(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "feather", time: str = "time"
+) -> DataFrame:
+    """One row (start_time, end_time); nulls for a dataset that is missing or has no time column."""
+    rows = load_files(spark, path, schema, fmt)
+    at = F.col(time) if time in schema.fieldNames() else F.lit(None).cast("timestamp")
+    return rows.agg(F.min(at).alias("start_time"), F.max(at).alias("end_time"))

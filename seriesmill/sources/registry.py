@@ -1,11 +1,13 @@
 """Registering own sources and stores beside the built-in ones.
 
-A source is a reader function with the schema it promises, a store is a pair
-of functions.  The contract that is checked is the schema of the rows.
+A source is a reader function with the schema it promises, a store is six
+functions.  What is checked is the schema of a source's rows, and that a store has
+all its functions with the arguments they are called with.
 """
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ from seriesmill.schemas import (
     keyed,
     schema_violations,
 )
-from seriesmill.sources import landed
+from seriesmill.sources import files, landed, manifest
 
 
 @dataclass(frozen=True)
@@ -33,11 +35,32 @@ class Source:
 
 @dataclass(frozen=True)
 class Store:
-    """``write(df, path)`` and ``read(spark, path, schema)``."""
+    """A place for datasets.
+
+    ``write(df, path)`` and ``read(spark, path, schema)`` move rows; ``delete(spark, path)``
+    and ``exists(spark, path)`` tell whether the dataset was there; ``list(spark, path)``
+    has a row with an ``id`` for every dataset below a folder; ``time_range(spark, path,
+    schema)`` has one row with ``start_time`` and ``end_time``.
+    """
 
     name: str
     write: Callable[..., object]
     read: Callable[..., DataFrame]
+    delete: Callable[..., bool]
+    exists: Callable[..., bool]
+    list: Callable[..., DataFrame]
+    time_range: Callable[..., DataFrame]
+
+
+#: The arguments that each function of a store is called with.
+STORE_CALLS = {
+    "write": ("df", "path"),
+    "read": ("spark", "path", "schema"),
+    "delete": ("spark", "path"),
+    "exists": ("spark", "path"),
+    "list": ("spark", "path"),
+    "time_range": ("spark", "path", "schema"),
+}
 
 
 _sources: dict[str, Source] = {}
@@ -74,12 +97,29 @@ def _source_problems(source: Source) -> list[str]:
 def register_store(store: Store, *, replace: bool = False) -> None:
     if store.name in _stores and not replace:
         raise ValueError(f"store {store.name!r} is already registered")
-    missing = [n for n in ("write", "read") if not callable(getattr(store, n))]
-    if missing:
-        raise ValueError(f"store {store.name!r}: not callable: {', '.join(missing)}")
+    problems = store_problems(store)
+    if problems:
+        raise ValueError(f"store {store.name!r}:\n" + "\n".join(f"- {p}" for p in problems))
     _stores[store.name] = store
 
 
+def store_problems(store: Store) -> list[str]:
+    """Everything that keeps a store from being used; empty when it fits."""
+    problems = [] if store.name else ["a name is required"]
+    for name, arguments in STORE_CALLS.items():
+        function = getattr(store, name)
+        if not callable(function):
+            problems.append(f"{name} must be callable")
+            continue
+        try:
+            inspect.signature(function).bind(*arguments)
+        except TypeError as error:
+            problems.append(f"{name}({', '.join(arguments)}): {error}")
+        except ValueError:
+            pass  # a built-in without a signature
+    return problems
+
+
 def source_names() -> list[str]:
     return sorted(_sources)
 
@@ -119,14 +159,27 @@ for _source in (
 
 
 def _file_store(fmt: str) -> Store:
-    from seriesmill.sources.files import load_files, save_files
-
     return Store(
         fmt,
-        lambda df, path: save_files(df, path, fmt),
-        lambda spark, path, schema: load_files(spark, path, schema, fmt),
+        lambda df, path: files.save_files(df, path, fmt),
+        lambda spark, path, schema: files.load_files(spark, path, schema, fmt),
+        files.delete_files,
+        files.files_exist,
+        lambda spark, path: files.list_files(spark, path, fmt),
+        lambda spark, path, schema: files.files_time_range(spark, path, schema, fmt),
     )
 
 
-for _fmt in ("feather", "parquet", "json", "jsongz"):
+for _fmt in files.EXTENSIONS:
     register_store(_file_store(_fmt))
+register_store(
+    Store(
+        "manifest",
+        manifest.save,
+        manifest.load,
+        manifest.delete,
+        manifest.exists,
+        manifest.datasets,
+        lambda spark, path, schema: manifest.time_range(spark, path),
+    )
+)

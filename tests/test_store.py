@@ -307,16 +307,78 @@ def test_registering_sources(spark, tmp_path):
 
 def test_registering_stores(spark, tmp_path, bars):
     assert {"feather", "parquet", "json", "jsongz"} <= set(registry.store_names())
-    with pytest.raises(ValueError, match="not callable: write"):
-        registry.register_store(registry.Store("bad", None, files.load_files))
+    def gone(*_):
+        return False
+
+    with pytest.raises(ValueError, match="write must be callable") as error:
+        registry.register_store(
+            registry.Store("bad", None, files.load_files, gone, lambda spark: False, gone, lambda spark, path: None)
+        )
+    # All problems at once: what is missing, and what can't be called as it will be.
+    assert "exists(spark, path)" in str(error.value) and "time_range(spark, path, schema)" in str(error.value)
+    assert "delete" not in str(error.value)
     orc = registry.Store(
         "orc", lambda df, path: df.write.mode("overwrite").orc(path),
         lambda spark, path, schema: spark.read.schema(schema).orc(path),
+        files.delete_files, files.files_exist, lambda spark, path: files.list_files(spark, path, "parquet"),
+        lambda spark, path, schema: spark.read.schema(schema).orc(path).selectExpr(
+            "min(time) AS start_time", "max(time) AS end_time"),
     )
     registry.register_store(orc, replace=True)
     path = str(tmp_path / "orc")
     registry.get_store("orc").write(bars, path)
     assert registry.get_store("orc").read(spark, path, bars.schema).count() == 3
+    assert registry.get_store("orc").delete(spark, path) and not registry.get_store("orc").exists(spark, path)
+
+
+@pytest.mark.parametrize("name", ["feather", "parquet", "json", "jsongz", "manifest"])
+def test_every_store_keeps_the_contract(spark, tmp_path, bars, name):
+    kind = registry.get_store(name)
+    extension = files.EXTENSIONS.get(name, "")
+    folder, path = str(tmp_path), str(tmp_path / f"x_1d{extension}")
+    assert not kind.exists(spark, path) and not kind.delete(spark, path)
+    assert kind.read(spark, path, bars.schema).count() == 0
+    kind.write(bars, path)
+    assert kind.exists(spark, path)
+    assert sorted(map(repr, kind.read(spark, path, bars.schema).collect())) == sorted(map(repr, bars.collect()))
+    assert [r.id for r in kind.list(spark, folder).collect()] == ["x_1d"]
+    ends = bars.agg(F.min("time"), F.max("time")).first()
+    assert tuple(kind.time_range(spark, path, bars.schema).first()) == tuple(ends)
+    kind.write(bars.limit(0), path)  # nothing to save: what is stored stays
+    assert kind.read(spark, path, bars.schema).count() == bars.count()
+    assert kind.delete(spark, path) and not kind.exists(spark, path)
+    assert kind.read(spark, path, bars.schema).count() == 0
+    assert tuple(kind.time_range(spark, path, bars.schema).first()) == (None, None)
+
+
+def test_a_failed_write_leaves_the_dataset_as_it_was(spark, tmp_path, bars):
+    """Some tasks write their files, one fails: no manifest names them, and they are removed."""
+    from seriesmill.sources import manifest
+
+    path = str(tmp_path / "x")
+    manifest.save(bars.repartition(2), path)
+    before = manifest.entries(manifest.qualified(spark, path))
+    broken = spark.range(40).repartition(4).selectExpr(
+        "id", "CAST(id AS TIMESTAMP) AS time", "IF(id = 39, raise_error('lost'), 1.0D) AS value"
+    )
+    with pytest.raises(Exception, match="lost"):
+        manifest.save(broken, path)
+    assert manifest.entries(manifest.qualified(spark, path)) == before
+    assert len(os.listdir(f"{path}/data")) == len(before)
+    manifest.save(bars, path, append=True)
+    assert manifest.load(spark, path, bars.schema).count() == 2 * bars.count()
+    assert len(os.listdir(f"{path}/manifests")) == 2
+
+
+def test_paths_are_resolved_by_the_session(spark, tmp_path, bars):
+    from seriesmill.sources import paths
+
+    assert paths.qualified(spark, "/a/b").startswith("file:/a/b")
+    assert paths.qualified(spark, "file:///a/b") == "file:/a/b" or paths.qualified(spark, "file:///a/b") == "file:///a/b"
+    with pytest.raises(ValueError, match="no scheme"):
+        paths.system_of("/a/b")
+    with pytest.raises(Exception, match="nowhere"):
+        read_feather(spark, "nowhere://x/y", bars.schema)
 
 
 def test_many_partitions_are_matched_by_a_join(spark, table, monkeypatch):
