@@ -6,14 +6,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmill.functions.timeframe import bucket_start
-from seriesmill.plans import coverage, runs
+from seriesmill.operators.dedupe import keep_first
+from seriesmill.plans import coverage, incremental, runs
 from seriesmill.queries.inputs import FEEDS, NOW_MS, as_table, event_rows, hourly, table
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
-from seriesmill.sources import manifest, registry
+from seriesmill.sources import manifest, paged, paths, registry
 from seriesmill.sources.store import SeriesTable
 from seriesmill.streaming import ingest
 
@@ -309,6 +311,63 @@ FROM events WHERE event_type <> 'error' GROUP BY event_type
 """
 
 
+# -- pages -----------------------------------------------------------------------
+_PAGE = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()), T.StructField("timeframe", T.StringType()),
+        T.StructField("page_no", T.LongType()), T.StructField("time", T.TimestampType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
+
+def _landed(spark, sf_dir):
+    """Hourly rows by symbol as a venue would hold them, one row an hour, and its paged source."""
+    rows = keep_first(hourly(event_rows(spark, sf_dir)), ["symbol", "time"], ["seq"])
+    path = work_path(spark, "venue")
+    paged.land_history(rows.select("symbol", "time", "value"), path)
+    fetch = paged.landed_pages(paths.qualified(spark, path), ["time", "value"])
+    return paged.paged_source("venue", _PAGE, fetch)
+
+
+def _pages(spark, sf_dir, start_ms, end_ms):
+    """Pages of 200 bars for every user with events."""
+    users = event_rows(spark, sf_dir).select("symbol").distinct()
+    plan = users.select(
+        "symbol", F.lit("1h").alias("timeframe"), F.lit(start_ms).alias("fetch_start_ms"), F.lit(end_ms).alias("fetch_end_ms")
+    )
+    return incremental.bar_pages(plan, ["symbol", "timeframe"], 200)
+
+
+def paged_batch(spark, sf_dir):
+    """January fetched page by page, one task a plan file."""
+    source, plan = _landed(spark, sf_dir), work_path(spark, "plan")
+    paged.write_plan(_pages(spark, sf_dir, _START_MS, NOW_MS), plan)
+    # Pages end where the range ends and overlap; of two rows with one key that of the earlier page counts.
+    rows = keep_first(paged.read_pages(spark, source, plan), ["symbol", "time"], ["page_no"])
+    return rows.select("symbol", naive("time").alias("time"), "value")
+
+
+_PAGED_SQL = f"""
+SELECT 'u' || user_id AS symbol, date_trunc('hour', ts) AS time, arg_min(value, event_id) AS value
+FROM events WHERE epoch_ms(date_trunc('hour', ts)) <= {NOW_MS} GROUP BY 1, 2
+"""
+
+
+def paged_stream(spark, sf_dir):
+    """The same as a stream: a plan up to January 20th, then one for the rest, each a round."""
+    source, plan, base = _landed(spark, sf_dir), work_path(spark, "plan"), work_path(spark, "paged")
+    cut = _START_MS + 20 * _DAY_MS
+    for start, end in ((_START_MS, cut), (cut + 1, NOW_MS)):
+        paged.write_plan(_pages(spark, sf_dir, start, end), plan)
+        stream = paged.stream_pages(spark, source, plan)
+        # The second start goes on after the first round.
+        ingest.to_parquet(stream, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    rows = spark.read.schema(_PAGE).parquet(f"{base}/rows")
+    rows = keep_first(rows, ["symbol", "time"], ["page_no"])
+    return rows.select("symbol", naive("time").alias("time"), "value")
+
+
 # -- streams ---------------------------------------------------------------------
 def stream_first_wins(spark, sf_dir):
     """Hourly events landed in two files, the later arrivals in the file that is read first."""
@@ -344,5 +403,7 @@ QUERIES = {
     "run_set_aside": (run_set_aside, RUN_SET_ASIDE_SQL),
     "own_store": (own_store, OWN_STORE_SQL),
     "own_store_listed": (own_store_listed, OWN_STORE_LISTED_SQL),
+    "paged_batch": (paged_batch, _PAGED_SQL),
+    "paged_stream": (paged_stream, _PAGED_SQL),
     "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }
