@@ -1,3 +1,4 @@
+import datetime
 import os
 
 import pandas as pd
@@ -536,3 +537,41 @@ def test_tail_over_all_series_reads_the_newest_months(spark, table, plan_of):
     assert table.tail(0).count() == 0
     assert table.tail(99).count() == 4
     assert [r.value for r in table.tail(5, source="spot", symbol="ETH", timeframe="1d").collect()] == [3.0]
+
+
+def test_feather_batches_are_skipped_by_their_ranges(spark, tmp_path, monkeypatch):
+    """A range reads the record batches it lies in, and filters give the rows they would without ranges."""
+    from seriesmill.sources import feather
+
+    monkeypatch.setattr(feather, "_ROWS_PER_BATCH", 100)
+    path = str(tmp_path / "many.feather")
+    rows = spark.range(1000).coalesce(1).selectExpr(
+        "id AS n", "CAST(id * 86400 AS TIMESTAMP) AS time", "CONCAT('s', LPAD(CAST(id AS STRING), 4, '0')) AS name",
+        "IF(id % 250 = 7, CAST('NaN' AS DOUBLE), CAST(id AS DOUBLE)) AS x", "IF(id < 300, NULL, id) AS late",
+    )
+    feather.register(spark)
+    writer = feather._Writer(path, True)
+    message = writer.write(b for b in rows.toArrow().to_batches())
+    writer.commit([message])
+    assert [p.stop for p in feather._Reader(path, rows.schema).partitions()] == [-1]  # one whole file
+
+    def batches(**between):
+        return [(p.first, p.stop) for p in feather._Reader(path, rows.schema, between).partitions()]
+
+    assert batches(n=[250, 419]) == [(2, 5)]
+    assert batches(name=["s0733", "s0733"], n=[None, 800]) == [(7, 8)]
+    assert batches(late=[None, 310]) == [(3, 4)] and batches(n=[5000, None]) == [(0, 0)]
+    at = datetime.datetime
+    for between, test in (
+        ({"n": (250, 419)}, "n BETWEEN 250 AND 419"),
+        ({"time": (at(1970, 6, 1), at(1970, 6, 5, tzinfo=datetime.timezone.utc))},
+         "time BETWEEN TIMESTAMP '1970-06-01' AND TIMESTAMP '1970-06-05'"),
+        ({"name": ("s0733", None), "x": (None, 900.0)}, "name >= 's0733' AND x <= 900"),
+        ({"late": (None, 310)}, "late <= 310"),
+        ({"n": (5000, None)}, "n >= 5000"),
+    ):
+        found = read_feather(spark, path, rows.schema, between=between)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, rows.filter(test).collect())), test
+    # Replacing a dataset replaces its ranges.
+    feather.write_feather(rows.limit(10), path)
+    assert len([f for f in os.listdir(path) if f.endswith(".ranges")]) == len([f for f in os.listdir(path) if f.endswith(".feather")])
