@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from seriesmill.queries.inputs import FEEDS, NOW_MS, as_table, event_rows, hourl
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
-from seriesmill.sources import manifest, paged, paths, registry
+from seriesmill.sources import documents, feather, manifest, paged, paths, registry
 from seriesmill.sources.store import SeriesTable
 from seriesmill.streaming import ingest
 
@@ -311,6 +312,68 @@ FROM events WHERE event_type <> 'error' GROUP BY event_type
 """
 
 
+# -- documents and files by their ranges -------------------------------------------
+_RECORD = T.StructType(
+    [
+        T.StructField("time", T.TimestampType()), T.StructField("feed", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
+
+def _stored_documents(spark, sf_dir):
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "seq", "feed", "value")
+    made = documents.to_documents(rows, ["symbol"], ["time", "feed", "value"], ["time", "seq"], rows_per_document=5)
+    path = work_path(spark, "documents")
+    documents.save_documents(made, ["symbol"], path)
+    return documents.load_documents(spark, ["symbol"], path)
+
+
+def json_records_range(spark, sf_dir):
+    """Five days in January from the documents that overlap them."""
+    rows = documents.read_range(
+        _stored_documents(spark, sf_dir), ["symbol"], _RECORD, start="2024-01-10 06:00:00", end="2024-01-15 18:00:00"
+    )
+    return rows.withColumn("time", naive("time"))
+
+
+JSON_RANGE_SQL = """
+SELECT 'u' || user_id AS symbol, date_trunc('millisecond', ts) AS time, event_type AS feed, value FROM events
+WHERE date_trunc('millisecond', ts) BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-15 18:00:00'
+"""
+
+
+def json_records_last(spark, sf_dir):
+    """The last seven rows of every series, from its last documents."""
+    rows = documents.read_last(_stored_documents(spark, sf_dir), ["symbol"], _RECORD, 7)
+    return rows.withColumn("time", naive("time"))
+
+
+JSON_LAST_SQL = """
+SELECT 'u' || user_id AS symbol, date_trunc('millisecond', ts) AS time, event_type AS feed, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 7
+"""
+
+
+def store_feather_range(spark, sf_dir):
+    """Events in order of time as Feather files; four days of purchases' values from the batches that hold them."""
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "feed", "value").orderBy("time")
+    path = work_path(spark, "feather")
+    feather.write_feather(rows, path)
+    at = datetime.datetime
+    found = feather.read_feather(
+        spark, path, rows.schema,
+        between={"time": (at(2024, 1, 3), at(2024, 1, 7, 12)), "feed": ("purchase", "purchase")},
+    )
+    return found.withColumn("time", naive("time"))
+
+
+STORE_FEATHER_RANGE_SQL = """
+SELECT 'u' || user_id AS symbol, ts AS time, event_type AS feed, value FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-07 12:00:00' AND event_type = 'purchase'
+"""
+
+
 # -- pages -----------------------------------------------------------------------
 _PAGE = T.StructType(
     [
@@ -405,5 +468,8 @@ QUERIES = {
     "own_store_listed": (own_store_listed, OWN_STORE_LISTED_SQL),
     "paged_batch": (paged_batch, _PAGED_SQL),
     "paged_stream": (paged_stream, _PAGED_SQL),
+    "json_records_range": (json_records_range, JSON_RANGE_SQL),
+    "json_records_last": (json_records_last, JSON_LAST_SQL),
+    "store_feather_range": (store_feather_range, STORE_FEATHER_RANGE_SQL),
     "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }

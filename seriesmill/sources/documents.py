@@ -7,14 +7,26 @@ than a fixed number of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.functions.timerange import between
 from seriesmill.operators.matching import null_safe_join
 from seriesmill.plans.skew import PIECE, ROWS_PER_TASK, cut_pieces, split_series
 
 ROWS_PER_DOCUMENT = 1000
+# Row groups of stored documents, small enough that an index entry rules out few bytes at a time.
+_ROW_GROUP = 8 << 20
+DOCUMENT_INDEX = T.StructType(
+    [
+        T.StructField("doc_no", T.LongType()),
+        T.StructField("payload", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("first_time", T.TimestampType()),
+        T.StructField("last_time", T.TimestampType()),
+    ]
+)
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
@@ -94,3 +106,47 @@ def from_documents(documents: DataFrame, series: list[str], payload: T.StructTyp
     """The rows of JSON documents, one per record, with the declared types."""
     records = F.from_json("payload", T.ArrayType(payload))
     return documents.select(*series, F.inline(records))
+
+
+# -- stored documents and their index -------------------------------------------
+def save_documents(documents: DataFrame, series: list[str], path: str) -> None:
+    """Documents as Parquet, in order of series and time, so that the index columns skip row groups."""
+    by = [*series, "first_time", "doc_no"]
+    ordered = documents.repartitionByRange(*by).sortWithinPartitions(*by)
+    ordered.write.mode("overwrite").option("parquet.block.size", _ROW_GROUP).parquet(path)
+
+
+def load_documents(spark: SparkSession, series: list[str], path: str) -> DataFrame:
+    keys = [T.StructField(k, T.StringType()) for k in series]
+    return spark.read.schema(T.StructType([*keys, *DOCUMENT_INDEX.fields])).parquet(path)
+
+
+def read_range(documents: DataFrame, series: list[str], payload: T.StructType, *, start=None, end=None) -> DataFrame:
+    """Rows within an inclusive range, from the documents that overlap it alone.
+
+    Overlap is told by the index before any payload is parsed, and reaches the scan.
+    Records hold milliseconds, so a document's first time counts from its millisecond on.
+    """
+    touched = documents
+    if start is not None:
+        touched = touched.filter(F.col("last_time") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        touched = touched.filter(F.col("first_time") < F.lit(end).cast("timestamp") + F.expr("INTERVAL 1 MILLISECOND"))
+    return from_documents(touched, series, payload).filter(between(F.col("time"), start, end))
+
+
+def read_last(documents: DataFrame, series: list[str], payload: T.StructType, n: int) -> DataFrame:
+    """The last ``n`` rows of every series, from its last documents alone.
+
+    The index tells how many rows lie behind a document; one with ``n`` or more is not
+    parsed, and of the first one that is needed just the last records are taken.
+    """
+    behind = Window.partitionBy(*series).orderBy(F.col("doc_no").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    index = documents.select(*series, "doc_no", F.coalesce(F.sum("n_rows").over(behind), F.lit(0)).alias("_behind"))
+    keys = [*series, "doc_no"]
+    needed = index.filter(F.col("_behind") < n)
+    records = F.from_json("payload", T.ArrayType(payload))
+    found = null_safe_join(documents.select(*keys, "payload", "n_rows"), needed, keys, "left").filter("_behind IS NOT NULL")
+    skipped = F.greatest(F.lit(0), F.col("n_rows") + F.col("_behind") - n).cast("int")
+    last = F.slice(records, skipped + 1, F.greatest(F.lit(1), F.col("n_rows").cast("int")))
+    return found.select(*series, F.inline(last))
