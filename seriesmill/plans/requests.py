@@ -11,7 +11,7 @@ from seriesmill.fixed_values import (
     SENTIMENT_TIMEFRAME,
     SERIES_TIMEFRAMES,
 )
-from seriesmill.functions.names import squash_symbol
+from seriesmill.functions.names import route_symbol, squash_symbol
 from seriesmill.functions.timeframe import DAY_MS
 
 
@@ -42,15 +42,25 @@ def validate_requests(
     universe: DataFrame | None = None,
     *,
     look_back_days: int = FUTURES_LOOKBACK_DAYS,
+    venues: list[str] | None = None,
 ) -> DataFrame:
     """Requests with ``valid`` and ``reason`` (all problems, separated by ``; ``).
 
-    With a universe, a symbol that is not listed in it is a problem too.  Bad
+    With a universe, a symbol that is not listed in it is a problem too; with
+    ``venues``, symbols are read as ``[datasource:]venue:symbol``, a venue that is not
+    in the list is a problem, and the universe lists symbols without venues.  Bad
     requests stay in the result, so one of them does not stop the others.
     """
     problems = request_problems(
         now_ms, look_back_days=look_back_days, with_source="source" in requests.columns
     )
+    symbol = F.col("symbol")
+    if venues is not None:
+        route = route_symbol(symbol)
+        allowed = route["venue"].isin([v.lower() for v in venues]) if venues else F.lit(False)
+        foreign = F.when(~F.coalesce(allowed, F.lit(False)), F.array(F.lit("venue not supported")))
+        problems = F.concat(problems, F.coalesce(foreign, F.array().cast("array<string>")))
+        symbol = route["symbol"]
     if universe is not None:
         listed = (
             universe.select(squash_symbol(F.col("symbol")).alias("_listed"))
@@ -58,7 +68,7 @@ def validate_requests(
             .withColumn("_known", F.lit(True))
         )
         requests = requests.join(
-            listed, squash_symbol(F.col("symbol")) == F.col("_listed"), "left"
+            listed, squash_symbol(symbol) == F.col("_listed"), "left"
         )
         unknown = F.when(F.col("_known").isNull(), F.array(F.lit("symbol not supported")))
         problems = F.concat(problems, F.coalesce(unknown, F.array().cast("array<string>")))

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from seriesmill.functions.timeframe import bucket_start
 from seriesmill.operators.dedupe import keep_first
-from seriesmill.plans import coverage, incremental, runs
-from seriesmill.queries.inputs import FEEDS, NOW_MS, as_table, event_rows, hourly, table
+from seriesmill.plans import coverage, incremental, requests, runs
+from seriesmill.queries.inputs import FEEDS, NOW_MS, as_table, event_rows, hourly, rounded_volume, table
+from seriesmill.queries.series_queries import EV_SQL, ONE_DAY, bars_sql
 from seriesmill.queries.source_queries import VALUES
 from seriesmill.schemas import naive, utc
 from seriesmill.session import work_path
@@ -312,6 +313,30 @@ FROM events WHERE event_type <> 'error' GROUP BY event_type
 """
 
 
+# -- requests by venue ----------------------------------------------------------------
+def request_venues(spark, sf_dir):
+    """Parts as symbols of a venue, their brand; a request to a brand that is not listed is refused."""
+    size = F.col("p_size")
+    symbol = F.when(size % 3 == 0, F.concat("p_brand", F.lit(":"), "p_name")).when(
+        size % 3 == 1, F.concat(F.lit("SpotDataSource:"), F.col("p_brand"), F.lit(":"), F.col("p_name"))
+    ).otherwise(F.col("p_name"))
+    asked = table(spark, sf_dir, "part").select(
+        "p_partkey", symbol.alias("symbol"), F.lit("1d").alias("timeframe"),
+        F.lit(NOW_MS - 3 * _DAY_MS).alias("start_ms"), F.lit(None).cast("bigint").alias("end_ms"),
+    )
+    checked = requests.validate_requests(asked, NOW_MS, venues=["Binance", "Brand#1", "BRAND#2", "Brand#12", "Brand#23"])
+    return checked.select("p_partkey", "valid", "reason")
+
+
+REQUEST_VENUES_SQL = """
+WITH v AS (
+  SELECT p_partkey, CASE WHEN p_size % 3 = 2 THEN 'binance' ELSE lower(p_brand) END
+    IN ('binance', 'brand#1', 'brand#2', 'brand#12', 'brand#23') AS valid FROM part
+)
+SELECT *, CASE WHEN valid THEN '' ELSE 'venue not supported' END AS reason FROM v
+"""
+
+
 # -- documents and files by their ranges -------------------------------------------
 _RECORD = T.StructType(
     [
@@ -456,6 +481,27 @@ SELECT 'u' || user_id AS symbol, date_trunc('hour', ts) AS time, event_type AS f
 FROM events GROUP BY ALL
 """
 
+
+def stream_late_rows(spark, sf_dir):
+    """Daily bars of a feed whose first half comes a second time, with other values, after its bars were closed."""
+    rows = event_rows(spark, sf_dir).select("symbol", "time", "feed", "seq", "value")
+    folder = work_path(spark, "landed")
+    late = rows.filter(F.col("time") < F.lit("2024-01-15").cast("timestamp")).withColumn("value", F.col("value") * 1000)
+    one = rows.limit(1)
+    ahead = [one.withColumn("time", F.lit(f"2025-01-01 {hour}:00:00").cast("timestamp")) for hour in ("01", "02")]
+    # Rows are late for a batch by the watermark that the batch before it started with.
+    for i, own in enumerate((rows, *ahead, late)):
+        own.coalesce(1).write.parquet(f"{folder}/{i}")
+    base = work_path(spark, "late")
+    stream = ingest.landing_stream(spark, f"{folder}/*", rows.schema, files_per_batch=1)
+    bars = ingest.closed_bars(stream, ["symbol"], "1d", "1 hour")
+    ingest.to_parquet(bars, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    out = rounded_volume(spark.read.schema(bars.schema).parquet(f"{base}/rows"))
+    return out.withColumn("time", naive("time"))
+
+
+STREAM_LATE_SQL = f"WITH {EV_SQL}, {bars_sql('bars', ONE_DAY)} SELECT * FROM bars"
+
 QUERIES = {
     "store_index": (store_index, STORE_INDEX_SQL),
     "store_marks": (store_marks, STORE_MARKS_SQL),
@@ -471,5 +517,7 @@ QUERIES = {
     "json_records_range": (json_records_range, JSON_RANGE_SQL),
     "json_records_last": (json_records_last, JSON_LAST_SQL),
     "store_feather_range": (store_feather_range, STORE_FEATHER_RANGE_SQL),
+    "request_venues": (request_venues, REQUEST_VENUES_SQL),
+    "stream_late_rows": (stream_late_rows, STREAM_LATE_SQL),
     "stream_first_wins": (stream_first_wins, STREAM_FIRST_WINS_SQL),
 }
