@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,9 +61,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_owned: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; the innermost :func:`scratch` owns it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes, at its end, the intermediate tables that are made inside.
+
+    For a step whose result is stored, or read to its end, before the block ends:
+
+        with scratch(spark):
+            operator(rows).write.parquet(path)
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:

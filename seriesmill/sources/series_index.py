@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from seriesmill.operators.matching import null_safe_join
 from seriesmill.schemas import SERIES_KEYS, columns
-from seriesmill.session import written_at
+from seriesmill.session import remove, written_at
 
 MONTH = "month"
 PARTITIONS = ["source", "timeframe", MONTH]
@@ -118,8 +118,12 @@ class SeriesIndex:
         return note
 
     def end(self, note: dict) -> None:
+        """The write and its index are done: the note goes, and with it the tables it names."""
         fs, path = self._file_system(f"{self._notes}/{note['name']}")
         fs.delete(path, False)
+        for name in ("staged", "deltas", "emptied"):
+            if note[name]:
+                remove(self.spark, note[name])
 
     def deltas(self, note: dict) -> DataFrame:
         return self.spark.read.schema(SCHEMA).parquet(note["deltas"])

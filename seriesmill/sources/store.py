@@ -24,7 +24,7 @@ from seriesmill.operators.matching import null_safe_join
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
-from seriesmill.session import require_utc, shared_folder, written, written_at
+from seriesmill.session import require_utc, scratch, shared_folder, written, written_at
 from seriesmill.sources.series_index import MONTH, PARTITIONS, SeriesIndex, merged
 
 ROW_KEYS = [*SERIES_KEYS, "time"]
@@ -97,7 +97,8 @@ class SeriesTable:
 
     def append(self, df: DataFrame) -> None:
         """Add rows known to be new."""
-        self.add_rows(written(self._prepared(df), "staged"))
+        with scratch(self.spark):
+            self.add_rows(written(self._prepared(df), "staged"))
 
     def upsert(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
         """Add the rows whose (series, time) is not stored; returns the rows added."""
@@ -132,10 +133,10 @@ class SeriesTable:
 
     def replace(self, df: DataFrame) -> bool:
         """Store ``df`` in place of whatever its series held; an empty frame changes nothing."""
-        prepared = written(self._prepared(df), "replacing")
-        if prepared.isEmpty():
-            return True
-        self._rewrite(prepared.select(*SERIES_KEYS).distinct(), prepared)
+        with scratch(self.spark):
+            prepared = written(self._prepared(df), "replacing")
+            if not prepared.isEmpty():
+                self._rewrite(prepared.select(*SERIES_KEYS).distinct(), prepared)
         return True
 
     def delete(self, keys: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from seriesmill.functions.timeframe import milliseconds_of
 from seriesmill.operators.bars import bar_columns, order_key
 from seriesmill.schemas import SERIES_KEYS, columns
+from seriesmill.session import scratch, written
 from seriesmill.sources.store import SeriesTable
 
 AUDIT = columns(
@@ -85,6 +86,11 @@ def ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            # The source is read once; what follows looks at the stored batch.
+            keep(written(batch, "batch"), batch_id)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
         added = table.new_rows(batch, arrival)
         if audit_path is not None:
             run_id = run_of(batch.sparkSession, checkpoint)

@@ -575,3 +575,22 @@ def test_feather_batches_are_skipped_by_their_ranges(spark, tmp_path, monkeypatc
     # Replacing a dataset replaces its ranges.
     feather.write_feather(rows.limit(10), path)
     assert len([f for f in os.listdir(path) if f.endswith(".ranges")]) == len([f for f in os.listdir(path) if f.endswith(".feather")])
+
+
+def test_writes_leave_no_intermediate_tables(spark, table):
+    from seriesmill.session import scratch, shared_folder, work_path
+
+    def there():
+        return {n for n in os.listdir(shared_folder(spark)) if not n.startswith(".") and "-" in n and len(n) > 33}
+
+    before = there()
+    table.append(series(spark, [("spot", "ETH", "1d", "2024-01-05", 1.0)]))
+    table.replace(series(spark, [("spot", "ETH", "1d", "2024-05-01", 1.5)]))
+    table.delete(keys(spark, ("a/b:c", "BTC", "1h")))
+    table.compact(source="spot", timeframe="1d", month="2024-01")
+    left = {n.rsplit("-", 1)[0] for n in there() - before}
+    assert not left & {"staged", "series-counts", "emptied", "replacing"}
+    with scratch(spark):
+        inner = work_path(spark, "inner")
+        spark.range(3).write.parquet(inner)
+    assert not os.path.exists(inner)
