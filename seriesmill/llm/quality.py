@@ -30,10 +30,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.sketches import bit_filter, shows
+from seriesmill.llm.sketches import bit_filter, in_filter
 from seriesmill.llm.text import (
     _SPACE,
     blocks,
@@ -64,7 +65,7 @@ REPEATED_BITS = 24
 #: Bands, one a language, that are broadcast to all tasks; more are joined by a shuffle.
 BROADCAST_BANDS = 10_000
 #: Distinct n-grams a task gathers before it hands them on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -100,10 +101,11 @@ def _merged(grams: list[np.ndarray], *counts: list[np.ndarray]) -> tuple[np.ndar
     return every, *(np.bincount(inverse, np.concatenate(c)).astype(np.int64) for c in counts)
 
 
-def gram_counts(docs: DataFrame, order: int) -> DataFrame:
+def gram_counts(docs: DataFrame, order: int, without: Broadcast | None = None) -> DataFrame:
     """(lang, gram, n, once) over all documents; tasks add up their own documents first.
 
-    ``n`` counts a row as often as its column ``copies`` says, if there is one; ``once`` counts it once.
+    ``n`` counts a row as often as its column ``copies`` says, if there is one; ``once`` counts
+    it once.  Rows whose column ``key`` shows in the set of bits ``without`` are left to others.
     """
     repeats = "copies" in docs.columns
 
@@ -121,6 +123,8 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
             gathered.clear()
 
         for block in blocks(batches, "text"):
+            if without is not None:
+                block = block.filter(pa.array(~in_filter(without.value, _keys(block))))
             keys, ends = symbols(*text_bytes(block.column("text")), order)
             langs = np.array(language(block.column("lang")), object)
             owner = np.repeat(langs, np.diff(ends)) if len(set(langs)) > 1 else None
@@ -357,8 +361,7 @@ def quality(
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("tkey"),
     )
-    grams = gram_counts(_counted_texts(given), order)
-    counts = written(grams, "gram-counts")
+    counts = written(_all_grams(given, order), "gram-counts")
     model = written(kneser_ney(counts, order), "model")
     once = written(kneser_ney(counts.select("lang", "gram", F.col("once").alias("n")), order), "model-once")
     passes: list[list[str]] = []
@@ -400,20 +403,31 @@ def quality(
     )
 
 
-def _counted_texts(given: DataFrame) -> DataFrame:
-    """(text, lang, copies): every distinct text of a language once.
+def _keys(block: pa.RecordBatch) -> np.ndarray:
+    return block.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
-    A set of bits tells which digests may occur again, so texts that certainly occur
-    once stay where they are; the others meet by digest.
+
+def _all_grams(given: DataFrame, order: int) -> DataFrame:
+    """``gram_counts`` of all texts, where each distinct text of a language counts once in ``once``.
+
+    A set of bits tells which digests may occur again: texts that certainly occur once
+    are counted where they lie, the others meet by digest first.
     """
-    key = F.xxhash64("lang", "tkey")
-    again = given.groupBy("lang", "tkey").agg(F.count("*").alias("n")).filter("n > 1").select(key.alias("key"))
-    marked = given.select("text", "lang", "tkey").withColumn(
-        "again", shows(given, bit_filter(again, "key", REPEATED_BITS), key)
+    keyed = given.select("text", "lang", "tkey", F.xxhash64("lang", "tkey").alias("key"))
+    again = keyed.groupBy("lang", "tkey", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    sent = given.sparkSession.sparkContext.broadcast(bit_filter(again, "key", REPEATED_BITS))
+
+    def repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            yield block.filter(pa.array(in_filter(sent.value, _keys(block))))
+
+    met = (
+        keyed.mapInArrow(repeated, keyed.schema)
+        .groupBy("lang", "tkey")
+        .agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     )
-    met = marked.filter("again").groupBy("lang", "tkey").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    alone = marked.filter("not again").select("text", "lang", F.lit(1).cast("long").alias("copies"))
-    return alone.unionByName(met.select("text", "lang", "copies"))
+    each = gram_counts(keyed, order, sent).unionByName(gram_counts(met, order))
+    return each.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("once").alias("once"))
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:

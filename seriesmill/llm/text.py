@@ -6,6 +6,7 @@ most ``limit`` bytes of text, or one row where that row alone is longer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,7 +33,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def blocks(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The rows again, cut into batches of at most ``limit`` bytes of text."""
+    """The rows again, cut into batches of at most ``limit`` bytes of text.
+
+    At the end, what has been freed goes back to the system: a worker stays for the
+    next task, which may belong to another step.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -43,6 +48,16 @@ def blocks(
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start, before = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()
+    _trim()
+
+
+def _trim() -> None:
+    """Let the C library give back free memory, where it can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
