@@ -72,6 +72,16 @@ def work_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def noted(paths: list[str]):
+    """Notes in ``paths`` the intermediate tables that are made inside, for an owner that outlives the block."""
+    _owned.append(paths)
+    try:
+        yield
+    finally:
+        _owned.pop()
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Removes, at its end, the intermediate tables that are made inside.
@@ -81,11 +91,12 @@ def scratch(spark: SparkSession):
         with scratch(spark):
             operator(rows).write.parquet(path)
     """
-    _owned.append([])
+    paths: list[str] = []
     try:
-        yield
+        with noted(paths):
+            yield
     finally:
-        for path in _owned.pop():
+        for path in paths:
             remove(spark, path)
 
 
