@@ -40,13 +40,22 @@ def landing_stream(
     fmt: str = "parquet",
     glob: str | None = None,
     files_per_batch: int | None = None,
+    bytes_per_batch: str | int | None = None,
 ) -> DataFrame:
-    """New files of a landing folder as a stream with a fixed schema."""
+    """New files of a landing folder as a stream with a fixed schema.
+
+    A batch takes all files that are there unless it is bounded by files or by bytes;
+    a folder with a long backlog should be.
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("a batch is bounded by files or by bytes")
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(path)
 
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,3 +206,17 @@ def test_first_by_key_holds_state_until_its_timer(spark, tmp_path, landing):
         assert sorted((r.time.day, r.value, r.seq) for r in got.collect()) == [(20, 1.0, 60), (21, 3.0, 71)]
     finally:
         spark.conf.set(provider, before)
+
+
+@pytest.mark.parametrize("bound", [{}, {"files_per_batch": 1}, {"bytes_per_batch": 1}])
+def test_batches_are_bounded(spark, tmp_path, landing, bound):
+    land(spark, landing, [("s", "c", "1d", "2024-01-20", 2.0, 70)])
+    land(spark, landing, [("s", "c", "1d", "2024-01-21", 2.0, 71)])
+    files = len([n for n in os.listdir(landing) if n.endswith(".parquet")])
+    stream = ingest.landing_stream(spark, landing, rows(spark, []).schema, **bound)
+    query = ingest.to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == (files if bound else 1)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+    with pytest.raises(ValueError):
+        ingest.landing_stream(spark, landing, rows(spark, []).schema, files_per_batch=1, bytes_per_batch=1)
