@@ -24,7 +24,7 @@ from seriesmill.operators.matching import null_safe_join
 from seriesmill.operators.membership import exists
 from seriesmill.operators.merge import rows_to_add
 from seriesmill.schemas import SERIES_KEYS, check_schema, keyed
-from seriesmill.session import require_utc, scratch, shared_folder, written, written_at
+from seriesmill.session import remove, require_utc, scratch, shared_folder, written, written_at
 from seriesmill.sources.series_index import MONTH, PARTITIONS, SeriesIndex, merged
 
 ROW_KEYS = [*SERIES_KEYS, "time"]
@@ -101,9 +101,19 @@ class SeriesTable:
             self.add_rows(written(self._prepared(df), "staged"))
 
     def upsert(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
-        """Add the rows whose (series, time) is not stored; returns the rows added."""
-        added = self.new_rows(new, arrival)
-        self.add_rows(added)
+        """Add the rows whose (series, time) is not stored; returns the rows added.
+
+        ``new`` is read once: what is looked at again is a staged copy, so an input that
+        is not the same twice adds what it first was.
+        """
+        check_schema(new, self.schema, "rows to store")
+        names = list(dict.fromkeys([*self.schema.fieldNames(), *(arrival or [])]))
+        incoming, path = written_at(new.select(*names), "incoming")
+        try:
+            added = self.new_rows(incoming, arrival)
+            self.add_rows(added)
+        finally:
+            remove(self.spark, path)
         return added.drop(MONTH)
 
     def new_rows(self, new: DataFrame, arrival: list[str] | None = None) -> DataFrame:
@@ -113,7 +123,8 @@ class SeriesTable:
         batch again adds nothing.  Of new rows with one key the first by
         ``arrival`` wins, and of those that tie, or without ``arrival``, the
         least by all columns.  Of the table only the key columns are read, and
-        only in partitions the batch touches.  ``new`` is evaluated twice.
+        only in partitions the batch touches.  ``new`` is evaluated twice, so it should
+        be a stored table; :meth:`upsert` stages it.
         """
         shared_folder(self.spark)
         fields = self.schema.fieldNames()
