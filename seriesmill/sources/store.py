@@ -171,15 +171,19 @@ class SeriesTable:
         self._overwrite(kept.select(*self._stored.fieldNames()), part.select(*PARTITIONS).limit(0))
 
     def _within(self, rows: DataFrame, columns: list[str]) -> DataFrame:
-        """Stored rows of the partitions that ``rows`` lie in.
+        """Stored rows of the partitions that ``rows`` lie in."""
+        return self._scan().filter(self._lying(rows, columns))
+
+    def _lying(self, rows: DataFrame, columns: list[str]) -> Column:
+        """A test for the partitions that ``rows`` lie in.
 
         The partition values become literals, so all other folders are
-        skipped while the scan is planned.
+        skipped while a scan of the table, or of its index, is planned.
         """
         wanted = rows.select(*columns).distinct()
         listed = wanted.limit(_LISTED + 1).collect()
         if len(listed) > _LISTED:
-            return self._scan().filter(self._spanned(wanted, columns))
+            return self._spanned(wanted, columns)
         folders: dict[tuple, list] = {}
         for *folder, last in listed:
             folders.setdefault(tuple(folder), []).append(last)
@@ -191,7 +195,7 @@ class SeriesTable:
             for name, value in zip(columns, folder, strict=False):
                 one = one & (F.col(name).isNull() if value is None else F.col(name) == value)
             test = test | one
-        return self._scan().filter(test)
+        return test
 
     def _spanned(self, wanted: DataFrame, columns: list[str]) -> Column:
         """A test for a superset of many partitions: their months, by source and time frame if these are few."""
@@ -218,7 +222,8 @@ class SeriesTable:
         """
         shared_folder(self.spark)
         self.settle()
-        holding = null_safe_join(self.index_rows(), keys, SERIES_KEYS, "left_semi")
+        near = self.index_rows().filter(self._lying(keys, PARTITIONS[:2]))
+        holding = null_safe_join(near, keys, SERIES_KEYS, "left_semi")
         # One row per table partition.
         affected = holding.select(*PARTITIONS).distinct().checkpoint()
         touched = affected
@@ -290,8 +295,8 @@ class SeriesTable:
 
     # -- catalog -------------------------------------------------------------
     def exists(self, keys: DataFrame) -> DataFrame:
-        """The requested series with ``present``, from the index."""
-        return exists(keys, self.index_rows(), SERIES_KEYS)
+        """The requested series with ``present``, from the index of their sources and time frames."""
+        return exists(keys, self.index_rows().filter(self._lying(keys, PARTITIONS[:2])), SERIES_KEYS)
 
     def series(self, **wanted) -> DataFrame:
         """Per series: first and last time, rows and bytes; ``wanted`` as in :meth:`read`.
