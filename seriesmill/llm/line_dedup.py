@@ -277,23 +277,23 @@ def with_earlier_match(
     all sets are through with the first.
     """
     pairs = written(candidates(entries, threshold), "line-pairs")
-    places = sets.select("s1", "place")
-    placed = pairs.join(places.select(F.col("s1").alias("a_s1"), F.col("place").alias("a_place")), "a_s1").join(
-        places.select(F.col("s1").alias("b_s1"), F.col("place").alias("b_place")), "b_s1"
+    numbers = sets.select("s1", "number")
+    placed = pairs.join(numbers.select(F.col("s1").alias("a_s1"), F.col("number").alias("a_number")), "a_s1").join(
+        numbers.select(F.col("s1").alias("b_s1"), F.col("number").alias("b_number")), "b_s1"
     )
-    first = F.col("a_place") < F.col("b_place")
+    first = F.col("a_number") < F.col("b_number")
     placed = written(
         placed.select(
             F.when(first, F.col("a_s1")).otherwise(F.col("b_s1")).alias("early"),
             F.when(first, F.col("b_s1")).otherwise(F.col("a_s1")).alias("late"),
-            F.when(first, F.col("a_place")).otherwise(F.col("b_place")).alias("place"),
+            F.least("a_number", "b_number").alias("number"),
         ),
         "line-pairs",
     )
     ends = placed.select(F.explode(F.array("early", "late")).alias("s1"))
     wanted = sketches.bit_filter(ends, "s1", FILTER_BITS)
     tokens = written(set_tokens(given, wanted, min_words), "line-tokens")
-    earliest = placed.groupBy("late").agg(F.min_by("early", "place").alias("early"))
+    earliest = placed.groupBy("late").agg(F.min_by("early", "number").alias("early"))
     found = written(similar(earliest, tokens, threshold).select(F.col("late").alias("s1")), "line-matches")
     rest = placed.select("early", "late").join(found.select(F.col("s1").alias("late")), "late", "left_anti")
     more = similar(rest, tokens, threshold).select(F.col("late").alias("s1")).distinct()
@@ -310,7 +310,9 @@ def removed_lines(
     counts, lines = counted_lines(given, min_words, bits)
     place = F.struct("doc_id", "tkey", "line")
     sets = lines.groupBy("s1", "s2").agg(F.min(place).alias("place"), F.max(place).alias("last"))
-    sets = written(sets, "line-sets")
+    # Stored in order of their first lines and numbered so: a pair then carries one number for a place.
+    ordered = sets.repartitionByRange("place").sortWithinPartitions("place")
+    sets = written(ordered.withColumn("number", F.monotonically_increasing_id()), "line-sets")
     firsts = sketches.bit_filter(sets.select(place_key("place").alias("key")), "key", FILTER_BITS)
     entries = prefix_entries(given, firsts, levels(counts), threshold, min_words)
     matched = with_earlier_match(given, sets, entries, threshold, min_words).withColumn("all", F.lit(True))
