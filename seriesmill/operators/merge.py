@@ -28,11 +28,13 @@ def rows_to_add(
     The join runs on the whole key, time included, so a series that makes up
     much of the table is still spread over all tasks.  The key is one struct:
     structs with a null at the same place are equal, and one shuffle by it
-    serves both steps.
+    serves both steps.  Stored keys lie in small files and are large once read, so
+    they are merged in order, never broadcast: a task holds its share of them.
     """
     key = F.struct(*keys)
     first = keep_first(new.withColumn("_key", key), ["_key"], arrival)
-    return first.join(stored.select(key.alias("_key")), "_key", "left_anti").drop("_key")
+    known = stored.select(key.alias("_key")).hint("merge")
+    return first.join(known, "_key", "left_anti").drop("_key")
 
 
 def merge_upsert(

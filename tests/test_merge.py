@@ -30,6 +30,13 @@ def test_dedupe_cuts_before_the_shuffle(spark, plan_of):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
+def test_stored_keys_are_not_broadcast(spark, plan_of):
+    """However small the stored files look, a task holds its share of their keys, not all of them."""
+    stored, new = frame(spark, [("a", 1, 1.0, 1)]), frame(spark, [("a", 2, 9.0, 3)])
+    plan = plan_of(merge.rows_to_add(stored, new, ["symbol", "time"], ["seq"]))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stored_rows_win(spark):
     stored = frame(spark, [("a", 1, 1.0, 1), ("a", 2, 2.0, 2)])
     new = frame(spark, [("a", 2, 9.0, 3), ("a", 3, 3.0, 4), ("a", 3, 4.0, 5), ("b", 1, 5.0, 6)])
