@@ -21,6 +21,8 @@ from seriesmill.session import shared_folder, written
 
 PIECE = "_piece"
 ROWS_PER_TASK = 5_000_000
+# Pieces smaller than this are cut several in one task, so that tasks follow rows, not pieces.
+ROWS_PER_CUT = 250_000
 # Keys of long series: at most rows / ROWS_PER_TASK of them exist; they are
 # broadcast up to this count and shuffled beyond it.
 BROADCAST_KEYS = 100_000
@@ -70,10 +72,17 @@ def cut_pieces(
     """``df`` with a piece number; pieces are contiguous in (series, order).
 
     The range exchange balances by sampled row counts, so one dominant series
-    or one crowded stretch of time is spread like any other.  The result is
+    or one crowded stretch of time is spread like any other.  Where pieces are small, a
+    task of the exchange holds many of them and cuts them by row number.  The result is
     checkpointed, because piece numbers must stay the same however often a
     task is run again.
     """
-    pieces = max(2, -(-2 * rows // rows_per_task))
-    ranged = df.repartitionByRange(pieces, *[F.col(c) for c in [*series, *order]])
-    return written(ranged.withColumn(PIECE, F.spark_partition_id()), "pieces")
+    by = [F.col(c) for c in [*series, *order]]
+    tasks = max(2, -(-2 * rows // max(rows_per_task, ROWS_PER_CUT)))
+    ranged = df.repartitionByRange(tasks, *by)
+    piece = F.spark_partition_id().cast("long")
+    if rows_per_task < ROWS_PER_CUT:
+        # The task's number in the upper bits, the row's number in the lower 33: pieces end with their task.
+        ranged = ranged.sortWithinPartitions(*by)
+        piece = F.expr(f"monotonically_increasing_id() div {max(1, rows_per_task // 2)}")
+    return written(ranged.withColumn(PIECE, piece), "pieces")

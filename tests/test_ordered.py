@@ -86,6 +86,18 @@ def test_long_series_are_cut_evenly(spark):
     assert sum(sizes) == 4000 and len(sizes) >= 8 and max(sizes) < 1200
 
 
+def test_small_pieces_share_a_task(spark):
+    """Many pieces don't make many tasks; they are contiguous, whole, and no longer than asked for."""
+    data = [(s, t, float(t), "x") for s in ("a", "b", None) for t in range(2000)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    pieces = skew.cut_pieces(df, ["symbol"], ["t"], 6000, 20)
+    assert pieces.rdd.getNumPartitions() <= 4 and len(pieces.inputFiles()) <= 4
+    cut = pieces.toPandas()
+    assert len(cut) == 6000 and cut.groupby(skew.PIECE).size().max() <= 20
+    cut["symbol"] = cut["symbol"].fillna("")
+    assert cut.sort_values(["symbol", "t"])[skew.PIECE].is_monotonic_increasing
+
+
 def test_null_series_keys_are_kept(spark):
     data = [(None, t, 1.0 if t == 0 else None, "x") for t in range(60)]
     data += [("a", t, 2.0 if t == 0 else None, "x") for t in range(5)]
