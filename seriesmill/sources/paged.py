@@ -25,6 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from seriesmill.sources.paths import list_below, qualified, system_of
 
 PAGES_PER_TASK = 100
+_DEALT = 10
 _ROUND = "round="
 
 
@@ -36,14 +37,21 @@ class PlanFile(InputPartition):
 def write_plan(pages: DataFrame, path: str, *, pages_per_task: int = PAGES_PER_TASK) -> int:
     """Add the pages of a plan as the next round of the plan folder; returns its number.
 
-    Pages are dealt out by series and number, so that no task has only one venue's or
-    one long series' pages.
+    Pages are dealt out by series and number, ``_DEALT`` of a series at a time, so that no
+    task has only one venue's or one long series' pages, and a source that keeps what
+    it has opened can answer several pages from it.
     """
     number = last_round(qualified(pages.sparkSession, path)) + 1
-    tasks = max(1, -(-pages.count() // pages_per_task))
-    by = [c for c in pages.columns if c in ("source", "symbol", "timeframe", "page_no")]
+    series = [F.col(c) for c in pages.columns if c in ("source", "symbol", "timeframe")]
+    block = [F.floor(F.col("page_no") / _DEALT)] if "page_no" in pages.columns else []
+    order = ["page_no"] if block else []
+    deal = F.xxhash64(*(series + block or pages.columns))
+    # Files, not tasks of the write, are the partitions of the source: as many tasks write them as the session likes.
     (
-        pages.repartition(tasks, *[F.col(c) for c in by])
+        pages.withColumn("_deal", deal)
+        .repartition("_deal")
+        .sortWithinPartitions("_deal", *series, *order)
+        .drop("_deal")
         .write.option("maxRecordsPerFile", pages_per_task)
         .parquet(f"{path}/{_ROUND}{number:08d}")
     )
@@ -86,12 +94,13 @@ def paged_source(name: str, schema: T.StructType, fetch: Callable[[dict], Iterab
     def rows(partition: PlanFile) -> Iterator[tuple]:
         import pyarrow.parquet as pq
 
+        names = schema.fieldNames()
         system, path = system_of(partition.uri)
         with system.open_input_file(path) as handle:
             for batch in pq.ParquetFile(handle).iter_batches(batch_size=64):
                 for page in batch.to_pylist():
                     for row in fetch(page):
-                        yield tuple(row.get(f) for f in schema.fieldNames())
+                        yield tuple(row.get(f) for f in names)
 
     class Reader(DataSourceReader):
         def __init__(self, uri: str):
@@ -151,14 +160,30 @@ def stream_pages(spark: SparkSession, source: type[DataSource], path: str) -> Da
     return spark.readStream.format(source.name()).load(qualified(spark, path))
 
 
-LANDED_BUCKETS = 16
+ROWS_PER_BUCKET = 100_000
+# Row groups of a landed history: what a page reads at least.
+_ROW_GROUP = 256 << 10
+_BUCKETS = "buckets="
+_AT = "_at"
 
 
 def land_history(rows: DataFrame, path: str) -> None:
-    """Rows of many symbols as a history that :func:`landed_pages` answers from, in buckets of symbols."""
-    bucket = (F.crc32(F.col("symbol")) % LANDED_BUCKETS).alias("bucket")
-    dealt = rows.select("*", bucket).repartition("bucket").sortWithinPartitions("bucket", "symbol", "time")
-    dealt.write.partitionBy("bucket").parquet(path)
+    """Rows of many symbols as a history that :func:`landed_pages` answers from.
+
+    Symbols lie in buckets, whose number follows the rows, in order of symbol and time, so
+    that what a page opens and reads does not grow with the history.
+    """
+    buckets = max(1, -(-rows.count() // ROWS_PER_BUCKET))
+    by = ["bucket", "symbol", _AT]
+    (
+        rows.withColumn("bucket", F.crc32(F.col("symbol")) % buckets)
+        .withColumn(_AT, F.unix_micros(F.col("time").cast("timestamp")))
+        .repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .write.option("parquet.block.size", _ROW_GROUP)
+        .partitionBy("bucket")
+        .parquet(f"{path}/{_BUCKETS}{buckets}")
+    )
 
 
 def landed_pages(uri: str, columns: list[str]) -> Callable[[dict], list[dict]]:
@@ -167,43 +192,58 @@ def landed_pages(uri: str, columns: list[str]) -> Callable[[dict], list[dict]]:
     Gives the first ``page_limit`` rows from ``page_start_ms`` to ``page_end_ms``, both
     ends included, in order of time, as a venue would.
     """
+    payload = [c for c in columns if c != "time"]
     held: dict = {}
 
-    def history(symbol: str) -> list:
-        """The row groups of a symbol's bucket, kept while pages ask for the same bucket."""
-        import pyarrow as pa
+    def row_groups(symbol: str) -> list[tuple]:
+        """(path, number, symbols, times) of the row groups of a symbol's bucket, kept while pages ask for the same one."""
         import pyarrow.parquet as pq
-
-        bucket = zlib.crc32(symbol.encode()) % LANDED_BUCKETS
-        if bucket not in held:
-            system, _ = system_of(uri)
-            tables = []
-            for path, _ in list_below(f"{uri}/bucket={bucket}", ".parquet"):
-                with system.open_input_file(path) as handle:
-                    table = pq.ParquetFile(handle).read(["symbol", *columns])
-                # Files hold times in several units, with a zone or without; microseconds serve all.
-                micros = table["time"].cast(pa.timestamp("us"), safe=False).cast(pa.int64())
-                tables.append(table.set_column(table.schema.get_field_index("time"), "time", micros))
-            held.clear()
-            held[bucket] = tables
-        return held[bucket]
+        from pyarrow import fs
+
+        system, root = system_of(uri)
+        if "folder" not in held:
+            (held["folder"],) = [f.base_name for f in system.get_file_info(fs.FileSelector(root)) if _BUCKETS in f.base_name]
+        bucket = zlib.crc32(symbol.encode()) % int(held["folder"].removeprefix(_BUCKETS))
+        if held.get("bucket") == bucket:
+            return held["groups"]
+        groups = []
+        for path, _ in list_below(f"{uri}/{held['folder']}/bucket={bucket}", ".parquet"):
+            with system.open_input_file(path) as handle:
+                meta = pq.ParquetFile(handle).metadata
+            places = {meta.schema.column(i).name: i for i in range(len(meta.schema))}
+            for number in range(meta.num_row_groups):
+                known = [meta.row_group(number).column(places[name]).statistics for name in ("symbol", _AT)]
+                ends = [(k.min, k.max) if k is not None and k.has_min_max else None for k in known]
+                groups.append((path, number, *ends))
+        held.update(bucket=bucket, groups=groups, tables={})
+        return groups
 
     def fetch(page: dict) -> list[dict]:
         import datetime
 
         import pyarrow.compute as pc
+        import pyarrow.parquet as pq
 
         epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
-        start, end = page["page_start_ms"] * 1000, page["page_end_ms"] * 1000
-        found = []
-        for table in history(page["symbol"]):
-            own = pc.equal(table["symbol"], page["symbol"])
-            inside = pc.and_(pc.greater_equal(table["time"], start), pc.less_equal(table["time"], end))
+        symbol, start, end = page["symbol"], page["page_start_ms"] * 1000, page["page_end_ms"] * 1000
+        system, _ = system_of(uri)
+        found, opened = [], {}
+        for path, number, symbols, times in row_groups(symbol):
+            if symbols and not symbols[0] <= symbol <= symbols[1] or times and (times[1] < start or times[0] > end):
+                continue
+            table = held["tables"].get((path, number))
+            if table is None:
+                with system.open_input_file(path) as handle:
+                    table = pq.ParquetFile(handle).read_row_group(number, ["symbol", _AT, *payload], use_threads=False)
+            opened[path, number] = table
+            own = pc.equal(table["symbol"], symbol)
+            inside = pc.and_(pc.greater_equal(table[_AT], start), pc.less_equal(table[_AT], end))
             found += table.filter(pc.and_(own, inside)).to_pylist()
-        found.sort(key=lambda row: row["time"])
+        held["tables"] = opened
+        found.sort(key=lambda row: row[_AT])
         return [
             {**row, "timeframe": page["timeframe"], "page_no": page["page_no"],
-             "time": epoch + datetime.timedelta(microseconds=row["time"])}
+             "time": epoch + datetime.timedelta(microseconds=row[_AT])}
             for row in found[: page["page_limit"]]
         ]
 

@@ -1,6 +1,9 @@
 """Own sources read page by page, as a table and as a stream."""
 
+import datetime
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.sources import paged, paths
@@ -69,3 +72,46 @@ def test_a_failing_page_is_an_error(spark, tmp_path, source):
     paged.write_plan(pages(spark, ("broken", 0, 0, 2)), plan)
     with pytest.raises(Exception, match="venue is down"):
         paged.read_pages(spark, source, plan).collect()
+
+
+def test_a_task_gets_neighbouring_pages_of_a_series(spark, tmp_path):
+    plan = str(tmp_path / "plan")
+    paged.write_plan(pages(spark, *[(f"s{i}", n, n, n + 1) for i in range(60) for n in range(40)]), plan, pages_per_task=20)
+    read = spark.read.parquet(f"{plan}/round=00000000").withColumn("file", F.input_file_name())
+    held = read.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("symbol", F.floor(F.col("page_no") / 10)).alias("stretches"))
+    held = held.toPandas()
+    assert held["n"].sum() == 2400 and held["n"].max() <= 20
+    # Two whole stretches, or the ends of some; one by one there were up to twenty.
+    assert held["stretches"].max() <= 4
+    series = read.groupBy("symbol").agg(F.countDistinct("file").alias("files")).toPandas()
+    assert (series["files"] > 1).all()
+
+
+def test_pages_of_a_landed_history(spark, tmp_path, monkeypatch):
+    """Buckets follow the rows, a page reads the row groups that can hold its rows, and gets what a venue gives."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(paged, "ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(paged, "_ROW_GROUP", 512)
+    count = {"long": 3000, "a": 1, "b": 40, "\u00e4\U0001f600": 25, "": 7}
+    data = [(s, i * 10, float(i)) for s, n in count.items() for i in range(n)] + [("b", None, 1.0), (None, 10, 2.0)]
+    rows = spark.createDataFrame(data, "symbol string, ms long, value double")
+    history = str(tmp_path / "venue")
+    paged.land_history(rows.select("symbol", F.timestamp_millis("ms").alias("time"), "value"), history)
+    assert (tmp_path / "venue" / "buckets=31").is_dir()
+
+    read = []
+    real = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda *a, **k: read.append(1) or real(*a, **k))
+    fetch = paged.landed_pages(paths.qualified(spark, history), ["time", "value"])
+    epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+    for symbol in [*count, "absent", "b"]:
+        for start, end, limit in ((0, 10**6, 5), (95, 400, 100), (29_990, 29_990, 3), (-50, -1, 9), (10, 5, 9)):
+            page = {"symbol": symbol, "timeframe": "1h", "page_no": 4, "page_start_ms": start, "page_end_ms": end, "page_limit": limit}
+            got = fetch(page)
+            wanted = [i for i in range(count.get(symbol, 0)) if start <= i * 10 <= end][:limit]
+            assert [(r["symbol"], r["value"], r["page_no"]) for r in got] == [(symbol, float(i), 4) for i in wanted]
+            assert [r["time"] for r in got] == [epoch + datetime.timedelta(milliseconds=i * 10) for i in wanted]
+    read.clear()
+    late = {"symbol": "long", "timeframe": "1h", "page_no": 0, "page_start_ms": 29_000, "page_end_ms": 29_100, "page_limit": 9}
+    assert len(fetch(late)) == 9 and len(read) <= 2
