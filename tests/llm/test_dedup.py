@@ -67,6 +67,58 @@ def test_merged_transforms_find_repeats():
         suffixes.repeated_starts([b"a"], [1], 20, 10)
 
 
+def plain_stretches(texts, data, length, gram):
+    """Runs of starts whose smallest gram, the last of equal ones, is at one place."""
+    every = span_hashes_of_grams(data, gram)
+    out, offset = [], 0
+    for row, text in enumerate(texts):
+        runs = {}
+        for start in range(offset, offset + len(text) - length + 1):
+            at = min(range(start, start + length - gram + 1), key=lambda i: (every[i] >> 24, -i))
+            runs.setdefault(at, []).append(start)
+        out += [(every[at], at, min(s), max(s), row) for at, s in runs.items()]
+        offset += len(text)
+    return out
+
+
+def span_hashes_of_grams(data, gram):
+    """The hash that stretches are anchored by, of every gram, from a text of it alone."""
+    return [
+        int(suffixes.anchored(data[i : i + gram], np.array([0, gram]), gram, gram)[0][0])
+        for i in range(len(data) - gram + 1)
+    ]
+
+
+def test_stretches_have_one_anchor():
+    draw = random.Random(9)
+    for _ in range(40):
+        length, gram = draw.choice([(24, 8), (16, 16), (40, 8)])
+        texts = [
+            bytes(draw.choice(b"ab") for _ in range(draw.choice([0, 1, length - 1, length, length + 1, 90])))
+            for _ in range(draw.randint(0, 6))
+        ]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.cumsum([0, *map(len, texts)])
+        found = suffixes.anchored(data, offsets, length, gram)
+        assert list(zip(*(x.tolist() for x in found))) == plain_stretches(texts, data, length, gram)
+
+
+def test_marks_cover_what_their_starts_cover():
+    draw = random.Random(4)
+    for _ in range(40):
+        size, length, marks, plain = 200, 16, [], set()
+        for _ in range(draw.randint(0, 4)):
+            starts = draw.randint(1, 50)
+            start = draw.randint(0, size - starts - length + 1)
+            flags = [draw.random() < 0.3 for _ in range(starts)] if draw.random() < 0.6 else None
+            marks.append({"start": start, "starts": starts, "flags": flags and np.packbits(flags).tobytes()})
+            for i in range(starts):
+                if flags is None or flags[i]:
+                    plain.update(range(start + i, start + i + length))
+        marks += marks[:1]
+        assert np.flatnonzero(suffixes._covered(size, marks, length)).tolist() == sorted(plain)
+
+
 def cut(rows, length):
     """Brute force: (row, bytes left, bytes removed) for texts in order."""
     texts = [(t or "").encode() for _, t in rows]
