@@ -35,13 +35,16 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import sketches
 from seriesmill.llm.text import blocks, line_spans, lowered, mixed, span_hashes, text_bytes, word_spans
-from seriesmill.llm.storage import written
+from seriesmill.llm.storage import release, written
+from seriesmill.session import remove, written_at
 
 THRESHOLD = 0.8
 MIN_WORDS = 1
 #: Cells of the count table: 2 ** 22, four megabytes when sent to the tasks.
 COUNT_BITS = 22
 FILTER_BITS = 26
+#: Longs in the wide bitmap of a set, which tells sets of some hundred words apart.
+WIDE = 8
 LINES = "doc_id long, tkey long, line int, s1 long, s2 long"
 ENTRIES = "token int, s1 long, bits long, n int, at int"
 
@@ -111,6 +114,15 @@ class LineSets:
         return row, self.line - (np.cumsum(self.lines_of) - self.lines_of)[row]
 
 
+def wide_bitmaps(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Sets, which ``first`` cuts from ``token``, as ``64 * WIDE`` bits, one bit a word."""
+    place = mixed(token ^ np.uint64(0x9FB21C651E98DF25))
+    part = (place >> np.uint64(6)) % np.uint64(WIDE)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    out = [np.where(part == i, bit, np.uint64(0)) for i in range(WIDE)]
+    return [np.bitwise_or.reduceat(x, first) if len(first) else x for x in out]
+
+
 def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
     """Words that a set of n must share with any set as similar."""
     return np.ceil(threshold * n - 1e-9).astype(np.int64)
@@ -230,7 +242,7 @@ def candidates(entries: DataFrame, threshold: float) -> DataFrame:
 
 
 def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:
-    """(s1, tokens) of the lines whose digest is in the filter ``wanted``."""
+    """(s1, n, w0, w1, ..., tokens) of the lines whose digest is in the filter ``wanted``; the w are a wide bitmap."""
     sent = given.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,21 +254,42 @@ def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFram
             flag = np.zeros(len(s1), bool)
             flag[one] = True
             cuts = np.concatenate([[0], np.cumsum(sets.n[flag])])
+            words = sets.token[np.repeat(flag, sets.n)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(s1[flag].view(np.int64)),
-                    pa.ListArray.from_arrays(
-                        pa.array(cuts.astype(np.int32)), pa.array(sets.token[np.repeat(flag, sets.n)].view(np.int64))
-                    ),
+                    pa.array(sets.n[flag].astype(np.int32)),
+                    *(pa.array(x.view(np.int64)) for x in wide_bitmaps(words, cuts[:-1])),
+                    pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(words.view(np.int64))),
                 ],
-                names=["s1", "tokens"],
+                names=["s1", "n", *wide, "tokens"],
             )
 
-    return given.select("text").mapInArrow(run, "s1 long, tokens array<long>").groupBy("s1").agg(
-        F.first("tokens").alias("tokens")
+    wide = [f"w{i}" for i in range(WIDE)]
+    kinds = ", ".join(["s1 long", "n int", *(f"{w} long" for w in wide), "tokens array<long>"])
+    return given.select("text").mapInArrow(run, kinds).groupBy("s1").agg(
+        *(F.first(c).alias(c) for c in ["n", *wide, "tokens"])
     )
 
 
+def close(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (early, late) that their wide bitmaps allow to be as similar; all similar ones are among them.
+
+    Most pairs that share a rare word are not similar.  A bitmap is a tenth of a
+    long line's words, so these pairs go without the words ever crossing an exchange.
+    """
+    wide = [f"w{i}" for i in range(WIDE)]
+    a, b = (
+        tokens.select(F.col("s1").alias(end), *(F.col(c).alias(f"{side}_{c}") for c in ["n", *wide]))
+        for end, side in (("early", "a"), ("late", "b"))
+    )
+    both = F.col("a_n") + F.col("b_n")
+    shared = F.ceil(F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9))
+    # Each bit that only one set has stands for a word that only this set has.
+    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in wide), F.lit(0))
+    return pairs.join(b, "late").join(a, "early").filter(apart <= both - 2 * shared).select("early", "late")
+
+
 def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
     """The pairs (early, late) whose sets have Jaccard ``threshold`` or more."""
     a = tokens.select(F.col("s1").alias("early"), F.col("tokens").alias("a_tokens"))
@@ -274,15 +307,17 @@ def with_earlier_match(
 
     Of a set's earlier candidates the earliest is verified first; only sets that
     it does not match go on to all their others.  In a group of copies nearly
-    all sets are through with the first.
+    all sets are through with the first.  What is done with is removed at once.
     """
-    pairs = written(candidates(entries, threshold), "line-pairs")
+    spark = given.sparkSession
+    pairs, unplaced = written_at(candidates(entries, threshold), "line-pairs")
+    release(spark)
     numbers = sets.select("s1", "number")
     placed = pairs.join(numbers.select(F.col("s1").alias("a_s1"), F.col("number").alias("a_number")), "a_s1").join(
         numbers.select(F.col("s1").alias("b_s1"), F.col("number").alias("b_number")), "b_s1"
     )
     first = F.col("a_number") < F.col("b_number")
-    placed = written(
+    placed, placed_at = written_at(
         placed.select(
             F.when(first, F.col("a_s1")).otherwise(F.col("b_s1")).alias("early"),
             F.when(first, F.col("b_s1")).otherwise(F.col("a_s1")).alias("late"),
@@ -290,14 +325,20 @@ def with_earlier_match(
         ),
         "line-pairs",
     )
+    remove(spark, unplaced)
+    release(spark)
     ends = placed.select(F.explode(F.array("early", "late")).alias("s1"))
     wanted = sketches.bit_filter(ends, "s1", FILTER_BITS)
-    tokens = written(set_tokens(given, wanted, min_words), "line-tokens")
+    tokens, tokens_at = written_at(set_tokens(given, wanted, min_words), "line-tokens")
+    release(spark)
     earliest = placed.groupBy("late").agg(F.min_by("early", "number").alias("early"))
     found = written(similar(earliest, tokens, threshold).select(F.col("late").alias("s1")), "line-matches")
     rest = placed.select("early", "late").join(found.select(F.col("s1").alias("late")), "late", "left_anti")
-    more = similar(rest, tokens, threshold).select(F.col("late").alias("s1")).distinct()
-    return found.unionByName(written(more, "line-matches"))
+    rest = written(close(rest, tokens, threshold), "line-pairs")
+    more = written(similar(rest, tokens, threshold).select(F.col("late").alias("s1")).distinct(), "line-matches")
+    for path in (placed_at, tokens_at):
+        remove(spark, path)
+    return found.unionByName(more)
 
 
 def removed_lines(

@@ -1,5 +1,6 @@
 """Near duplicates, repeated passages and lines against brute force."""
 
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 
 from seriesmill.llm import line_dedup, near_dups, queries, sketches, suffixes
+from seriesmill.session import written_at
 from seriesmill.llm.text import line_spans, span_hashes, word_spans
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -215,6 +217,37 @@ def test_line_join_is_exact(spark, seed):
         assert {(r["row"]["doc_id"], r["row"]["text"]): r["text"] for r in found} == wanted
 
 
+def test_wide_bitmaps_leave_out_pairs_that_are_not_similar(spark):
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(90)]
+    lines = [words + [f"x{i}" for i in range(40 * k, 40 * k + 40)] for k in range(3)]
+    lines += [words + [f"y{draw.random()}" for _ in range(k)] for k in (5, 12)]
+    texts = spark.createDataFrame([(" ".join(x),) for x in lines], "text string")
+    tokens = line_dedup.set_tokens(texts, np.full(1 << 13, 255, np.uint8), 1).localCheckpoint()
+    by_size = {r["n"]: r["s1"] for r in tokens.collect()}
+    keys = [r["s1"] for r in tokens.collect()]
+    pairs = spark.createDataFrame([p for p in combinations(keys, 2)], "early long, late long")
+    alike = {frozenset(r) for r in line_dedup.similar(pairs, tokens, 0.8).collect()}
+    left = {frozenset(r) for r in line_dedup.close(pairs, tokens, 0.8).collect()}
+    assert alike == {frozenset((by_size[95], by_size[102]))}
+    assert alike <= left and len(left) < 6
+
+
+def test_join_of_lines_leaves_no_words_or_pairs_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "written_at", lambda df, label: kept(df, label))
+    made = []
+
+    def kept(df, label):
+        out, path = written_at(df, label)
+        made.append(path.removeprefix("file:"))
+        return out, path
+
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 20))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.dedup_lines(docs).agg({"n_removed": "sum"}).first()[0] == 5
+    assert len(made) == 3 and not any(os.path.exists(path) for path in made)
+
+
 def test_line_edges(spark):
     docs = fixtures.edges(spark, clashing=True)
     wanted = line_cut(keyed(spark, [(k, t) for k, t, *_ in fixtures.EDGES]))
