@@ -53,9 +53,10 @@ def pieces(
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), Counter()
-        for block, rows in encoded(batches, "text", tokenizer, end_id):
+        for block, every, ends in encoded(batches, "text", tokenizer, end_id):
             out = []
-            for doc_id, ids in zip(block.column("doc_id").to_pylist(), rows):
+            for doc_id, first, last in zip(block.column("doc_id").to_pylist(), ends.tolist(), ends[1:].tolist()):
+                ids = every[first:last]
                 for start, length in cuts(len(ids), size):
                     piece = ids[start : start + length]
                     row = [doc_id, start, length, zlib.crc32(piece.astype("<u4")), len(ids), part, seen[length]]

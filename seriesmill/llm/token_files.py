@@ -49,19 +49,14 @@ def write_tokens(
 
     def ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for block, rows in encoded(batches, "text", tokenizer, end_id):
-            lengths = np.array([len(r) for r in rows], np.int64)
-            ends = np.concatenate([[0], np.cumsum(lengths)])
+        for block, own, ends in encoded(batches, "text", tokenizer, end_id):
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
-                    pa.array(np.full(len(rows), part, np.int32)),
+                    pa.array(np.full(block.num_rows, part, np.int32)),
                     pa.array(before + ends[:-1]),
-                    pa.array(lengths),
-                    pa.ListArray.from_arrays(
-                        pa.array(ends.astype(np.int32)),
-                        pa.array(np.concatenate(rows).astype(np.int32)),
-                    ),
+                    pa.array(np.diff(ends)),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(own.view(np.int32))),
                 ],
                 names=["doc_id", "part", "before", "n_tokens", "ids"],
             )

@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 import fixtures
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from seriesmill.llm import bpe, packing, queries, token_files
+from seriesmill.llm import bpe, packing, queries, token_files, tokens
 from seriesmill.llm.tokens import TextEncoder
 
 ODD = [
@@ -41,6 +42,37 @@ def test_memo_encoder_equals_the_library(spark, name):
         assert own.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_rows_are_encoded_as_each_alone(spark, name):
+    own, whole = TextEncoder(public_tokenizers.path(name)), library(name)
+    odd = ["a \x85b", "a \u2003b c", "a  \u3000 b", "x ", " y", "x \n", " ", None, "", "a \x1cb", " É", "日 本 "]
+    texts = ODD + odd + [t for _, t in fixtures.texts(spark)][:300] + odd[::-1]
+    column = pa.array(["before", *texts], pa.string())[1:]
+    ids, ends = own.encode_rows(column)
+    assert len(ends) == len(texts) + 1 and ends[0] == 0 and ends[-1] == len(ids)
+    for text, a, b in zip(texts, ends, ends[1:]):
+        assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+    ids, ends = own.encode_rows(pa.array([], pa.string()))
+    assert len(ids) == 0 and ends.tolist() == [0]
+
+
+def test_a_block_looks_up_each_piece_once(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def __missing__(self, key):
+            Counted.asked += 1
+            return np.array([len(key)], np.uint32).tobytes()
+
+    own = TextEncoder(queries.BYTE_JSON)
+    own.ids = Counted()
+    block = pa.record_batch([pa.array(["one two", "one two two", None, "one"])], names=["text"])
+    monkeypatch.setattr(tokens, "encoder", lambda path: own)
+    ((_, ids, ends),) = tokens.encoded([block], "text", queries.BYTE_JSON)
+    assert Counted.asked == 2
+    assert ids.tolist() == [3, 4, 2, 3, 4, 4, 2, 2, 3, 2] and ends.tolist() == [0, 3, 7, 8, 10]
+
+
 def test_memo_keeps_its_bound(monkeypatch):
     from seriesmill.llm import tokens
 
