@@ -47,6 +47,7 @@ from seriesmill.llm.text import (
     word_spans,
 )
 from seriesmill.llm.storage import written
+from seriesmill.llm.tokens import forget
 
 ORDER = 4
 EDGE = 10  # stands before and after a text; white space inside is always a space
@@ -110,6 +111,7 @@ def gram_counts(docs: DataFrame, order: int, without: Broadcast | None = None) -
     repeats = "copies" in docs.columns
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         gathered: dict[str, tuple[list, list, list]] = {}
         size = 0
 
@@ -418,6 +420,7 @@ def _all_grams(given: DataFrame, order: int) -> DataFrame:
     sent = given.sparkSession.sparkContext.broadcast(bit_filter(again, "key", REPEATED_BITS))
 
     def repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for block in blocks(batches, "text"):
             yield block.filter(pa.array(in_filter(sent.value, _keys(block))))
 

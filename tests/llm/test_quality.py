@@ -5,9 +5,10 @@ from collections import Counter, defaultdict
 
 import fixtures
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from seriesmill.llm import quality, queries
+from seriesmill.llm import quality, queries, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -173,3 +174,23 @@ def test_quality_edges(spark, monkeypatch):
     few = quality.gram_counts(docs.select(F.coalesce("text", F.lit("")).alias("text"), "lang").fillna({"lang": ""}), 3)
     total = sum(len(grams(t, 3)) for _, t, *_ in fixtures.EDGES)
     assert few.agg({"n": "sum"}).first()[0] == total
+
+
+def test_counting_drops_the_encoders_of_other_steps(spark):
+    docs, tasks = fixtures.empty(spark).repartition(1), []
+
+    def both(batches):
+        tokens.encoder(queries.WORD_JSON)
+        for _ in tasks[0](batches):
+            pass
+        yield pa.record_batch([pa.array([tokens.encoder.cache_info().currsize])], names=["left"])
+
+    class Given:
+        columns = docs.columns
+
+        def mapInArrow(self, task, schema):
+            tasks.append(task)
+            return docs.limit(0).mapInArrow(task, schema)
+
+    quality.gram_counts(Given(), 4)
+    assert [r["left"] for r in docs.mapInArrow(both, "left long").collect()] == [0]
