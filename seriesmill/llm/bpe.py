@@ -116,8 +116,11 @@ def pretokens(chunk: str, split: regex.Pattern) -> list[str]:
     return split.findall(chunk)
 
 
-def _explode(groups: int, pattern: str):
-    """Documents to word numbers by position, and words by group."""
+def _explode(groups: int, pattern: str, positions: bool):
+    """Documents to word numbers by position, or else words by group.
+
+    Both number the words of a block alike.  For the words each distinct piece is looked at once.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern)
@@ -130,24 +133,35 @@ def _explode(groups: int, pattern: str):
 
             memo = Memo(numbers)
             texts = block.column("text").to_pylist()
-            streams = [
-                np.frombuffer(b"".join(map(memo.__getitem__, space_chunks(t))) if t else b"", np.uint32)
-                for t in texts
-            ]
+            if positions:
+                streams = [
+                    np.frombuffer(b"".join(map(memo.__getitem__, space_chunks(t))) if t else b"", np.uint32)
+                    for t in texts
+                ]
+            else:
+                pieces: dict[str, None] = {}
+                for t in texts:
+                    pieces.update(dict.fromkeys(space_chunks(t) if t else ()))
+                for chunk in pieces:
+                    for w in pretokens(chunk, split):
+                        words.setdefault(w, len(words))
             spelled = [w.encode() for w in words]
             part = np.array([zlib.crc32(w) for w in spelled], np.int64) % groups
             order = np.argsort(part, kind="stable")
-            # Number the words by group, so that the groups' answers line up end to end.
-            place = np.empty(len(order), np.uint32)
-            place[order] = np.arange(len(order), dtype=np.uint32)
-            rows = [
-                (number, None, i, key, _squeezed(place[s]))
-                for i, (key, s) in enumerate(zip(block.column("doc_id").to_pylist(), streams))
-            ]
-            cuts = np.searchsorted(part[order], np.arange(groups + 1))
-            for p in np.flatnonzero(np.diff(cuts)).tolist():
-                own = _pack_words([spelled[i] for i in order[cuts[p] : cuts[p + 1]]])
-                rows.append((number, p, None, None, own))
+            if positions:
+                # Number the words by group, so that the groups' answers line up end to end.
+                place = np.empty(len(order), np.uint32)
+                place[order] = np.arange(len(order), dtype=np.uint32)
+                rows = [
+                    (number, None, i, key, _squeezed(place[s]))
+                    for i, (key, s) in enumerate(zip(block.column("doc_id").to_pylist(), streams))
+                ]
+            else:
+                cuts = np.searchsorted(part[order], np.arange(groups + 1))
+                rows = [
+                    (number, p, None, None, _pack_words([spelled[i] for i in order[cuts[p] : cuts[p + 1]]]))
+                    for p in np.flatnonzero(np.diff(cuts)).tolist()
+                ]
             yield _batch(rows, EXPLODED)
             number += 1
 
@@ -230,12 +244,10 @@ def encode(
     with open(ranks_path, "rb") as file:
         lines = file.read()
     groups = GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    exploded = docs.select(
-        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
-    ).mapInArrow(_explode(groups, pattern), EXPLODED)
-    words = exploded.filter("part is not null").select("block", "part", "payload")
+    given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    words = given.mapInArrow(_explode(groups, pattern, False), EXPLODED).select("block", "part", "payload")
     answers = words.groupBy("part").applyInArrow(_encode_words(lines, pattern), ANSWERED)
-    rows = exploded.filter("part is null")
+    rows = given.mapInArrow(_explode(groups, pattern, True), EXPLODED)
     both = rows.unionByName(answers, allowMissingColumns=True)
     return both.groupBy("block").applyInArrow(_assemble, "doc_id long, ids array<int>")
 

@@ -1,6 +1,7 @@
 """Byte-level BPE, token files and packing against the tokenizer libraries."""
 
 import base64
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -105,6 +106,20 @@ def test_bpe_edges(spark, ranks, monkeypatch):
     assert bpe.encode(fixtures.empty(spark), queries.BYTE_RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_words_and_positions_are_made_apart(monkeypatch):
+    texts = ["the cat, the mat", None, "the cat\n sat on  the cat", ""]
+    block = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3, 4]), "text": pa.array(texts, pa.string())})
+    monkeypatch.setattr(bpe.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 0))
+    made = {
+        positions: [r for b in bpe._explode(3, public_tokenizers.PATTERN, positions)([block]) for r in b.to_pylist()]
+        for positions in (True, False)
+    }
+    assert [r["part"] for r in made[True]] == [None] * 4 and all(r["part"] is not None for r in made[False])
+    words = [w for r in sorted(made[False], key=lambda r: r["part"]) for w in bpe._unpack_words(r["payload"])]
+    spelled = [b"".join(words[i] for i in bpe._numbers(r["payload"])).decode() for r in made[True]]
+    assert spelled == [t or "" for t in texts] and len(set(words)) == len(words)
+
+
 def test_token_table_is_the_vocabulary(spark):
     assert bpe.token_table(spark, queries.BYTE_RANKS).count() == 50_256
 
