@@ -171,7 +171,9 @@ def kneser_ney(counts: DataFrame, order: int) -> DataFrame:
     tables = {order: counts}
     for size in range(order - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1))
-        tables[size] = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"))
+        shorter = tables[size + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n"))
+        # Each order is stored: else every plan below holds all longer orders again, more than a small driver has room for.
+        tables[size] = written(shorter, f"grams-{size}")
     below, levels, weights = None, {}, {}
     for size in range(1, order + 1):
         of = [_number(F.col("n") == i).alias(f"t{i}") for i in (1, 2, 3, 4)]
@@ -186,8 +188,9 @@ def kneser_ney(counts: DataFrame, order: int) -> DataFrame:
         rows = rows.withColumn("context", F.shiftright("gram", 8)).withColumn(
             "d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         )
-        contexts = rows.groupBy("lang", "context").agg(
-            F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("b")
+        contexts = written(
+            rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("b")),
+            f"contexts-{size}",
         )
         rows = rows.join(contexts, ["lang", "context"])
         own = (F.col("n") - F.col("d")) / F.col("total")

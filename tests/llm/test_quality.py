@@ -194,3 +194,11 @@ def test_counting_drops_the_encoders_of_other_steps(spark):
 
     quality.gram_counts(Given(), 4)
     assert [r["left"] for r in docs.mapInArrow(both, "left long").collect()] == [0]
+
+
+def test_model_plans_do_not_hold_all_longer_orders(spark):
+    docs = spark.createDataFrame([("the cat sat", "en")], "text string, lang string")
+    table = quality.kneser_ney(quality.gram_counts(docs, quality.ORDER), quality.ORDER)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    # The levels and weights of the orders are stored, so the union of them joins files.
+    assert "Exchange" in plan and "HashAggregate" not in plan and "MapInArrow" not in plan
