@@ -46,7 +46,9 @@ FILTER_BITS = 26
 #: Longs in the wide bitmap of a set, which tells sets of some hundred words apart.
 WIDE = 8
 LINES = "doc_id long, tkey long, line int, s1 long, s2 long"
-ENTRIES = "token int, s1 long, bits long, n int, at int"
+#: Longs in the bitmap that goes with every prefix word of a set.
+NARROW = 2
+ENTRIES = ", ".join(["token int, s1 long", *(f"v{i} long" for i in range(NARROW)), "n int, at int"])
 
 
 _LINE_BITS = 20
@@ -103,24 +105,29 @@ class LineSets:
             out.append(np.add.reduceat(scrambled, self.first) if len(self.first) else scrambled)
         return out[0], out[1]
 
-    def bitmaps(self) -> np.ndarray:
-        """Each set as 64 bits, one bit a word."""
-        bit = np.uint64(1) << (mixed(self.token ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(63))
-        return np.bitwise_or.reduceat(bit, self.first) if len(self.first) else bit
-
     def numbers(self) -> tuple[np.ndarray, np.ndarray]:
         """(row, number in its text) of each line that has a set."""
         row = self.rows[self.line]
         return row, self.line - (np.cumsum(self.lines_of) - self.lines_of)[row]
 
 
-def wide_bitmaps(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Sets, which ``first`` cuts from ``token``, as ``64 * WIDE`` bits, one bit a word."""
+def bitmaps(token: np.ndarray, first: np.ndarray, longs: int) -> list[np.ndarray]:
+    """Sets, which ``first`` cuts from ``token``, as ``64 * longs`` bits: whether a bit's words are odd in number.
+
+    A bit in which two sets differ stands for a word that only one of them has.  It says
+    as much about long sets as about short ones, while a bit that tells whether there
+    is any word is set in nearly all long ones.
+    """
     place = mixed(token ^ np.uint64(0x9FB21C651E98DF25))
-    part = (place >> np.uint64(6)) % np.uint64(WIDE)
+    part = (place >> np.uint64(6)) % np.uint64(longs)
     bit = np.uint64(1) << (place & np.uint64(63))
-    out = [np.where(part == i, bit, np.uint64(0)) for i in range(WIDE)]
-    return [np.bitwise_or.reduceat(x, first) if len(first) else x for x in out]
+    out = [np.where(part == i, bit, np.uint64(0)) for i in range(longs)]
+    return [np.bitwise_xor.reduceat(x, first) if len(first) else x for x in out]
+
+
+def _apart(longs: list[str]) -> Column:
+    """Words that two sets ``a`` and ``b`` do not share, at the least, by their bitmaps."""
+    return sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in longs), F.lit(0))
 
 
 def _needed(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -212,11 +219,12 @@ def prefix_entries(
             prefix = np.where(meets, sets.n - _needed(sets.n, threshold) + 1, 0)
             used = (at < np.repeat(prefix, sets.n)) & (level > 1)
             of = sets.of[used]
+            narrow = bitmaps(sets.token, sets.first, NARROW)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((token[used] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                     pa.array(sets.digests()[0][of].view(np.int64)),
-                    pa.array(sets.bitmaps()[of].view(np.int64)),
+                    *(pa.array(x[of].view(np.int64)) for x in narrow),
                     pa.array(sets.n[of].astype(np.int32)),
                     pa.array(at[used].astype(np.int32)),
                 ],
@@ -228,16 +236,16 @@ def prefix_entries(
 
 def candidates(entries: DataFrame, threshold: float) -> DataFrame:
     """(a_s1, b_s1) of different sets that pass every filter; ``a`` is not the larger one."""
+    narrow = [f"v{i}" for i in range(NARROW)]
     a, b = (
-        entries.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("s1", "bits", "n", "at"))) for side in "ab"
+        entries.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ["s1", *narrow, "n", "at"])) for side in "ab"
     )
     both = F.col("a_n") + F.col("b_n")
     shared = F.ceil(F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9))
     smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_s1") < F.col("b_s1")))
     length = F.col("a_n") >= F.lit(threshold) * F.col("b_n") - F.lit(1e-9)
     position = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) >= shared
-    # Each bit that only one set has stands for a word that only this set has.
-    apart = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= both - 2 * shared
+    apart = _apart(narrow) <= both - 2 * shared
     return a.join(b, "token").filter(smaller & length & position & apart).select("a_s1", "b_s1").distinct()
 
 
@@ -259,7 +267,7 @@ def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFram
                 [
                     pa.array(s1[flag].view(np.int64)),
                     pa.array(sets.n[flag].astype(np.int32)),
-                    *(pa.array(x.view(np.int64)) for x in wide_bitmaps(words, cuts[:-1])),
+                    *(pa.array(x.view(np.int64)) for x in bitmaps(words, cuts[:-1], WIDE)),
                     pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(words.view(np.int64))),
                 ],
                 names=["s1", "n", *wide, "tokens"],
@@ -285,9 +293,7 @@ def close(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
     )
     both = F.col("a_n") + F.col("b_n")
     shared = F.ceil(F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9))
-    # Each bit that only one set has stands for a word that only this set has.
-    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in wide), F.lit(0))
-    return pairs.join(b, "late").join(a, "early").filter(apart <= both - 2 * shared).select("early", "late")
+    return pairs.join(b, "late").join(a, "early").filter(_apart(wide) <= both - 2 * shared).select("early", "late")
 
 
 def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:

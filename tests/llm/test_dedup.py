@@ -233,6 +233,22 @@ def test_wide_bitmaps_leave_out_pairs_that_are_not_similar(spark):
     assert alike <= left and len(left) < 6
 
 
+def test_bitmaps_tell_long_sets_apart():
+    draw = random.Random(3)
+    vocabulary = np.array([draw.getrandbits(64) for _ in range(2000)], np.uint64)
+    sets = [set(draw.sample(range(2000), draw.randint(90, 130))) for _ in range(60)]
+    sets += [s ^ set(draw.sample(range(2000), 6)) for s in sets]
+    cuts = np.cumsum([0, *map(len, sets)])
+    token = vocabulary[[i for s in sets for i in sorted(s)]]
+    made = line_dedup.bitmaps(token, cuts[:-1], line_dedup.NARROW)
+    left = 0
+    for a, b in combinations(range(len(sets)), 2):
+        apart = sum(int(m[a] ^ m[b]).bit_count() for m in made)
+        assert apart <= len(sets[a] ^ sets[b])
+        left += b != a + 60 and apart <= (len(sets[a]) + len(sets[b])) / 9
+    assert left < 5
+
+
 def test_join_of_lines_leaves_no_words_or_pairs_behind(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(line_dedup, "written_at", lambda df, label: kept(df, label))
     made = []
