@@ -48,7 +48,7 @@ WIDE = 8
 LINES = "doc_id long, tkey long, line int, s1 long, s2 long"
 #: Longs in the bitmap that goes with every prefix word of a set.
 NARROW = 2
-ENTRIES = ", ".join(["token int, s1 long", *(f"v{i} long" for i in range(NARROW)), "n int, at int"])
+ENTRIES = ", ".join(["token int, s1 long", *(f"v{i} long" for i in range(NARROW)), "n int, at int, before int"])
 
 
 _LINE_BITS = 20
@@ -198,6 +198,7 @@ def prefix_entries(
 
     Words in whose cell the corpus has one line are left out: no other line can
     meet there.  Words are cut to 32 bits here; one more meeting does no harm.
+    ``before`` is the prefix word before, null for a set's first that is not left out.
     """
     sent = given.sparkSession.sparkContext.broadcast((places, rarity))
     bits = len(rarity).bit_length() - 1
@@ -220,13 +221,17 @@ def prefix_entries(
             used = (at < np.repeat(prefix, sets.n)) & (level > 1)
             of = sets.of[used]
             narrow = bitmaps(sets.token, sets.first, NARROW)
+            cut = (token[used] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            start = np.ones(len(of), bool)
+            start[1:] = of[1:] != of[:-1]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((token[used] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                    pa.array(cut),
                     pa.array(sets.digests()[0][of].view(np.int64)),
                     *(pa.array(x[of].view(np.int64)) for x in narrow),
                     pa.array(sets.n[of].astype(np.int32)),
                     pa.array(at[used].astype(np.int32)),
+                    pa.array(np.roll(cut, 1), mask=start),
                 ],
                 names=[f.split()[0] for f in ENTRIES.split(", ")],
             )
@@ -234,11 +239,15 @@ def prefix_entries(
     return given.mapInArrow(run, ENTRIES)
 
 
-def candidates(entries: DataFrame, threshold: float) -> DataFrame:
-    """(a_s1, b_s1) of different sets that pass every filter; ``a`` is not the larger one."""
+def meetings(entries: DataFrame, threshold: float) -> DataFrame:
+    """(a_s1, b_s1) of different sets that pass every filter; ``a`` is not the larger one.
+
+    A pair comes once for each run of prefix words that follow each other in both: where the
+    words before are one, both have met there, at earlier places, which pass where later ones do.
+    """
     narrow = [f"v{i}" for i in range(NARROW)]
     a, b = (
-        entries.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ["s1", *narrow, "n", "at"])) for side in "ab"
+        entries.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ["s1", *narrow, "n", "at", "before"])) for side in "ab"
     )
     both = F.col("a_n") + F.col("b_n")
     shared = F.ceil(F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9))
@@ -246,7 +255,13 @@ def candidates(entries: DataFrame, threshold: float) -> DataFrame:
     length = F.col("a_n") >= F.lit(threshold) * F.col("b_n") - F.lit(1e-9)
     position = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) >= shared
     apart = _apart(narrow) <= both - 2 * shared
-    return a.join(b, "token").filter(smaller & length & position & apart).select("a_s1", "b_s1").distinct()
+    new = F.coalesce(F.col("a_before") != F.col("b_before"), F.lit(True))
+    return a.join(b, "token").filter(smaller & length & new & position & apart).select("a_s1", "b_s1")
+
+
+def candidates(entries: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that meet, each once."""
+    return meetings(entries, threshold).distinct()
 
 
 def set_tokens(given: DataFrame, wanted: np.ndarray, min_words: int) -> DataFrame:

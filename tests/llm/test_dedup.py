@@ -249,6 +249,17 @@ def test_bitmaps_tell_long_sets_apart():
     assert left < 5
 
 
+def test_pairs_meet_once_for_words_that_follow_each_other(spark):
+    words = [f"w{i}" for i in range(80)]
+    docs = spark.createDataFrame([(i, i, " ".join([*words, f"x{i}"])) for i in range(2)], "doc_id long, tkey long, text string")
+    rarity = np.full(1 << 10, 2, np.uint8)
+    entries = line_dedup.prefix_entries(docs, np.full(1 << 13, 255, np.uint8), rarity, 0.8, 1).localCheckpoint()
+    assert entries.count() > 30
+    # A word of one set alone can stand between two runs of shared ones.
+    assert 1 <= line_dedup.meetings(entries, 0.8).count() <= 3
+    assert line_dedup.candidates(entries, 0.8).count() == 1
+
+
 def test_join_of_lines_leaves_no_words_or_pairs_behind(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(line_dedup, "written_at", lambda df, label: kept(df, label))
     made = []
